@@ -1,0 +1,301 @@
+import datetime as dt
+import decimal
+import json
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyarrow import fs, ipc
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keytables.sources import read_arrow, register, write_arrow
+from keytables.sources.arrow_ipc import (
+    ArrowIpcWriter,
+    Slice,
+    Written,
+    cut_by_size,
+    open_store,
+    slice_rows,
+)
+
+
+def write_file(path, table, batch_rows=None):
+    with ipc.new_file(str(path), table.schema) as writer:
+        writer.write_table(table, max_chunksize=batch_rows)
+
+
+def parts(folder):
+    return sorted(p.name for p in folder.glob("part-*"))
+
+
+TYPES = T.StructType(
+    [
+        T.StructField("i8", T.ByteType()),
+        T.StructField("i16", T.ShortType()),
+        T.StructField("i32", T.IntegerType()),
+        T.StructField("i64", T.LongType()),
+        T.StructField("f32", T.FloatType()),
+        T.StructField("f64", T.DoubleType()),
+        T.StructField("b", T.BooleanType()),
+        T.StructField("s", T.StringType()),
+        T.StructField("bin", T.BinaryType()),
+        T.StructField("dec", T.DecimalType(10, 2)),
+        T.StructField("d", T.DateType()),
+        T.StructField("tz", T.TimestampType()),
+        T.StructField("ntz", T.TimestampNTZType()),
+        T.StructField("arr", T.ArrayType(T.IntegerType())),
+        T.StructField(
+            "st", T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType())])
+        ),
+        T.StructField("m", T.MapType(T.StringType(), T.LongType())),
+    ]
+)
+
+
+def test_every_type_survives_with_a_null_first_row(spark, tmp_path):
+    moment = dt.datetime(2020, 2, 29, 12, 30, 1, 123456)
+    row = (
+        1, 2, 3, 4, 0.5, 1.25, True, "é", bytearray(b"\x00\xff"), decimal.Decimal("1.50"),
+        moment.date(), moment, moment, [1, None, 3], (5, "y"), {"a": 1},
+    )
+    df = spark.createDataFrame([(None,) * len(row), row], TYPES).coalesce(1)
+    write_arrow(df, str(tmp_path / "t"))
+    got = read_arrow(spark, str(tmp_path / "t"))
+    assert got.schema == TYPES
+    assert got.collect() == df.collect()
+
+
+def test_session_zone_does_not_move_timestamps(spark, tmp_path):
+    df = spark.sql("SELECT TIMESTAMP '2020-06-01 00:00:00 UTC' AS t")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        write_arrow(df, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert read_arrow(spark, str(tmp_path / "t")).collect() == df.collect()
+
+
+def test_types_spark_lacks_are_widened(spark, tmp_path):
+    table = pa.table(
+        {
+            "u8": pa.array([255, None], pa.uint8()),
+            "u32": pa.array([2**32 - 1, 0], pa.uint32()),
+            "u64": pa.array([2**63 - 1, 0], pa.uint64()),
+            "word": pa.array(["a", "b"]).dictionary_encode(),
+            "long_text": pa.array(["x", None], pa.large_string()),
+            "nanos": pa.array([1_001, 2_999], pa.timestamp("ns")),
+            "day": pa.array([0, 86_400_000], pa.date64()),
+            "pair": pa.array([[1, 2], [3, 4]], pa.list_(pa.int32(), 2)),
+        }
+    )
+    write_file(tmp_path / "t.arrow", table)
+    got = read_arrow(spark, str(tmp_path / "t.arrow"))
+    assert [t for _, t in got.dtypes] == [
+        "smallint", "bigint", "bigint", "string", "string", "timestamp_ntz", "date", "array<int>",
+    ]
+    first = got.collect()[0]
+    assert first[:5] == (255, 2**32 - 1, 2**63 - 1, "a", "x")
+    assert first.nanos.microsecond == 1 and first.pair == [1, 2]
+
+
+def test_a_number_too_large_fails(spark, tmp_path):
+    write_file(tmp_path / "t.arrow", pa.table({"u64": pa.array([2**63], pa.uint64())}))
+    with pytest.raises(Exception, match="out of bounds|not in range"):
+        read_arrow(spark, str(tmp_path / "t.arrow")).collect()
+
+
+@pytest.fixture
+def two_files(tmp_path):
+    for i in range(2):
+        rows = pa.table({"a": pa.array(range(i * 10, i * 10 + 10)), "b": ["x"] * 10})
+        write_file(tmp_path / f"f{i}.arrow", rows, batch_rows=4)
+    return tmp_path
+
+
+def test_one_task_per_batch(spark, two_files):
+    got = read_arrow(spark, str(two_files), split_by="batch")
+    assert got.rdd.getNumPartitions() == 6
+    assert [r.a for r in got.collect()] == list(range(20))
+
+
+def test_directory_glob_list_and_uri(spark, two_files):
+    register(spark)
+    base = str(two_files)
+    for paths in (base, f"{base}/f*.arrow", [f"{base}/f0.arrow", f"{base}/f1.arrow"], f"file:{base}"):
+        assert [r.a for r in read_arrow(spark, paths).collect()] == list(range(20))
+    plain = spark.read.format("arrow_ipc").load([f"{base}/f0.arrow", f"{base}/f1.arrow"])
+    assert plain.count() == 20
+    assert read_arrow(spark, f"{base}/f[1]*").count() == 10
+    assert read_arrow(spark, f"{base[:-1]}?/f0.arrow").count() == 10
+
+
+def test_named_columns_only(spark, two_files):
+    got = read_arrow(spark, str(two_files), columns=["b"])
+    assert got.columns == ["b"] and got.count() == 20
+    swapped = read_arrow(spark, str(two_files), columns=["b", "a"])
+    assert swapped.first() == ("x", 0)
+    typed = spark.read.format("arrow_ipc").schema("a long").load(str(two_files))
+    assert sum(r.a for r in typed.collect()) == sum(range(20))
+    with pytest.raises(Exception, match="0 columns named c"):
+        read_arrow(spark, str(two_files), columns=["c"])
+
+
+@pytest.mark.parametrize(
+    "other",
+    [
+        {"b": ["x"], "a": [1]},
+        {"a": ["1"], "b": ["x"]},
+        {"a": [1], "b": ["x"], "c": [1]},
+        {"a": [1]},
+    ],
+)
+def test_another_schema_fails_the_read(spark, two_files, other):
+    write_file(two_files / "f2.arrow", pa.table(other))
+    with pytest.raises(Exception, match="has columns|holds"):
+        read_arrow(spark, str(two_files)).collect()
+
+
+def test_a_broken_file_fails_the_read(spark, two_files):
+    whole = (two_files / "f1.arrow").read_bytes()
+    (two_files / "f1.arrow").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception, match="Arrow"):
+        read_arrow(spark, str(two_files)).collect()
+
+
+def test_no_such_path(spark, tmp_path):
+    with pytest.raises(Exception, match="no such path"):
+        read_arrow(spark, str(tmp_path / "absent"))
+    with pytest.raises(Exception, match="nothing matches"):
+        read_arrow(spark, str(tmp_path / "*.arrow"))
+    with pytest.raises(Exception, match="no Arrow file"):
+        read_arrow(spark, str(tmp_path))
+
+
+def test_a_file_of_no_batches_is_an_empty_table(spark, tmp_path):
+    write_file(tmp_path / "t.arrow", pa.table({"a": pa.array([], pa.int32())}))
+    for split_by in ("size", "batch"):
+        got = read_arrow(spark, str(tmp_path / "t.arrow"), split_by=split_by)
+        assert got.dtypes == [("a", "int")] and got.collect() == []
+
+
+def test_one_large_batch_is_read_by_several_tasks(spark, tmp_path):
+    write_file(tmp_path / "t.arrow", pa.table({"a": pa.array(range(3_000_000))}))
+    got = read_arrow(spark, str(tmp_path / "t.arrow"))
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 1_000_000
+    assert got.agg(F.count("a"), F.sum("a")).first() == (3_000_000, sum(range(3_000_000)))
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.integers(0, 40), st.integers(1, 40), st.lists(st.integers(0, 500), max_size=8))
+def test_slices_cover_every_row_once(_, count, rows):
+    for by_rows in (True, False):
+        seen = [[0] * n for n in rows]
+        for index in range(count):
+            for number, start, stop in slice_rows(Slice("f", index, count), len(rows), by_rows):
+                for row in range(rows[number] * start // count, rows[number] * stop // count):
+                    seen[number][row] += 1
+        assert all(n == 1 for batch in seen for n in batch)
+
+
+@settings(deadline=None)
+@given(st.lists(st.integers(0, 10**9), max_size=30), st.integers(1, 10**9), st.integers(1, 100))
+def test_cut_by_size_keeps_every_file_in_order(sizes, most, tasks):
+    files = [fs.FileInfo(f"{i:02d}", fs.FileType.File, size=s) for i, s in enumerate(sizes)]
+    most = max(most, 1_000_000)
+    cut = [s for task in cut_by_size(files, most, tasks) for s in task]
+    assert [s.path for s in cut if s.index == 0] == [f.path for f in files]
+    for path in {s.path for s in cut}:
+        mine = [s for s in cut if s.path == path]
+        assert [s.index for s in mine] == list(range(mine[0].count))
+    assert all(task for task in cut_by_size(files, most, tasks))
+
+
+def test_parts_follow_the_order_of_partitions(spark, tmp_path):
+    df = spark.range(0, 1000).repartitionByRange(4, "id").sortWithinPartitions("id")
+    write_arrow(df, str(tmp_path / "t"))
+    assert len(parts(tmp_path / "t")) == 4
+    assert [r.id for r in read_arrow(spark, str(tmp_path / "t")).collect()] == list(range(1000))
+
+
+def test_empty_partitions_write_no_file_and_an_empty_table_keeps_its_schema(spark, tmp_path):
+    write_arrow(spark.range(0, 1, 1, 8), str(tmp_path / "one"))
+    assert len(parts(tmp_path / "one")) == 1
+    write_arrow(spark.range(0, 8, 1, 8).where("id < 0"), str(tmp_path / "none"))
+    write_arrow(spark.createDataFrame([], "id long"), str(tmp_path / "nothing"))
+    for name in ("none", "nothing"):
+        got = read_arrow(spark, str(tmp_path / name))
+        assert got.dtypes == [("id", "bigint")] and got.count() == 0
+
+
+def test_append_and_overwrite(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_arrow(spark.range(0, 10, 1, 2), path)
+    write_arrow(spark.range(10, 20, 1, 2), path, mode="append")
+    assert [r.id for r in read_arrow(spark, path).collect()] == list(range(20))
+    write_arrow(spark.range(20, 30, 1, 2), path, mode="overwrite", compression="zstd")
+    assert [r.id for r in read_arrow(spark, path).collect()] == list(range(20, 30))
+    assert len(parts(tmp_path / "t")) == 2
+
+
+def test_append_to_a_directory_of_foreign_files(spark, two_files):
+    more = spark.createDataFrame([(99, "y")], "a long, b string")
+    write_arrow(more, str(two_files))
+    assert read_arrow(spark, str(two_files)).count() == 21
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_arrow(spark.range(0, 10, 1, 2), path)
+    before = parts(tmp_path / "t")
+    broken = spark.range(0, 100_000, 1, 4).withColumn(
+        "id", F.when(F.col("id") == 99_999, F.raise_error("no")).otherwise(F.col("id"))
+    )
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception, match="no"):
+            write_arrow(broken.select(F.col("id").cast("long")), path, mode=mode)
+        assert [r.id for r in read_arrow(spark, path).collect()] == list(range(10))
+        assert parts(tmp_path / "t") == before
+
+
+def test_files_of_other_attempts_do_not_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_arrow(spark.range(0, 10, 1, 1), path)
+    (kept,) = parts(tmp_path / "t")
+    # A lost attempt that finishes after the commit.
+    late = kept.rsplit("-", 1)[0] + "-999.arrow"
+    (tmp_path / "t" / late).write_bytes((tmp_path / "t" / kept).read_bytes())
+    assert read_arrow(spark, path).count() == 10
+
+
+def test_commit_removes_what_repeated_attempts_left(tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    writer = ArrowIpcWriter({"path": str(tmp_path)}, schema, overwrite=False)
+    batch = pa.record_batch({"a": [1]})
+    names = [f"part-00000-{writer.job}-{attempt}.arrow" for attempt in (1, 2)]
+    for name in names:
+        writer._write_file(name, batch)
+    writer.commit([Written(0, names[1]), None])
+    assert parts(tmp_path) == [names[1]]
+    assert json.loads((tmp_path / "_SUCCESS").read_text()) == {"files": [names[1]]}
+    other = ArrowIpcWriter({"path": str(tmp_path)}, schema, overwrite=False)
+    other._write_file(f"part-00000-{other.job}-1.arrow", batch)
+    other.abort([None])
+    assert parts(tmp_path) == [names[1]]
+
+
+def test_a_listed_file_that_is_gone_fails_the_read(spark, tmp_path):
+    write_arrow(spark.range(0, 10, 1, 2), str(tmp_path / "t"))
+    (tmp_path / "t" / parts(tmp_path / "t")[0]).unlink()
+    with pytest.raises(Exception, match="lists files that are gone"):
+        read_arrow(spark, str(tmp_path / "t"))
+
+
+def test_stores_of_paths():
+    assert open_store({}, "/a/b")[1] == "/a/b"
+    assert open_store({}, "file:///a/b")[1] == open_store({}, "file:/a/b")[1] == "/a/b"
+    options = {"endpoint": "localhost:9000", "accesskey": "a", "secretkey": "s", "scheme": "http"}
+    store, path = open_store(options, "s3a://bucket/table")
+    assert isinstance(store, fs.S3FileSystem) and path == "bucket/table"
