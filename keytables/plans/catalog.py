@@ -527,6 +527,7 @@ def query_job(spark, folder):
             _arrow(spark, _household(spark, folder), "customers"),
         ],
         exprs=["o_orderkey", "round(o_totalprice, 0) AS price"],
+        read_columns=["o_orderkey", "o_custkey", "o_totalprice"],
     )
 
 
@@ -545,7 +546,7 @@ def sort_job(spark, folder):
 @_query("SELECT count(*) AS count FROM lineitem WHERE l_discount > 0.05")
 def count_job(spark, folder):
     path = _arrow(spark, _table(spark, folder, "lineitem"), "lineitem")
-    return jobs.count_job(spark, path, ["l_discount > 0.05"])
+    return jobs.count_job(spark, path, ["l_discount > 0.05"], read_columns=["l_discount"])
 
 
 @_query(

@@ -75,12 +75,17 @@ def query_job(
     columns: Sequence[str | Column] | None = None,
     exprs: Sequence[str] | None = None,
     distinct: bool = False,
+    read_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows whose ``in_columns`` values are in the respective key tables, projected."""
+    """Rows whose ``in_columns`` values are in the respective key tables, projected.
+
+    Of the Arrow files of a key table only the key is read; of the main ones ``read_columns``, by
+    default all.
+    """
     if len(in_columns) != len(in_sources):
         raise ValueError("in_columns and in_sources must be equally long")
     keys = [(c, load(spark, s, [c])) for c, s in zip(in_columns, in_sources, strict=True)]
-    return project(key_filter(load(spark, source), keys), columns, exprs, distinct)
+    return project(key_filter(load(spark, source, read_columns), keys), columns, exprs, distinct)
 
 
 def copy_job(spark: SparkSession, source: Source, save: Saver) -> DataFrame:
@@ -92,8 +97,14 @@ def sort_job(spark: SparkSession, source: Source, columns: Sequence[str]) -> Dat
     return sort_table(load(spark, source), columns)
 
 
-def count_job(spark: SparkSession, source: Source, conditions: Conditions = None) -> DataFrame:
-    return count_rows(load(spark, source), conditions)
+def count_job(
+    spark: SparkSession,
+    source: Source,
+    conditions: Conditions = None,
+    read_columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Of Arrow files all columns are read, unless ``read_columns`` names those the conditions use."""
+    return count_rows(load(spark, source, read_columns), conditions)
 
 
 def group_count_job(
@@ -101,9 +112,12 @@ def group_count_job(
     source: Source,
     columns: Sequence[str],
     conditions: Conditions = None,
+    read_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    needed = columns if conditions is None else None
-    return group_count(load(spark, source, needed), columns, conditions)
+    """Of Arrow files only the group columns are read or, with conditions, ``read_columns``."""
+    if read_columns is None and conditions is None:
+        read_columns = columns
+    return group_count(load(spark, source, read_columns), columns, conditions)
 
 
 def join_job(

@@ -8,7 +8,9 @@ Reading. The driver lists files and reads one footer, for the schema. Tasks are
 files share a task and a large file is divided by record batches, on local or mounted paths by rows
 where it has few of them. Every task compares its files' schema with the table's: a difference, like
 an unreadable file, fails the read. Spark does not tell a Python source which columns a query needs;
-name them with ``columns`` (or a schema), and only these are read from the files.
+name them with ``columns`` (or a schema), and only these are read from the files. Where the session
+sets ``spark.sql.python.filterPushdown.enabled``, rows that a simple condition rules out are not handed
+to Spark.
 
 Writing. A task streams its batches to a file of a name no other attempt uses. The commit lists the
 files of the successful attempts in ``_SUCCESS``, and a directory that has such a list is read by it.
@@ -30,6 +32,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, ipc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +40,31 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
     InputPartition,
+    IsNotNull,
+    IsNull,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    FractionalType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 FORMAT = "arrow_ipc"
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 MANIFEST = "_SUCCESS"
 _SPLIT_BYTES = 128 * 1024 * 1024
 _FILE_COST = 4 * 1024 * 1024
@@ -87,6 +108,8 @@ def read_arrow(
     register(spark)
     reader = spark.read.format(FORMAT).option("splitBy", split_by).options(**options)
     reader = reader.option("minTasks", spark.sparkContext.defaultParallelism)
+    # Spark refuses a source that takes filters while the setting is off.
+    reader = reader.option("pushFilters", spark.conf.get(PUSHDOWN, "false"))
     if columns:
         reader = reader.option("columns", json.dumps(list(columns)))
     if isinstance(paths, str):
@@ -128,7 +151,9 @@ class ArrowIpcDataSource(DataSource):
         return whole
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return ArrowIpcReader(dict(self.options), schema, getattr(self, "whole", False))
+        pushes = self.options.get("pushFilters", "false") == "true"
+        kind = FilteringReader if pushes else ArrowIpcReader
+        return kind(dict(self.options), schema, getattr(self, "whole", False))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return ArrowIpcWriter(dict(self.options), schema, overwrite)
@@ -177,7 +202,10 @@ class ArrowIpcReader(DataSourceReader):
                 low, high = (batch.num_rows * edge // part.count for edge in (start, stop))
                 for row in range(low, high, _ROWS_PER_BATCH):
                     piece = batch.slice(row, min(_ROWS_PER_BATCH, high - row))
-                    yield _converted(piece, target)
+                    yield self._kept(_converted(piece, target))
+
+    def _kept(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch
 
     def _check(self, found: pa.Schema, path: str) -> None:
         given = spark_schema(found)
@@ -192,6 +220,31 @@ class ArrowIpcReader(DataSourceReader):
                 )
 
 
+class FilteringReader(ArrowIpcReader):
+    """Leaves out rows that cannot meet a pushed condition. Spark still tests the rows it gets."""
+
+    filters: Sequence[Filter] = ()
+
+    def pushFilters(self, filters: list[Filter]) -> list[Filter]:
+        self.filters = [f for f in filters if self._usable(f)]
+        return filters
+
+    def _usable(self, condition: Filter) -> bool:
+        if isinstance(condition, (IsNull, IsNotNull)):
+            return len(condition.attribute) == 1
+        if not isinstance(condition, (*_COMPARISONS, In)) or len(condition.attribute) != 1:
+            return False
+        kind = self.schema[condition.attribute[0]].dataType
+        if isinstance(kind, StringType):
+            return kind == StringType()
+        return isinstance(kind, (IntegralType, FractionalType, BooleanType, DateType))
+
+    def _kept(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        for condition in self.filters:
+            batch = batch.filter(_may_meet(condition, batch.column(condition.attribute[0])))
+        return batch
+
+
 class ArrowIpcWriter(DataSourceArrowWriter):
     def __init__(self, options: Mapping[str, str], schema: StructType, overwrite: bool):
         self.options = {k.lower(): v for k, v in options.items()}
@@ -261,6 +314,28 @@ class ArrowIpcWriter(DataSourceArrowWriter):
             store.delete_file(posixpath.join(base, name))
 
 
+_COMPARISONS = {
+    EqualTo: pc.equal,
+    GreaterThan: pc.greater,
+    GreaterThanOrEqual: pc.greater_equal,
+    LessThan: pc.less,
+    LessThanOrEqual: pc.less_equal,
+}
+
+
+def _may_meet(condition: Filter, column: pa.Array) -> pa.Array:
+    if isinstance(condition, IsNull):
+        return column.is_null()
+    if isinstance(condition, IsNotNull):
+        return column.is_valid()
+    if isinstance(condition, In):
+        met = pc.is_in(column, value_set=pa.array(list(condition.value), column.type))
+    else:
+        met = _COMPARISONS[type(condition)](column, pa.scalar(condition.value, column.type))
+    # NaN equals itself and is the largest number in Spark; let Spark decide.
+    return pc.or_kleene(met, pc.is_nan(column)) if pa.types.is_floating(column.type) else met
+
+
 def cut_by_size(files: Sequence[fs.FileInfo], most: int, tasks: int) -> list[list[Slice]]:
     """File slices per task, in file order, of about ``most`` bytes or less."""
     total = sum(f.size + _FILE_COST for f in files)

@@ -9,9 +9,11 @@ from hypothesis import strategies as st
 from pyarrow import fs, ipc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import CaseInsensitiveDict, EqualTo, GreaterThan, Not
 
 from keytables.sources import read_arrow, register, write_arrow
 from keytables.sources.arrow_ipc import (
+    ArrowIpcDataSource,
     ArrowIpcWriter,
     Slice,
     Written,
@@ -299,3 +301,62 @@ def test_stores_of_paths():
     options = {"endpoint": "localhost:9000", "accesskey": "a", "secretkey": "s", "scheme": "http"}
     store, path = open_store(options, "s3a://bucket/table")
     assert isinstance(store, fs.S3FileSystem) and path == "bucket/table"
+
+
+@pytest.fixture
+def pushdown(spark):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    yield
+    spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+CONDITIONS = [
+    "i = 3",
+    "i > 3 AND i <= 7",
+    "i IN (1, 2, 900)",
+    "i <> 3",
+    "i < 2 OR s = 'v5'",
+    "i IS NULL",
+    "i IS NOT NULL AND s >= 'v5'",
+    "s = 'v4'",
+    "s LIKE 'v1%'",
+    "f > 2.5",
+    "f = double('NaN')",
+    "f <= 0",
+    "f IN (1.5, double('NaN'))",
+    "b",
+    "NOT b",
+    "d >= DATE '2020-01-05'",
+    "n > 3.20",
+    "t < TIMESTAMP_NTZ '2020-01-01 00:00:04'",
+    "st.x = 3",
+    "i <=> NULL",
+]
+
+
+@pytest.mark.parametrize("condition", CONDITIONS)
+def test_pushed_conditions_keep_the_same_rows(spark, tmp_path_factory, pushdown, condition):
+    df = spark.range(20).selectExpr(
+        "IF(id % 7 = 6, NULL, int(id)) AS i",
+        "concat('v', id) AS s",
+        "CASE WHEN id % 5 = 4 THEN double('NaN') WHEN id = 3 THEN -0.0D ELSE id / 2 END AS f",
+        "id % 3 = 0 AS b",
+        "date_add(DATE '2020-01-01', int(id)) AS d",
+        "CAST(id * 0.4 AS DECIMAL(10, 2)) AS n",
+        "TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS t",
+        "named_struct('x', int(id)) AS st",
+    )
+    path = str(tmp_path_factory.mktemp("pushed") / "t")
+    write_arrow(df.coalesce(2), path)
+    got = read_arrow(spark, path).where(condition)
+    key = F.struct(*df.columns).cast("string")
+    assert sorted(got.select(key).collect()) == sorted(df.where(condition).select(key).collect())
+
+
+def test_ruled_out_rows_do_not_reach_spark(two_files):
+    source = ArrowIpcDataSource(CaseInsensitiveDict({"path": str(two_files), "pushFilters": "true"}))
+    reader = source.reader(source.schema())
+    asked = [GreaterThan(("a",), 17), Not(EqualTo(("b",), "y"))]
+    assert reader.pushFilters(asked) == asked
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert sum(b.num_rows for b in batches) == 2
