@@ -28,7 +28,8 @@ import json
 import posixpath
 import sys
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -70,12 +71,13 @@ _SPLIT_BYTES = 128 * 1024 * 1024
 _FILE_COST = 4 * 1024 * 1024
 _ROWS_PER_BATCH = 10_000
 _WILDCARDS = "*?["
+_REQUESTS = 32
 
 
 class Slice(NamedTuple):
     """Part ``index`` of ``count`` equal parts of a file."""
 
-    path: str
+    path: str  # on the store, without scheme
     index: int
     count: int
 
@@ -168,11 +170,17 @@ class ArrowIpcReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         store, files = list_files(self.options)
         if self.options.get("splitby", "size") == "batch":
-            slices = []
-            for file in files:
+
+            def count_batches(file: fs.FileInfo) -> int:
                 with store.open_input_file(file.path) as f:
-                    count = ipc.open_file(f).num_record_batches
-                slices += [[Slice(file.path, i, count)] for i in range(count)]
+                    return ipc.open_file(f).num_record_batches
+
+            counts = _at_once(count_batches, files)
+            slices = [
+                [Slice(file.path, i, count)]
+                for file, count in zip(files, counts, strict=True)
+                for i in range(count)
+            ]
         else:
             slices = cut_by_size(
                 files,
@@ -188,7 +196,7 @@ class ArrowIpcReader(DataSourceReader):
 
     def _read_slice(self, part: Slice) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(self.schema)
-        store, _ = open_store(self.options, part.path)
+        store, _ = open_store(self.options, _paths(self.options)[0])
         with store.open_input_file(part.path) as f:
             file = ipc.open_file(f)
             found = file.schema
@@ -397,22 +405,32 @@ def _addressed_store(options: Mapping[str, str]) -> fs.FileSystem:
 
 
 def list_files(options: Mapping[str, str]) -> tuple[fs.FileSystem, list[fs.FileInfo]]:
-    """The store and the files of all paths, in the order given."""
+    """The store and the files of all paths, in the order given. All paths are on one store."""
     options = {k.lower(): v for k, v in options.items()}
-    files: list[fs.FileInfo] = []
-    store: fs.FileSystem | None = None
-    for path in _paths(options):
-        store, base = open_store(options, path)
-        for info in _matches(store, base):
+    paths = _paths(options)
+    if not paths:
+        raise ValueError("no path given")
+    store, _ = open_store(options, paths[0])
+
+    def files_of(path: str) -> list[fs.FileInfo]:
+        other, base = open_store(options, path)
+        if not other.equals(store):
+            raise ValueError(f"{path} is on another store than {paths[0]}")
+        files = []
+        for info in _matches(other, base):
             if info.type == fs.FileType.NotFound:
                 raise FileNotFoundError(f"no such path: {path}")
-            if info.type == fs.FileType.Directory:
-                files += list_directory(store, info.path)
-            else:
-                files.append(info)
-    if store is None:
-        raise ValueError("no path given")
-    return store, files
+            is_table = info.type == fs.FileType.Directory
+            files += list_directory(other, info.path) if is_table else [info]
+        return files
+
+    return store, [file for files in _at_once(files_of, paths) for file in files]
+
+
+def _at_once(work: Callable, items: Sequence) -> list:
+    """The results in order; the work mostly waits for the store."""
+    with ThreadPoolExecutor(_REQUESTS) as pool:
+        return list(pool.map(work, items))
 
 
 def list_directory(store: fs.FileSystem, base: str, strict: bool = True) -> list[fs.FileInfo]:

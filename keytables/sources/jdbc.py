@@ -122,11 +122,24 @@ def read_jdbc_hashed(
 
 
 def read_jdbc_query(
-    spark: SparkSession, url: str, query: str, properties: Mapping[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    query: str,
+    properties: Mapping[str, str] | None = None,
+    key: str | Sequence[str] | None = None,
+    num_partitions: int = DEFAULT_SLICES,
+    dialect: str = "mysql",
 ) -> DataFrame:
-    """The result of a query that the database runs. It arrives in one task: for small results."""
-    options = {**_FETCH, **(properties or {})}
+    """The result of a query that the database runs.
+
+    Without ``key`` it arrives in one task, which suits a small result. With it the result is read in
+    slices as :func:`read_jdbc_hashed` does, and the database runs the query for each of them.
+    """
     text = query.strip().rstrip(";")
+    if key is not None:
+        table = f"({text}) subquery"
+        return read_jdbc_hashed(spark, url, table, key, num_partitions, dialect, properties)
+    options = {**_FETCH, **(properties or {})}
     return spark.read.format("jdbc").options(url=url, query=text, **options).load()
 
 

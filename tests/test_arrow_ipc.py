@@ -1,6 +1,9 @@
 import datetime as dt
 import decimal
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import CaseInsensitiveDict, EqualTo, GreaterThan, Not
 
-from keytables.sources import read_arrow, register, write_arrow
+from keytables.sources import arrow_ipc, read_arrow, register, write_arrow
 from keytables.sources.arrow_ipc import (
     ArrowIpcDataSource,
     ArrowIpcWriter,
@@ -288,6 +291,48 @@ def test_commit_removes_what_repeated_attempts_left(tmp_path):
     assert parts(tmp_path) == [names[1]]
 
 
+def test_repeated_tasks_write_every_row_once(tmp_path):
+    """A session of its own, in which failed tasks run again."""
+    script = tmp_path / "job.py"
+    script.write_text(RETRYING_JOB)
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, str(script), root, str(tmp_path / "t")],
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.stdout.strip().splitlines()[-1] == "40000 40000 4", done.stderr[-2000:]
+
+
+RETRYING_JOB = """
+import os, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from keytables.sources import read_arrow, write_arrow
+
+spark = (
+    SparkSession.builder.master("local[4,3]")
+    .config("spark.ui.enabled", "false")
+    .config("spark.ui.showConsoleProgress", "false")
+    .getOrCreate()
+)
+
+def fail_once(batches):
+    for n, batch in enumerate(batches):
+        if n == 1 and TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+        yield batch
+
+spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+write_arrow(spark.range(0, 40_000, 1, 4).mapInArrow(fail_once, "id long"), sys.argv[2])
+got = read_arrow(spark, sys.argv[2])
+files = [f for f in os.listdir(sys.argv[2]) if f.startswith("part-")]
+print(got.count(), got.distinct().count(), len(files))
+"""
+
+
 def test_a_listed_file_that_is_gone_fails_the_read(spark, tmp_path):
     write_arrow(spark.range(0, 10, 1, 2), str(tmp_path / "t"))
     (tmp_path / "t" / parts(tmp_path / "t")[0]).unlink()
@@ -295,6 +340,31 @@ def test_a_listed_file_that_is_gone_fails_the_read(spark, tmp_path):
         read_arrow(spark, str(tmp_path / "t"))
 
 
+def test_paths_on_an_object_store(tmp_path, monkeypatch):
+    """A store that is not local stands in for one: its paths have no scheme once opened."""
+    bucket = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+
+    def open_bucket(options, path):
+        assert path.startswith("s3a://")
+        return bucket, path.removeprefix("s3a://")
+
+    monkeypatch.setattr(arrow_ipc, "open_store", open_bucket)
+    options = CaseInsensitiveDict({"path": "s3a://bucket/table"})
+    source = ArrowIpcDataSource(options)
+    writer = source.writer(T.StructType().add("a", T.LongType()), overwrite=True)
+    names = [f"part-0000{i}-{writer.job}-{i}.arrow" for i in range(2)]
+    for i, name in enumerate(names):
+        writer._write_file(name, pa.record_batch({"a": [i]}))
+    writer.commit([Written(i, name) for i, name in enumerate(names)])
+    for paths in ("s3a://bucket/table", "s3a://bucket/*/part*"):
+        for split_by in ("size", "batch"):
+            options.update({"path": paths, "splitBy": split_by})
+            source = ArrowIpcDataSource(options)
+            reader = source.reader(source.schema())
+            batches = [b for p in reader.partitions() for b in reader.read(p)]
+            assert pa.Table.from_batches(batches).to_pydict() == {"a": [0, 1]}
+
+
 def test_stores_of_paths():
     assert open_store({}, "/a/b")[1] == "/a/b"
     assert open_store({}, "file:///a/b")[1] == open_store({}, "file:/a/b")[1] == "/a/b"

@@ -111,6 +111,14 @@ def test_reads_are_left_to_spark():
     assert options["query"] == "SELECT 1" and options["user"] == "me"
 
 
+def test_a_large_query_result_is_read_in_slices():
+    session = mock.MagicMock()
+    read_jdbc_query(session, "jdbc:x", "SELECT k FROM t;", key="k", num_partitions=3, dialect="2")
+    arguments = session.read.jdbc.call_args.kwargs
+    assert arguments["table"] == "(SELECT k FROM t) subquery"
+    assert arguments["predicates"] == slice_predicates("k", 3, "kingbase")
+
+
 @pytest.fixture
 def table(spark):
     length = {"__CHAR_VARCHAR_TYPE_STRING": "varchar(40)"}

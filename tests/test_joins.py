@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from keytables.operators import fits_broadcast, join_tables, psi_join
+from keytables.operators import fits_broadcast, join_tables, key_filter, psi_join
 from keytables.operators.joins import JOIN_TYPES, STRATEGIES
 
 LAYOUTS = [(s, None) for s in STRATEGIES] + [("shuffle", 3)]
@@ -179,3 +179,10 @@ def test_unmatched_rows_reuse_the_shuffled_side(hot, even, small_splits):
     summary = got.agg(F.max(F.xxhash64(*got.columns)))
     summary.collect()
     assert plan(summary).split("Initial Plan")[0].count("ReusedExchange") == 2
+
+
+def test_a_hot_key_of_a_filtered_table_is_split(hot, even, small_splits):
+    got = key_filter(hot, {"k": even})
+    summary = got.agg(F.count(F.lit(1)), F.max(F.xxhash64(*got.columns)))
+    assert summary.collect()[0][0] == hot.join(even, "k", "left_semi").count()
+    assert "skew=true" in plan(summary).split("Initial Plan")[0]
