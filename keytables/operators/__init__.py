@@ -1,15 +1,16 @@
 """Operators: plain functions from DataFrame to DataFrame, usable with ``df.transform``."""
 
-from keytables.operators.aggregate import count_rows, estimate_size, group_count
+from keytables.operators.aggregate import count_rows, group_count
 from keytables.operators.contracts import (
     KeyContractError,
     check_key,
     key_contract,
     key_violations,
 )
-from keytables.operators.joins import fits_broadcast, join_tables, psi_join
+from keytables.operators.joins import join_tables, psi_join
 from keytables.operators.order import sort_table, write_sorted
 from keytables.operators.select import add_hash_column, key_filter, project, where
+from keytables.operators.size import estimate_size, fits_broadcast
 
 __all__ = [
     "KeyContractError",

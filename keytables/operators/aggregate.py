@@ -1,9 +1,8 @@
-"""Counts and size estimates."""
+"""Counts."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,18 +26,3 @@ def group_count(
     if not columns:
         raise ValueError("group_count needs at least one column")
     return where(df, conditions).groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
-
-
-def estimate_size(df: DataFrame) -> DataFrame:
-    """One row: ``n_rows`` and ``bytes``, the UTF-8 length of the rows printed with a bar between values.
-
-    Nulls print as nothing, bar included. The text itself is never built: lengths are added up.
-    """
-    lengths = [F.octet_length(F.col(f"`{c.replace('`', '``')}`").cast("string")) for c in df.columns]
-    filled = [F.when(n.isNull(), 0).otherwise(1) for n in lengths]
-    total = reduce(lambda a, b: a + b, [F.coalesce(n, F.lit(0)).cast("long") for n in lengths], F.lit(0))
-    bars = F.greatest(reduce(lambda a, b: a + b, filled, F.lit(0)) - 1, F.lit(0))
-    return df.agg(
-        F.coalesce(F.sum(total + bars), F.lit(0)).cast("long").alias("bytes"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )

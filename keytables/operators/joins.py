@@ -19,33 +19,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keytables.operators.aggregate import estimate_size
 from keytables.operators.order import sort_table
+from keytables.operators.size import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits_broadcast
 
 JOIN_TYPES = ("inner", "left", "right", "outer")
 STRATEGIES = ("auto", "broadcast", "shuffle")
 
-# Fixed value: a right side below this many rows counts as small.
-BROADCAST_MAX_ROWS = 1_000_000
-# Rows can be long texts, so their size is bounded as well.
-BROADCAST_MAX_BYTES = 128 * 1024 * 1024
-
 _SALT_L, _SALT_R = "__keytables_salt_l", "__keytables_salt_r"
 _FAN_L, _FAN_R = "__keytables_fan_l", "__keytables_fan_r"
 
 
-def fits_broadcast(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> bool:
-    """Whether ``df`` has fewer than ``max_rows`` rows and at most ``max_bytes`` bytes of values.
-
-    Runs a count, which reads no column of a Parquet table, and only for a small table the size.
-    """
-    return df.count() < max_rows and estimate_size(df).first()["bytes"] <= max_bytes
-
-
 def join_tables(
     left: DataFrame,
     right: DataFrame,
@@ -61,13 +44,14 @@ def join_tables(
 
     ``strategy``:
 
-    - ``auto``: an inner join is left to Spark, which broadcasts by measured size and splits hot keys
-      at run time; other types take the broadcast form when the right side fits the limits, and the
-      shuffle form when not.
-    - ``broadcast``: the right side is broadcast, for every join type, if it fits the limits; the
-      shuffle form is used when not.
-    - ``shuffle``: both sides are shuffled on the keys. ``num_partitions`` pins the partition count;
-      adaptive execution does not touch a pinned layout, so hot keys are then salted.
+    - ``auto``: the right side is measured and, if it fits the limits, broadcast, for every join type.
+      Spark alone would often shuffle the left side first: it knows no size of Arrow files or database
+      tables before it has read them. Beyond the limits an inner join is left to Spark, which may
+      broadcast the left side and splits hot keys; other types take the shuffle form.
+    - ``broadcast``: the same, but always the shuffle form beyond the limits.
+    - ``shuffle``: both sides are shuffled on the keys and nothing is measured. ``num_partitions`` pins
+      the partition count; adaptive execution does not touch a pinned layout, so hot keys are then
+      salted.
 
     A column name that both sides hold besides the keys is an error, unless ``suffix`` is given for
     the right side's column.
@@ -85,10 +69,10 @@ def join_tables(
             raise ValueError(f"the {side} table has no column {', '.join(missing)}")
     right = _without_clashes(left, right, keys, suffix)
 
-    if strategy == "auto" and how == "inner":
-        return left.join(right, on=keys, how="inner")
     if strategy != "shuffle" and fits_broadcast(right, broadcast_max_rows, broadcast_max_bytes):
         return _broadcast_join(left, right, keys, how)
+    if strategy == "auto" and how == "inner":
+        return left.join(right, on=keys, how="inner")
     return _shuffle_join(left, right, keys, how, num_partitions)
 
 

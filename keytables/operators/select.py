@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from keytables.functions.keys import HASH_COLUMN, hash_key
+from keytables.operators.size import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits_broadcast
 
 Conditions = str | Column | Sequence[str | Column] | None
 
@@ -46,6 +48,8 @@ def key_filter(
     df: DataFrame,
     keys: Mapping[str, DataFrame] | Iterable[tuple[str, DataFrame]],
     multiplicity: str = "semi",
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Keep the rows whose column value is in the key table, for each (column, key table) pair.
 
@@ -53,19 +57,21 @@ def key_filter(
     repeats it for every repeat of its key. Null keys match nothing. The key comes first in the
     result.
 
-    Under ``semi`` the keys are made distinct first, with a partial aggregation before the shuffle,
-    so that a key repeated in the list costs nothing later on. That leaves ``df`` as the only side
-    that can be skewed, and adaptive execution may split that side of a semi join. Spark broadcasts
-    the keys by their measured size.
+    A key list is measured and, if it fits the limits, broadcast, so that ``df`` is not shuffled.
+    Beyond them ``semi`` makes the keys distinct, with a partial aggregation before the shuffle. That
+    leaves ``df`` as the only side that can be skewed, and adaptive execution splits that side of a
+    semi join, or either side of an inner one.
     """
     if multiplicity not in ("semi", "inner"):
         raise ValueError(f"multiplicity must be semi or inner, not {multiplicity!r}")
+    how = "left_semi" if multiplicity == "semi" else "inner"
     for column, table in keys.items() if isinstance(keys, Mapping) else keys:
         values = table.select(column)
-        if multiplicity == "semi":
-            df = df.join(values.distinct(), on=column, how="left_semi")
-        else:
-            df = df.join(values, on=column, how="inner")
+        if fits_broadcast(values, broadcast_max_rows, broadcast_max_bytes):
+            values = F.broadcast(values)
+        elif multiplicity == "semi":
+            values = values.distinct()
+        df = df.join(values, on=column, how=how)
     return df
 
 

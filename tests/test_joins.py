@@ -91,6 +91,10 @@ def test_size_limits(spark):
     assert fits_broadcast(df, max_rows=11, max_bytes=1000)
     assert not fits_broadcast(df, max_rows=10, max_bytes=1000)
     assert not fits_broadcast(df, max_rows=11, max_bytes=999)
+    numbers = spark.range(10)
+    assert fits_broadcast(numbers, max_rows=11, max_bytes=11 * 16)
+    assert not fits_broadcast(numbers, max_rows=10, max_bytes=11 * 16)
+    assert not fits_broadcast(numbers, max_rows=11, max_bytes=9)
 
 
 @pytest.mark.parametrize("how", JOIN_TYPES)
@@ -182,7 +186,7 @@ def test_unmatched_rows_reuse_the_shuffled_side(hot, even, small_splits):
 
 
 def test_a_hot_key_of_a_filtered_table_is_split(hot, even, small_splits):
-    got = key_filter(hot, {"k": even})
+    got = key_filter(hot, {"k": even}, broadcast_max_rows=1)
     summary = got.agg(F.count(F.lit(1)), F.max(F.xxhash64(*got.columns)))
     assert summary.collect()[0][0] == hot.join(even, "k", "left_semi").count()
     assert "skew=true" in plan(summary).split("Initial Plan")[0]

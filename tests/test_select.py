@@ -46,9 +46,25 @@ def test_filters_in_turn_are_anded(spark, table):
     assert key_filter(table, {"k": ks, "v": vs}).select("k", "v").collect() == [(2, "y")]
 
 
-def test_semi_plans_a_left_semi_join_over_distinct_keys(table, dup_keys):
+def test_a_small_key_list_is_broadcast(table, dup_keys):
     text = plan(key_filter(table, {"k": dup_keys}))
-    assert "LeftSemi" in text and "HashAggregate" in text
+    assert "LeftSemi" in text and "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("multiplicity", ["semi", "inner"])
+def test_a_large_key_list_is_not(spark, table, dup_keys, multiplicity):
+    want = sorted(key_filter(table, {"k": dup_keys}, multiplicity).collect())
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = key_filter(table, {"k": dup_keys}, multiplicity, broadcast_max_rows=2)
+        assert sorted(got.collect()) == want
+        text = plan(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Broadcast" not in text and "SortMergeJoin" in text
+    # Repeated keys are gone before the shuffle.
+    assert ("HashAggregate" in text) == (multiplicity == "semi")
 
 
 def test_no_more_rows_than_before(spark, table, dup_keys):
