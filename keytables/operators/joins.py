@@ -13,7 +13,7 @@ that does not (``rand()``, ``limit`` without order) to a table first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,11 +63,10 @@ def join_tables(
         raise ValueError(f"how must be one of {', '.join(JOIN_TYPES)}, not {how!r}")
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {', '.join(STRATEGIES)}, not {strategy!r}")
-    for side, df in (("left", left), ("right", right)):
-        missing = [k for k in keys if k not in df.columns]
-        if missing:
-            raise ValueError(f"the {side} table has no column {', '.join(missing)}")
-    right = _without_clashes(left, right, keys, suffix)
+    fold = _folding(left)
+    keys = [_found(left, k, fold, "left") for k in keys]
+    spelled = {_found(right, k, fold, "right"): k for k in keys}
+    right = _without_clashes(left, right.withColumnsRenamed(spelled), keys, suffix, fold)
 
     if strategy != "shuffle" and fits_broadcast(right, broadcast_max_rows, broadcast_max_bytes):
         return _broadcast_join(left, right, keys, how)
@@ -107,16 +106,44 @@ def psi_join(
     return joined if order_by is None else sort_table(joined, order_by)
 
 
+def _folding(df: DataFrame) -> Callable[[str], str]:
+    """How the session compares column names."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    return str if exact else str.lower
+
+
+def _found(df: DataFrame, name: str, fold: Callable[[str], str], side: str) -> str:
+    """The table's own spelling of a column."""
+    found = [c for c in df.columns if fold(c) == fold(name)]
+    if len(found) != 1:
+        raise ValueError(f"the {side} table has {len(found) or 'no'} column {name}")
+    return found[0]
+
+
 def _without_clashes(
-    left: DataFrame, right: DataFrame, keys: list[str], suffix: str | None
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    suffix: str | None,
+    fold: Callable[[str], str],
 ) -> DataFrame:
-    clashes = [c for c in right.columns if c in left.columns and c not in keys]
+    taken = {fold(c) for c in left.columns}
+    clashes = [c for c in right.columns if fold(c) in taken and c not in keys]
     if not clashes:
         return right
     if not suffix:
         raise ValueError(f"both tables hold {', '.join(clashes)}; give a suffix for the right side's")
     renamed = right.withColumnsRenamed({c: c + suffix for c in clashes})
-    return _without_clashes(left, renamed, keys, None)
+    return _without_clashes(left, renamed, keys, None, fold)
+
+
+def _col(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def _cols(names: Sequence[str]) -> list[Column]:
+    return [_col(n) for n in names]
 
 
 def _broadcast_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -127,8 +154,8 @@ def _broadcast_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
         return left.join(F.broadcast(right), on=keys, how=how)
     joined = left.join(F.broadcast(right), on=keys, how="inner" if how == "right" else "left")
     matched = (
-        left.select(*keys)
-        .join(F.broadcast(right.select(*keys)), on=keys, how="left_semi")
+        left.select(*_cols(keys))
+        .join(F.broadcast(right.select(*_cols(keys))), on=keys, how="left_semi")
         .distinct()
     )
     alone = right.join(F.broadcast(matched), on=keys, how="left_anti")
@@ -140,7 +167,7 @@ def _shuffle_join(
 ) -> DataFrame:
     # The same null filter on every use of a side lets Spark shuffle that side once.
     left_keyed, right_keyed = (
-        df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        df.where(reduce(lambda a, b: a & b, [_col(k).isNotNull() for k in keys]))
         for df in (left, right)
     )
     if num_partitions is None:
@@ -161,8 +188,8 @@ def _unmatched(
     whole: DataFrame, keyed: DataFrame, other: DataFrame, keys: list[str]
 ) -> list[DataFrame]:
     """Rows of ``whole`` whose key is not in ``other``, and those with a null key."""
-    alone = keyed.join(other.select(*keys).distinct().hint("merge"), on=keys, how="left_anti")
-    return [alone, whole.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))]
+    alone = keyed.join(other.select(*_cols(keys)).distinct().hint("merge"), on=keys, how="left_anti")
+    return [alone, whole.where(reduce(lambda a, b: a | b, [_col(k).isNull() for k in keys]))]
 
 
 def _as_joined(
@@ -172,13 +199,13 @@ def _as_joined(
     names = keys + [c for side in (left, right) for c in side.columns if c not in keys]
     kept = {"left": left, "right": right}.get(how)
     if kept is None:
-        return df.select(*names)
-    return df.select(*(_typed(df, kept, c) if c in keys else F.col(c) for c in names))
+        return df.select(*_cols(names))
+    return df.select(*(_typed(df, kept, c) if c in keys else _col(c) for c in names))
 
 
 def _typed(df: DataFrame, like: DataFrame, name: str) -> Column:
     wanted = like.schema[name].dataType
-    return F.col(name) if df.schema[name].dataType == wanted else F.col(name).cast(wanted).alias(name)
+    return _col(name) if df.schema[name].dataType == wanted else _col(name).cast(wanted).alias(name)
 
 
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame:
@@ -192,22 +219,22 @@ def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], n: int) ->
     hot = (
         _hot_keys(left, keys, n, _FAN_L)
         .unionByName(_hot_keys(right, keys, n, _FAN_R), allowMissingColumns=True)
-        .groupBy(*keys)
+        .groupBy(*_cols(keys))
         .agg(*(F.coalesce(F.max(f), F.lit(1)).alias(f) for f in (_FAN_L, _FAN_R)))
     )
     salted_left = _salt(left, hot, keys, own=(_SALT_L, _FAN_L), other=(_SALT_R, _FAN_R))
     salted_right = _salt(right, hot, keys, own=(_SALT_R, _FAN_R), other=(_SALT_L, _FAN_L))
     salted_keys = [*keys, _SALT_L, _SALT_R]
-    return (
-        salted_left.repartition(n, *salted_keys)
-        .join(salted_right.repartition(n, *salted_keys).hint("merge"), on=salted_keys, how="inner")
-        .drop(_SALT_L, _SALT_R)
+    spread_left, spread_right = (
+        df.repartition(n, *_cols(salted_keys)) for df in (salted_left, salted_right)
     )
+    joined = spread_left.join(spread_right.hint("merge"), on=salted_keys, how="inner")
+    return joined.drop(_SALT_L, _SALT_R)
 
 
 def _hot_keys(df: DataFrame, keys: list[str], n: int, fan: str) -> DataFrame:
     share = max(df.count() // n, 1)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(fan))
+    counts = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(fan))
     return counts.where(F.col(fan) > share).withColumn(fan, F.ceil(F.col(fan) / share).cast("int"))
 
 

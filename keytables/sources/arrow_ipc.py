@@ -122,12 +122,20 @@ def read_arrow(
 def write_arrow(
     df: DataFrame,
     path: str,
-    mode: str = "append",
+    mode: str = "error",
     compression: str | None = None,
     **options: str,
 ) -> None:
-    """Write one file per non-empty partition, in partition order. ``compression`` is lz4 or zstd."""
+    """Write one file per non-empty partition, in partition order.
+
+    ``mode`` is error (if there are files already), append or overwrite; ``compression`` lz4 or zstd.
+    """
     register(df.sparkSession)
+    if mode == "error":
+        store, base = open_store({k.lower(): v for k, v in options.items()}, path)
+        if _data_files(store, base):
+            raise FileExistsError(f"{path} holds files already")
+        mode = "append"
     writer = df.write.format(FORMAT).mode(mode).options(**options)
     if compression:
         writer = writer.option("compression", compression)

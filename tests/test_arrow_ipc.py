@@ -240,6 +240,8 @@ def test_append_and_overwrite(spark, tmp_path):
     write_arrow(spark.range(0, 10, 1, 2), path)
     write_arrow(spark.range(10, 20, 1, 2), path, mode="append")
     assert [r.id for r in read_arrow(spark, path).collect()] == list(range(20))
+    with pytest.raises(FileExistsError):
+        write_arrow(spark.range(1), path)
     write_arrow(spark.range(20, 30, 1, 2), path, mode="overwrite", compression="zstd")
     assert [r.id for r in read_arrow(spark, path).collect()] == list(range(20, 30))
     assert len(parts(tmp_path / "t")) == 2
@@ -247,7 +249,7 @@ def test_append_and_overwrite(spark, tmp_path):
 
 def test_append_to_a_directory_of_foreign_files(spark, two_files):
     more = spark.createDataFrame([(99, "y")], "a long, b string")
-    write_arrow(more, str(two_files))
+    write_arrow(more, str(two_files), mode="append")
     assert read_arrow(spark, str(two_files)).count() == 21
 
 

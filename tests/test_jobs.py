@@ -117,3 +117,25 @@ def test_a_cluster_must_name_its_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(), "x")
+
+
+def test_jdbc_saver_reads_back_in_slices(spark, orders, monkeypatch):
+    calls = []
+
+    def write(df, url, table, properties):
+        calls.append((url, table, properties))
+        return table or "result_0"
+
+    def read(session, url, table, key, slices, dialect, properties):
+        calls.append((url, table, key, slices, dialect, properties))
+        return orders
+
+    monkeypatch.setattr(jobs, "write_jdbc", write)
+    monkeypatch.setattr(jobs, "read_jdbc_hashed", read)
+    save = jobs.jdbc_saver("jdbc:x", "o_orderkey", "mysql", num_partitions=3, properties={"user": "me"})
+    saved = save(orders)
+    assert saved(["o_custkey"]).columns == ["o_custkey"]
+    assert calls == [
+        ("jdbc:x", None, {"user": "me"}),
+        ("jdbc:x", "result_0", "o_orderkey", 3, "mysql", {"user": "me"}),
+    ]

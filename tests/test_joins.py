@@ -75,6 +75,24 @@ def test_same_named_columns_need_a_suffix(left, right):
         join_tables(left.withColumnRenamed("v", "m_r"), right, "k", suffix="_r")
 
 
+@pytest.mark.parametrize("how", JOIN_TYPES)
+@pytest.mark.parametrize("strategy,partitions", LAYOUTS)
+def test_odd_names_and_tables_of_one_origin(left, how, strategy, partitions):
+    a = left.select(F.col("k").alias("the.key"), "v")
+    b = left.where("k <> 5").select(F.col("k").alias("THE.KEY"), F.col("v").alias("w`1"))
+    got = join_tables(a, b, "The.Key", how, strategy, num_partitions=partitions)
+    assert got.columns == ["the.key", "v", "w`1"]
+    plain = left.select("k", "v").join(
+        left.where("k <> 5").select("k", F.col("v").alias("w")), "k", how
+    )
+    assert rows(got) == rows(plain)
+
+
+def test_names_that_differ_in_case_clash(left, right):
+    with pytest.raises(ValueError, match="both tables hold M"):
+        join_tables(left, right.withColumnRenamed("m", "M"), "K")
+
+
 def test_refused_arguments(left, right):
     for wrong in (
         dict(how="cross"),
