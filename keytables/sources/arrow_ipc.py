@@ -148,14 +148,12 @@ class ArrowIpcDataSource(DataSource):
         return FORMAT
 
     def schema(self) -> StructType:
-        store, files = list_files(self.options)
-        if not files:
-            raise FileNotFoundError(f"no Arrow file at {_paths(self.options)}")
-        with store.open_input_file(files[0].path) as f:
+        store, path = first_file(self.options)
+        with store.open_input_file(path) as f:
             whole = spark_schema(ipc.open_file(f).schema)
         columns = self.options.get("columns")
         if columns:
-            return StructType([_one_field(whole, c, files[0].path) for c in json.loads(columns)])
+            return StructType([_one_field(whole, c, path) for c in json.loads(columns)])
         # Kept with the source: the reader then holds every file to this very schema.
         self.whole = True
         return whole
@@ -412,6 +410,21 @@ def _addressed_store(options: Mapping[str, str]) -> fs.FileSystem:
     )
 
 
+def first_file(options: Mapping[str, str]) -> tuple[fs.FileSystem, str]:
+    """The file that gives the schema. A directory with a manifest is not walked for it."""
+    options = {k.lower(): v for k, v in options.items()}
+    for path in _paths(options)[:1]:
+        store, base = open_store(options, path)
+        info = _matches(store, base)[0]
+        listed = _manifest(store, info.path) if info.type == fs.FileType.Directory else None
+        if listed:
+            return store, posixpath.join(info.path, listed[0])
+    store, files = list_files(options)
+    if not files:
+        raise FileNotFoundError(f"no Arrow file at {_paths(options)}")
+    return store, files[0].path
+
+
 def list_files(options: Mapping[str, str]) -> tuple[fs.FileSystem, list[fs.FileInfo]]:
     """The store and the files of all paths, in the order given. All paths are on one store."""
     options = {k.lower(): v for k, v in options.items()}

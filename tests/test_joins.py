@@ -1,6 +1,8 @@
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keytables.operators import fits_broadcast, join_tables, key_filter, psi_join
@@ -196,6 +198,16 @@ def test_a_hot_key_is_salted_in_a_pinned_layout(hot, even):
     assert max(sizes.values()) < total / 3
 
 
+@settings(deadline=None, max_examples=4)
+@given(st.lists(st.none() | st.integers(0, 3), max_size=60), st.lists(st.integers(0, 4), max_size=60))
+@pytest.mark.parametrize("how", JOIN_TYPES)
+def test_salted_joins_of_two_hot_sides(spark, how, lefts, rights):
+    a = spark.createDataFrame(list(enumerate(lefts)), "v int, k int")
+    b = spark.createDataFrame(list(enumerate(rights)), "w int, k int")
+    got = join_tables(a, b, "k", how, "shuffle", num_partitions=4)
+    assert rows(got) == rows(a.join(b, "k", how))
+
+
 def test_unmatched_rows_reuse_the_shuffled_side(hot, even, small_splits):
     got = join_tables(hot, even, "k", "outer", "shuffle")
     summary = got.agg(F.max(F.xxhash64(*got.columns)))
