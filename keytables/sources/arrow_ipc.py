@@ -31,6 +31,7 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
+from weakref import WeakSet
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -73,6 +74,8 @@ _ROWS_PER_BATCH = 10_000
 _WILDCARDS = "*?["
 _REQUESTS = 32
 
+_known: WeakSet[SparkSession] = WeakSet()
+
 
 class Slice(NamedTuple):
     """Part ``index`` of ``count`` equal parts of a file."""
@@ -91,8 +94,13 @@ class Written(WriterCommitMessage):
 def register(spark: SparkSession) -> None:
     """Make the format known to the session. The source travels to the workers by value, so they need
     pyarrow but not this package."""
+    if spark in _known:
+        return
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    # Spark looks for the name in the active session, which a session becomes by making a table.
+    spark.createDataFrame([], "active int")
     spark.dataSource.register(ArrowIpcDataSource)
+    _known.add(spark)
 
 
 def read_arrow(

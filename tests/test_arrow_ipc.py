@@ -136,6 +136,13 @@ def test_directory_glob_list_and_uri(spark, two_files):
     assert read_arrow(spark, f"{base[:-1]}?/f0.arrow").count() == 10
 
 
+def test_further_sessions_know_the_format(spark, two_files):
+    register(spark)
+    for _ in range(2):
+        other = spark.newSession()
+        assert read_arrow(other, str(two_files)).count() == 20
+
+
 def test_named_columns_only(spark, two_files):
     got = read_arrow(spark, str(two_files), columns=["b"])
     assert got.columns == ["b"] and got.count() == 20
