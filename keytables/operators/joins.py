@@ -47,7 +47,8 @@ def join_tables(
     - ``auto``: the right side is measured and, if it fits the limits, broadcast, for every join type.
       Spark alone would often shuffle the left side first: it knows no size of Arrow files or database
       tables before it has read them. Beyond the limits an inner join is left to Spark, which may
-      broadcast the left side and splits hot keys; other types take the shuffle form.
+      broadcast the left side and splits hot keys; other types take the shuffle form. Measuring
+      computes the right side once more; ``broadcast_max_rows=0`` measures nothing.
     - ``broadcast``: the same, but always the shuffle form beyond the limits.
     - ``shuffle``: both sides are shuffled on the keys and nothing is measured. ``num_partitions`` pins
       the partition count; adaptive execution does not touch a pinned layout, so hot keys are then

@@ -60,7 +60,8 @@ def key_filter(
     A key list is measured and, if it fits the limits, broadcast, so that ``df`` is not shuffled.
     Beyond them ``semi`` makes the keys distinct, with a partial aggregation before the shuffle. That
     leaves ``df`` as the only side that can be skewed, and adaptive execution splits that side of a
-    semi join, or either side of an inner one.
+    semi join, or either side of an inner one. Measuring computes the list once more: for one that is
+    derived from a large table, ``broadcast_max_rows=0`` leaves the choice to Spark.
     """
     if multiplicity not in ("semi", "inner"):
         raise ValueError(f"multiplicity must be semi or inner, not {multiplicity!r}")

@@ -40,9 +40,9 @@ def fits_broadcast(
     """Whether ``df`` has fewer than ``max_rows`` rows and at most ``max_bytes`` bytes of values.
 
     Runs a count, which reads no column of a Parquet table. The size is measured for a small table
-    only, and not where the column types bound it.
+    only, and not where the column types bound it. A ``max_rows`` of 0 runs nothing.
     """
-    if df.count() >= max_rows:
+    if max_rows <= 0 or df.count() >= max_rows:
         return False
     fixed = all(isinstance(f.dataType, _FIXED_WIDTH) for f in df.schema)
     if fixed and max_rows * _WIDEST * len(df.columns) <= max_bytes:

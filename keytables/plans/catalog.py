@@ -149,16 +149,16 @@ _PSI = (
     f" WHERE o_orderkey IN ({_LARGE_LINES})"
 )
 def key_filter_semi(spark, folder):
-    orders = key_filter(
-        _table(spark, folder, "orders"), {"o_orderkey": _large_lines(spark, folder)}
-    )
+    # The list comes from the largest table: Spark decides, rather than computing it twice.
+    keys = {"o_orderkey": _large_lines(spark, folder)}
+    orders = key_filter(_table(spark, folder, "orders"), keys, broadcast_max_rows=0)
     return project(orders, ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
 @_query(f"SELECT * FROM orders JOIN ({_LARGE_LINES}) USING (o_orderkey)")
 def key_filter_inner(spark, folder):
     keys = {"o_orderkey": _large_lines(spark, folder)}
-    return key_filter(_table(spark, folder, "orders"), keys, multiplicity="inner")
+    return key_filter(_table(spark, folder, "orders"), keys, "inner", broadcast_max_rows=0)
 
 
 @_query(
@@ -169,7 +169,7 @@ def key_filter_multi(spark, folder):
         "o_orderkey": _large_lines(spark, folder),
         "o_custkey": _household(spark, folder),
     }
-    return key_filter(_table(spark, folder, "orders"), keys)
+    return key_filter(_table(spark, folder, "orders"), keys, broadcast_max_rows=0)
 
 
 @_query("SELECT event_id, user_id, event_type, props FROM events")

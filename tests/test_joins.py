@@ -106,6 +106,12 @@ def test_refused_arguments(left, right):
             join_tables(left, right, **{"on": "k", "suffix": "_r", **wrong})
 
 
+def test_no_rows_allowed_means_nothing_is_measured(spark):
+    broken = spark.range(1).select(F.raise_error(F.lit("computed")).cast("long").alias("k"))
+    assert not fits_broadcast(broken, max_rows=0)
+    join_tables(spark.range(3).toDF("k"), broken, "k", broadcast_max_rows=0)
+
+
 def test_size_limits(spark):
     df = spark.createDataFrame([("a" * 100,)] * 10, "s string")
     assert fits_broadcast(df, max_rows=11, max_bytes=1000)
