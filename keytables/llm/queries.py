@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from keytables.llm import piece_encoding, token_files, url_filters
+from keytables.llm import minhash_dedup, piece_encoding, token_files, url_filters
 from keytables.llm.mixing import mix_sources, repetition_rates
 from keytables.sources.scratch import scratch_path
 
@@ -41,8 +41,14 @@ def op1_token_files(spark, folder):
     token_files.write_token_files(
         _table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2
     )
-    rows = token_files.token_digests(token_files.read_token_files(spark, path))
-    return token_files.token_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    files = token_files.read_token_files(spark, path)
+    return token_files.token_starts(token_files.token_digests(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@_query()
+def op3_minhash_dedup(spark, folder):
+    """The near-duplicate group of every document."""
+    return minhash_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
 @_query()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from keytables.llm.words import SPACES, pieces, range_hashes, take_lists, text_bytes
 
 # Texts are encoded in pieces of about so many bytes.
-PIECE_BYTES = 6 * 1024 * 1024
+PIECE_BYTES = 3 * 1024 * 1024
 
 
 def _white_ends(data: np.ndarray) -> np.ndarray:
@@ -57,7 +57,7 @@ class TextEncoder:
     call to the next, then begun anew; that changes no result.
     """
 
-    def __init__(self, tokenizer_file: str, remember: int = 1_500_000):
+    def __init__(self, tokenizer_file: str, remember: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -96,11 +96,13 @@ class TextEncoder:
             lengths.append(np.diff(begin, append=len(found)))
         length = np.concatenate(lengths)
         start = np.cumsum(length) - length + len(self._ids)
-        every = np.concatenate([self._hashes, hashes[np.concatenate([alone, rest])]])
-        order = np.argsort(every)
-        self._hashes = every[order]
-        self._start = np.concatenate([self._start, start])[order]
-        self._length = np.concatenate([self._length, length])[order]
+        added = hashes[np.concatenate([alone, rest])]
+        order = np.argsort(added)
+        added = added[order]
+        at = np.searchsorted(self._hashes, added)
+        self._hashes = np.insert(self._hashes, at, added)
+        self._start = np.insert(self._start, at, start[order])
+        self._length = np.insert(self._length, at, length[order])
         self._ids = np.concatenate([self._ids, *ids])
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -215,12 +217,13 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: Sequence[int] | No
     return rows if doc_ids is None else rows.where(F.col("doc_id").isin(list(doc_ids)))
 
 
-def token_starts(rows: DataFrame) -> DataFrame:
-    """Adds ``start``, the ids of all documents before, to rows with ``part, at, n_tokens``.
+def token_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds ``start``, the ids of all documents before, to rows with ``part, at``.
 
-    The running sum goes over one row per file, whatever the files hold.
+    ``files`` are the rows of the token files, of which only ``part`` and ``n_tokens`` are read here. The running
+    sum goes over one row per file, whatever the files hold.
     """
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = parts.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first"))
     return rows.join(firsts, on="part").withColumn("start", F.col("first") + F.col("at")).drop("first")
