@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytables.llm import mixing, piece_encoding
-from keytables.sources.scratch import scratch_path
+from keytables.llm import minhash_dedup, mixing, ordinal_quality, piece_encoding, substring_dedup
+from keytables.sources.scratch import scratch_path, write_scratch
 
 # The shares of characters that the sources are mixed to.
 SOURCE_WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
@@ -41,6 +41,33 @@ MIX_SQL = """
 ORACLE_SQL = None
 
 
+def ratings(labels: DataFrame) -> DataFrame:
+    """Grades from 0 to 2: one for good quality, one for not being toxic."""
+    grade = F.col("quality").cast("double") + F.when(F.col("toxic") == 0, 1.0).when(F.col("toxic").isNotNull(), 0.0)
+    return labels.select("doc_id", grade.alias("rating"))
+
+
+def choose(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = ordinal_quality.train(docs, ratings(labels))
+    return ordinal_quality.grade(docs, model).where("selected").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = minhash_dedup.near_duplicates(docs).where("kept").groupBy("doc_id").count()
+    kept = write_scratch(kept, "kept-documents")
+    left = docs.join(kept.where("count = 1"), on="doc_id", how="left_semi")
+    repeated = kept.where("count > 1")
+    if repeated.isEmpty():
+        return left
+    # Rows that share an id and are of one group; the id alone does not choose between them.
+    return left.unionByName(docs.join(repeated, on="doc_id", how="left_semi").dropDuplicates(["doc_id"]))
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(docs).select(*docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rates = mixing.repetition_rates(docs, "source", SOURCE_WEIGHTS, size=F.col("n_chars"))
     return mixing.mix_sources(docs, "source", rates).select(*docs.columns)
@@ -51,6 +78,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", choose),
+    ("near duplicates", drop_near_duplicates),
+    ("substrings", drop_repeats),
     ("mixing", mix),
     ("encoding", encode),
 ]

@@ -17,7 +17,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from keytables.llm.frames import extended
 from keytables.llm.token_files import id_lists
 from keytables.llm.words import pieces
 
@@ -236,7 +238,7 @@ def encode_documents(documents: DataFrame, model_file: str, column: str = "text"
                 ids = id_lists(np.frombuffer(b"".join(raw), "<i4"), np.array([len(x) // 4 for x in raw], np.int64))
                 yield pa.RecordBatch.from_arrays([*piece.columns, ids], [*names, into])
 
-    schema = rows.schema.add(into, "array<int>")
+    schema = extended(rows.schema, **{into: ArrayType(IntegerType())})
     return rows.mapInArrow(encode, schema)
 
 
@@ -251,7 +253,7 @@ def decode_documents(encoded: DataFrame, model_file: str, column: str = "ids", i
             texts = [None if x is None else encoder.decode(x) for x in batch[column].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, into])
 
-    return rows.mapInArrow(decode, rows.schema.add(into, "string"))
+    return rows.mapInArrow(decode, extended(rows.schema, **{into: StringType()}))
 
 
 def round_trip_digests(documents: DataFrame, model_file: str) -> DataFrame:

@@ -12,7 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from keytables.llm import minhash_dedup, piece_encoding, token_files, url_filters
+from keytables.llm import (
+    grid_join,
+    language_id,
+    minhash_dedup,
+    ordinal_quality,
+    permutation_index,
+    piece_encoding,
+    substring_dedup,
+    token_files,
+    url_filters,
+)
 from keytables.llm.mixing import mix_sources, repetition_rates
 from keytables.sources.scratch import scratch_path
 
@@ -45,12 +55,27 @@ def op1_token_files(spark, folder):
     return token_files.token_starts(token_files.token_digests(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query()
+def op2_grid_join(spark, folder):
+    """The near-duplicate group of every vector."""
+    return grid_join.link_vectors(_table(spark, folder, "embeddings"), 0.95)
+
+
 @_query()
 def op3_minhash_dedup(spark, folder):
     """The near-duplicate group of every document."""
     return minhash_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query()
+def op4_ordinal_quality(spark, folder):
+    """Every document's expected grade and whether it is good enough; grades are learnt from the labels."""
+    documents = _table(spark, folder, "documents")
+    model = ordinal_quality.train(documents, corpus_pipeline.ratings(_table(spark, folder, "labels")))
+    graded = ordinal_quality.grade(documents, model)
+    return graded.select("doc_id", "expected_grade", "tail_probability", "selected")
+
+
 @_query()
 def op5_piece_encoding(spark, folder):
     """Ids of the merge-type model, their digest, and that of the text decoded from them."""
@@ -142,6 +167,14 @@ def op7_url_filters(spark, folder):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_query()
+def op6_substring_dedup(spark, folder):
+    """What is left of every document without the passages of 13 words that smaller documents have."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    kept = substring_dedup.remove_repeats(documents, join_always=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @_query(corpus_pipeline.MIX_SQL)
 def op8_mixing(spark, folder):
     """All documents, repeated so that the sources' shares of characters are as the weights."""
@@ -150,6 +183,24 @@ def op8_mixing(spark, folder):
     return mix_sources(documents, "source", rates)
 
 
+@_query()
+def op9_permutation_index(spark, folder):
+    """The ten nearest of every hundredth vector."""
+    vectors = _table(spark, folder, "embeddings")
+    return permutation_index.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@_query()
+def op10_language_id(spark, folder):
+    """The language of every document, learnt from four fifths of them."""
+    documents = _table(spark, folder, "documents").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    )
+    model = language_id.train(documents.where(~F.col("held_out")))
+    texts = documents.select("doc_id", "held_out", "text")
+    return language_id.identify(texts, model).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 @_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     """The stages of corpus_pipeline, one after the other."""
