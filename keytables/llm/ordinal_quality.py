@@ -21,8 +21,12 @@ from keytables.llm.words import LOWER, Words, mix, pieces, range_hashes, split_w
 BUCKETS = 1 << 18
 # At most so many rated documents are fitted on (twice as many at the very most, being drawn by hash).
 MAX_ROWS = 12_000
+# Bytes of a word's beginning that are a feature of their own.
+STEM = 4
 # A bucket that fewer documents of the sample have says nothing.
 LEAST_DOCUMENTS = 6
+# Nor one whose mean rating is within so many standard errors of the mean of all.
+LEAST_Z = 4.0
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -65,15 +69,19 @@ def _forms(words: Words) -> np.ndarray:
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct buckets of each text, one text after the other, and how many each has.
 
-    A text has the words in it, lower-cased and without signs around them; which forms its words have, and
+    A text has the words in it and their first bytes, lower-cased and without signs around them; which forms its words have, and
     roughly how large a share each has; and how often words repeat, roughly.
     """
     words = split_words(texts)
     owner = np.repeat(np.arange(len(texts)), words.count)
     some, begin, end = _cores(words)
-    core = range_hashes(LOWER[words.data], begin, end)
-    bucket = (core >> np.uint64(46)).astype(np.int64)
+    lower = LOWER[words.data]
+    bucket = (range_hashes(lower, begin, end) >> np.uint64(46)).astype(np.int64)
     core_keys = np.unique(owner[some] * BUCKETS + bucket)
+    # Words are built from stems, so their beginnings count as well.
+    long = end - begin > STEM
+    stems = mix(range_hashes(lower, begin[long], begin[long] + STEM) + np.uint64(STEM))
+    stem_keys = np.unique(owner[some[long]] * BUCKETS + (stems >> np.uint64(46)).astype(np.int64))
 
     form = (mix(_forms(words) + np.uint64(1)) >> np.uint64(46)).astype(np.int64)
     form_keys, seen = np.unique(owner * BUCKETS + form, return_counts=True)
@@ -86,7 +94,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     total = np.maximum(np.bincount(owner[some], minlength=len(texts)), 1)
     level = (np.minimum(distinct / total, 1) * 10).astype(np.uint64) * np.uint64(20) + np.log2(total + 1).astype(np.uint64)
     repeat = (mix(level + np.uint64(10**6)) >> np.uint64(46)).astype(np.int64)
-    keys = np.unique(np.concatenate([core_keys, form_keys, np.arange(len(texts)) * BUCKETS + repeat]))
+    keys = np.unique(np.concatenate([core_keys, stem_keys, form_keys, np.arange(len(texts)) * BUCKETS + repeat]))
     return keys % BUCKETS, np.bincount(keys // BUCKETS, minlength=len(texts))
 
 
@@ -94,12 +102,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(buckets: np.ndarray, counts: np.ndarray, ratings: np.ndarray, rounds: int = 200, decay: float = 2e-4) -> Model:
+def telling(buckets: np.ndarray, owner: np.ndarray, ratings: np.ndarray) -> np.ndarray:
+    """The buckets whose documents' mean rating is clearly not that of all; copies of a document count once."""
+    sums = np.zeros(len(ratings), np.uint64)
+    np.add.at(sums, owner, mix(buckets.astype(np.uint64) + np.uint64(1)))
+    _, one = np.unique(sums, return_index=True)
+    once = np.zeros(len(ratings), bool)
+    once[one] = True
+    use = once[owner]
+    n, around = len(one), ratings - ratings[one].mean()
+    documents = np.bincount(buckets[use], minlength=BUCKETS)
+    total = np.bincount(buckets[use], around[owner[use]], minlength=BUCKETS)
+    spread = np.sqrt(documents * (1 - documents / n) * around[one].var()) if n else documents
+    least = min(LEAST_DOCUMENTS, max(1, n // 20))
+    return np.flatnonzero((documents >= least) & (np.abs(total) > LEAST_Z * spread))
+
+
+def fit(buckets: np.ndarray, counts: np.ndarray, ratings: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> Model:
     """Fit by full gradients with Adam. ``ratings`` are any numbers; the distinct ones are the grades."""
     grades, y = np.unique(ratings, return_inverse=True)
     owner = np.repeat(np.arange(len(counts)), counts)
-    documents = np.bincount(buckets, minlength=BUCKETS)
-    known = np.flatnonzero(documents >= min(LEAST_DOCUMENTS, max(1, len(counts) // 20)))
+    known = telling(buckets, owner, grades[y])
     column = np.full(BUCKETS, -1)
     column[known] = np.arange(len(known))
     use = column[buckets] >= 0

@@ -25,11 +25,11 @@ class Settings(NamedTuple):
     are read for a query; of each ``block`` of a file, the share ``rerank`` with the least footrule is measured, and
     whatever ties with its last. Recall, not the answer's form, depends on them."""
 
-    pivots: int = 128
-    order: int = 32
+    pivots: int = 64
+    order: int = 64
     post: int = 6
-    visit: int = 24
-    rerank: float = 0.25
+    visit: int = 20
+    rerank: float = 0.2
     least_rerank: int = 64
     block: int = 4096
 
