@@ -1,9 +1,10 @@
 """Near-duplicate documents by MinHash: universal hash minima, banding, verification, components.
 
 Documents with equal shingle sets are one node from the start. Nodes that share a band's minima are a bucket.
-Every node is first compared with its bucket's smallest node alone, which finds the links that hold a group of
-copies together without listing its pairs. What is then still apart in a bucket is compared pair by pair, in
-blocks of bounded size, so no bucket is cut short and no candidate is dropped.
+Every node is first compared with its bucket's most copied node alone, which finds the links that hold a group of
+copies together without listing its pairs. What is then still apart in a bucket is compared pair by pair, so no
+bucket is cut short and no candidate is dropped: in small buckets the candidate pairs are rows, in large ones they
+are verified on the spot, in blocks of bounded size, and only links come out.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ BANDS, BAND_ROWS = 25, 5
 MINIMA = BANDS * BAND_ROWS
 # Signatures keep 8 bits of each minimum. A pair of 0.85 agrees in so few of 125 with a probability of 1e-5.
 LEAST_AGREEING = 88
-# Nodes of one bucket that are compared in one go.
-BLOCK = 2048
+# Buckets of more nodes than this give no candidate pairs, but links; so many nodes of one are compared in one go.
+SMALL, BLOCK = 32, 2048
 
 _rng = np.random.default_rng(11)
 _FACTOR = _rng.integers(1, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -158,6 +159,50 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
 
+def _links_apart(similarity: int):
+    """The links between different components within each run of equal ``bucket, i, j``, rows being sorted.
+
+    A pair is looked at in the first bucket that it shares, the likeliest of a node's pairs first, and once two
+    components are linked, no more pairs of theirs are looked at.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_runs(batches, ["bucket", "i", "j"]):
+            sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+            bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            lists = group["shingles"].combine_chunks()
+            values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+            node, comp, block, n = (group[c].to_numpy() for c in ("node", "component", "block", "n_shingles"))
+            here = int(np.flatnonzero(bands[0] == group["bucket"][0].as_py())[0])
+            across = group["i"][0].as_py() != group["j"][0].as_py()
+            _, code, members = np.unique(comp, return_inverse=True, return_counts=True)
+            found: list[tuple[int, int]] = []
+            for x in np.flatnonzero(code != members.argmax()).tolist():
+                others = np.flatnonzero(
+                    (code != code[x])
+                    & (100 * np.minimum(n[x], n) >= similarity * np.maximum(n[x], n))
+                    & ~(bands[:, :here] == bands[x, :here]).any(axis=1)
+                    & (~across | (block != block[x]))
+                )
+                agree = (sig[others] == sig[x]).sum(axis=1)
+                others, agree = others[agree >= LEAST_AGREEING], agree[agree >= LEAST_AGREEING]
+                mine = values[ends[x] : ends[x + 1]]
+                for y in others[np.argsort(-agree, kind="stable")].tolist():
+                    if code[y] == code[x]:
+                        continue
+                    theirs = values[ends[y] : ends[y + 1]]
+                    at = np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)
+                    both = int((theirs[at] == mine).sum())
+                    if 100 * both >= similarity * (len(mine) + len(theirs) - both):
+                        found.append((int(node[x]), int(node[y])))
+                        code[code == code[x]] = code[y]
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
 def sorted_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows with equal keys, where rows come sorted by them."""
     held: list[pa.RecordBatch] = []
@@ -195,48 +240,58 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
         raise ValueError("the bands are laid out for a similarity of 80 or more")
     documents = documents.select("doc_id", "text")
     features = write_scratch(_features(documents, size, dict(documents.dtypes)["doc_id"]), "minhash-features")
-    nodes = features.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    one = features.where("n_shingles > 0").select("node", "doc_id", "n_shingles", "signature", "bands")
-    nodes = write_scratch(one.join(nodes, on=["node", "doc_id"]).dropDuplicates(["node"]), "minhash-nodes")
-    rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = write_scratch(
-        rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1"),
-        "minhash-buckets",
-    )
-    members = write_scratch(rows.join(buckets, on="bucket"), "minhash-members")
+    full = features.where("n_shingles > 0")
+    nodes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    one = full.select("node", "doc_id", "n_shingles", "signature", "bands")
+    facts = [F.first(c).alias(c) for c in ("doc_id", "copies", "n_shingles", "signature", "bands")]
+    nodes = one.join(nodes, on=["node", "doc_id"]).groupBy("node").agg(*facts, F.count(F.lit(1)).alias("times"))
+    nodes = write_scratch(nodes, "minhash-nodes")
+    rows = nodes.select("node", "copies", F.explode("bands").alias("bucket"))
+    pivot = F.max_by("node", F.struct("copies", "node"))
+    buckets = rows.groupBy("bucket").agg(pivot.alias("pivot"), F.count(F.lit(1)).alias("members"))
+    buckets = write_scratch(buckets.where("members > 1"), "minhash-buckets")
+    members = write_scratch(rows.drop("copies").join(buckets, on="bucket"), "minhash-members")
     facts = nodes.select("node", "n_shingles", "signature")
+    # The sets of all nodes that share a bucket with another: what any verification may need.
+    wanted = write_scratch(nodes.select("node", "doc_id").join(members.select("node").distinct(), on="node"), "minhash-wanted")
+    sets = _sets(documents.join(wanted, on="doc_id"), size)
+    if not nodes.where("times > 1").isEmpty():  # the very same row is there several times
+        sets = sets.dropDuplicates(["node"])
+    sets = write_scratch(sets, "minhash-sets")
 
-    stars = members.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    links = _verified(_agreeing_pairs(stars, facts), documents, nodes, size, similarity)
+    stars = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = _verified(_agreeing_pairs(stars, facts), sets, similarity)
     groups = write_scratch(connected_components(links), "minhash-groups")
 
-    # Buckets that still hold several components: their pairs across components, block by block.
+    # Buckets that still hold several components: their pairs across components.
     placed = members.join(groups, on="node", how="left").select(
         "bucket", "members", "node", F.coalesce("component", "node").alias("component")
     )
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
     mixed = write_scratch(mixed.select("bucket"), "minhash-mixed")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rest = (
+    blocks = write_scratch(
         placed.join(mixed, on="bucket")
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .select("bucket", "node", "component", "block", other.alias("other"))
-        .select(
-            "bucket", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-        )
-        .join(facts, on="node")
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
-        .mapInArrow(_apart, "a long, b long")
-        .distinct()
+        .select("bucket", "members", "node", "component", "block", other.alias("other"))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        .drop("other"),
+        "minhash-blocks",
     )
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    small = in_order(blocks.where(F.col("members") <= SMALL).join(facts, on="node"))
+    pairs = small.mapInArrow(_apart, "a long, b long").distinct()
     checked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = write_scratch(rest.join(checked, on=["a", "b"], how="left_anti"), "minhash-rest")
-    more = _verified(rest, documents, nodes, size, similarity)
+    pairs = write_scratch(pairs.join(checked, on=["a", "b"], how="left_anti"), "minhash-rest")
+    large = blocks.where(F.col("members") > SMALL).join(nodes.select("node", "n_shingles", "signature", "bands"), on="node")
+    more = in_order(large.join(sets, on="node")).mapInArrow(_links_apart(similarity), "a long, b long")
+    more = _verified(pairs, sets, similarity).unionByName(more)
     stars_of = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    groups = write_scratch(connected_components(stars_of.unionByName(more.select("a", "b"))), "minhash-all-groups")
+    groups = write_scratch(connected_components(stars_of.unionByName(more)), "minhash-all-groups")
 
     # From nodes back to documents; only the smallest doc_id of each node takes part.
     first = nodes.select("node", "doc_id").join(groups, on="node", how="left")
@@ -270,12 +325,9 @@ def _agreeing_pairs(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return write_scratch(found, "minhash-pairs")
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, size: int, similarity: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs that are similar on their full sets."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = write_scratch(nodes.select("node", "doc_id").join(wanted, on="node"), "minhash-wanted")
-    sets = _sets(documents.join(wanted, on="doc_id"), size).withColumnRenamed("shingles", "s")
-    sets = write_scratch(sets, "minhash-sets")
+    sets = sets.withColumnRenamed("shingles", "s")
     a = sets.select(F.col("node").alias("a"), F.col("s").alias("s_a"))
     b = sets.select(F.col("node").alias("b"), F.col("s").alias("s_b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
