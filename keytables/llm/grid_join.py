@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -193,44 +193,50 @@ def _block_links(points: DataFrame, axes: np.ndarray, least: float) -> tuple[Dat
                 grid = np.floor(unit @ axes / eps).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(grid[:, i]) for i in range(used))], [*batch.schema.names, *names])
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
-        held: list[pa.RecordBatch] = []
-
-        def block(table: pa.Table) -> pa.RecordBatch:
-            nonlocal n
-            x = V.matrix(table["x"])
-            at = x / np.linalg.norm(x, axis=1, keepdims=True) @ axes
-            n += 1
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part * (1 << 32) + n]),
-                    pa.array([table["rep"].to_pylist()], pa.list_(table.schema.field("rep").type)),
-                    pa.array([table["weight"].to_pylist()], pa.list_(pa.int64())),
-                    pa.array([x.tobytes()], pa.binary()),
-                    pa.array([at.min(axis=0).tolist()]),
-                    pa.array([at.max(axis=0).tolist()]),
-                ],
-                ["block", "reps", "weights", "raw", "low", "high"],
-            )
-
         for batch in batches:
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            while table.num_rows >= BLOCK:
-                yield block(table.slice(0, BLOCK))
-                table = table.slice(BLOCK)
-            held = table.to_batches()
-        if held and (rest := pa.Table.from_batches(held)).num_rows:
-            yield block(rest)
+            at = np.arange(n, n + batch.num_rows)
+            n += batch.num_rows
+            columns = [*batch.columns, pa.array(np.full(batch.num_rows, part)), pa.array(at)]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "weight", "x", "part", "at"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("place")
+        x = V.matrix(table["x"])
+        at = x / np.linalg.norm(x, axis=1, keepdims=True) @ axes
+        return pa.table(
+            {
+                "block": pa.array([table["block"][0].as_py()], pa.int64()),
+                "reps": pa.array([table["rep"].to_pylist()], pa.list_(table.schema.field("rep").type)),
+                "weights": pa.array([table["weight"].to_pylist()], pa.list_(pa.int64())),
+                "raw": pa.array([x.tobytes()], pa.binary()),
+                "low": pa.array([at.min(axis=0).tolist()]),
+                "high": pa.array([at.max(axis=0).tolist()]),
+            }
+        )
 
     schema = extended(points.schema, **{name: IntegerType() for name in names})
-    blocks = (
+    ordered = (
         points.mapInArrow(cells, schema)
         .repartitionByRange(*names)
         .sortWithinPartitions(*names)
         .select("rep", "weight", "x")
-        .mapInArrow(cut, f"block long, reps array<{id_type}>, weights array<long>, raw binary, low array<double>, high array<double>")
+        .mapInArrow(number, f"rep {id_type}, weight long, x array<double>, part long, at long")
+    )
+    ordered = write_scratch(ordered, "grid-order")
+    # Places in the whole order come from one row per partition; blocks are of so many places.
+    parts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    placed = ordered.join(firsts, on="part").withColumn("place", F.col("first") + F.col("at"))
+    blocks = (
+        placed.withColumn("block", F.floor(F.col("place") / BLOCK))
+        .select("block", "place", "rep", "weight", "x")
+        .groupBy("block")
+        .applyInArrow(
+            pack, f"block long, reps array<{id_type}>, weights array<long>, raw binary, low array<double>, high array<double>"
+        )
     )
     blocks = write_scratch(blocks, "grid-blocks")
 
