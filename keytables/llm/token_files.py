@@ -54,23 +54,30 @@ class TextEncoder:
     Such a tokenizer cuts a text before a single space between two characters that are no white space,
     whatever else surrounds them. So texts are cut there, and each distinct part is encoded once.
     Parts are told apart by a 64-bit hash. The ids of up to ``remember`` parts are kept in flat arrays from one
-    call to the next, then begun anew; that changes no result.
+    call to the next; then those seen only once are let go, or all, if they are few. That changes no result.
     """
 
-    def __init__(self, tokenizer_file: str, remember: int = 1_000_000):
+    def __init__(self, tokenizer_file: str, remember: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         size = self._tokenizer.get_vocab_size()
         self._spaced = np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self._remember = remember
-        self._forget()
-
-    def _forget(self) -> None:
         self._hashes = np.empty(0, np.uint64)  # sorted
-        self._start = self._length = np.empty(0, np.int64)
+        self._start = self._length = np.empty(0, np.int32)
+        self._seen = np.empty(0, np.int8)
         self._ids = np.empty(0, np.int32)
 
+    def _let_go(self) -> None:
+        keep = np.flatnonzero(self._seen > 1)
+        if len(keep) > self._remember // 2:
+            keep = keep[:0]
+        self._ids = take_lists(self._ids, self._start[keep], self._length[keep])
+        self._hashes, self._length = self._hashes[keep], self._length[keep]
+        self._start = (np.cumsum(self._length) - self._length).astype(np.int32)
+        self._seen = np.ones(len(keep), np.int8)
+
     def _each(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.int32) for e in found]
@@ -101,8 +108,9 @@ class TextEncoder:
         added = added[order]
         at = np.searchsorted(self._hashes, added)
         self._hashes = np.insert(self._hashes, at, added)
-        self._start = np.insert(self._start, at, start[order])
-        self._length = np.insert(self._length, at, length[order])
+        self._start = np.insert(self._start, at, start[order].astype(np.int32))
+        self._length = np.insert(self._length, at, length[order].astype(np.int32))
+        self._seen = np.insert(self._seen, at, np.int8(0))
         self._ids = np.concatenate([self._ids, *ids])
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -128,13 +136,14 @@ class TextEncoder:
         hashes[head] ^= np.uint64(0x5555555555555555)
         distinct, first, codes = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self._hashes) > self._remember:
-            self._forget()
+            self._let_go()
         new = np.flatnonzero(~np.isin(distinct, self._hashes, assume_unique=True))
         raw, where = data.tobytes(), first[new]
         parts = [raw[a:b].decode() for a, b in zip(start[where].tolist(), stop[where].tolist())]
         self._learn(distinct[new], parts, head[where])
-        known = np.searchsorted(self._hashes, distinct)[codes]
-        begin, length = self._start[known], self._length[known]
+        known = np.searchsorted(self._hashes, distinct)
+        self._seen[known] = np.minimum(self._seen[known], 100) + 1
+        begin, length = (x[known[codes]].astype(np.int64) for x in (self._start, self._length))
         values = self._ids
         firsts = np.flatnonzero(head)
         if end_id is not None:
