@@ -182,8 +182,8 @@ def _compare_all(rows: DataFrame, short: DataFrame, k: int, schema: str) -> Data
     r_blocks = max(1, -(-rows.count() // rows_per))
     a = short.select("vec_id", "x", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).alias("i"), F.lit(True).alias("asks"))
     b = rows.select("vec_id", "x", F.pmod(F.xxhash64("vec_id", "x"), F.lit(r_blocks)).alias("j"), F.lit(False).alias("asks"))
-    a = a.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))).cast("long"))
-    b = b.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("long"))
+    a = a.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(r_blocks - 1).cast("long"))))
+    b = b.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_runs(batches, ["i", "j"]):

@@ -1,0 +1,160 @@
+"""The registered queries at a small scale: against their SQL, or against the plain versions."""
+
+import hashlib
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from helpers import groups, shingle_set, without_repeats
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from keytables.llm.queries import QUERIES, SQL
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def _table(spark, name):
+    return spark.read.parquet(f"{FOLDER}/{name}.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r.doc_id: r.text for r in _table(spark, "documents").select("doc_id", "text").collect()}
+
+
+def test_all_are_registered():
+    assert QUERIES.keys() <= queries().keys() and SQL.keys() <= oracle_sql().keys()
+    numbers = [int(n.split("_")[0][2:]) for n in QUERIES if n.startswith("op")]
+    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for file in sorted(Path(FOLDER).glob("*.parquet")):
+        duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    found = duck.execute(SQL[name])
+    columns = [c[0] for c in found.description]
+    got = QUERIES[name](spark, FOLDER)
+    assert sorted(got.columns) == sorted(columns)
+    assert Counter(map(tuple, got.select(*columns).collect())) == Counter(found.fetchall())
+
+
+def test_op1(spark, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {r.doc_id: r for r in QUERIES["op1_token_files"](spark, FOLDER).collect()}
+    at = 0
+    for i in sorted(texts):
+        ids = [*tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, 2]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), crc)
+        at += len(ids)
+    assert len(got) == len(texts)
+
+
+def test_op2(spark):
+    rows = _table(spark, "embeddings").orderBy("vec_id").collect()
+    x = np.array([r.embedding for r in rows], float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    got = QUERIES["op2_grid_join"](spark, FOLDER).orderBy("vec_id").collect()
+    assert [r.n_links for r in got] == near.sum(axis=1).tolist()
+    for r in got:
+        linked = np.flatnonzero(near[[s.vec_id for s in got].index(r.vec_id)])
+        assert all(got[j].component_id == r.component_id for j in linked)
+        assert r.kept == (r.component_id == r.vec_id) and (len(linked) or r.kept)
+
+
+def test_op3(spark, texts):
+    sets = {i: shingle_set(t, 5) for i, t in texts.items()}
+    want = groups(sets, 85)
+    got = QUERIES["op3_minhash_dedup"](spark, FOLDER).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), want[i]) for i, s in sets.items()}
+
+
+def test_op4(spark):
+    """On a table with a few hundred labels; there are 87 in the smallest one."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = QUERIES["op4_ordinal_quality"](spark, folder).join(labels, "doc_id", "left").toPandas()
+    assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    rated = got.dropna(subset=["quality"])
+    good = (rated.quality == 1) & (rated.toxic == 0)
+    assert (rated.selected == good).mean() > 0.9
+
+
+def test_op5(spark, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in QUERIES["op5_piece_encoding"](spark, FOLDER).collect():
+        ids = library.encode(texts[r.doc_id] or "", add_eos=True)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_op6(spark, texts):
+    got = {r.doc_id: r for r in QUERIES["op6_substring_dedup"](spark, FOLDER).collect()}
+    for i, w, kept in without_repeats(list(texts.items()), 13):
+        assert (got[i].n_words, got[i].n_removed) == (len(w), len(w) - len(kept))
+        assert got[i].kept_sha256 == hashlib.sha256(b" ".join(kept)).hexdigest()
+
+
+def test_op9(spark):
+    rows = _table(spark, "embeddings").orderBy("vec_id").collect()
+    ids = np.array([r.vec_id for r in rows])
+    x = np.array([r.embedding for r in rows], float)
+    hits = total = 0
+    got = QUERIES["op9_permutation_index"](spark, FOLDER).collect()
+    for q in np.flatnonzero(ids % 100 == 0):
+        distance = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        want = [int(ids[i]) for i in np.lexsort((ids, distance)) if i != q][:10]
+        found = [r.vec_id for r in got if r.query_id == ids[q]]
+        hits, total = hits + len(set(want) & set(found)), total + len(want)
+        assert len(found) == len(want)
+    assert hits >= 0.9 * total
+
+
+def test_op10(spark):
+    got = QUERIES["op10_language_id"](spark, FOLDER).join(_table(spark, "documents").select("doc_id", "lang"), "doc_id").toPandas()
+    assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)).all()
+    held = got[got.held_out]
+    assert (held.lang == held.lang_pred).mean() > 0.85
+
+
+def test_pipeline_is_its_stages(spark):
+    docs = _table(spark, "documents")
+    columns = docs.columns
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = stage(spark, docs, FOLDER).cache()
+        left[name] = docs.count()
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+        if name == "near duplicates":
+            rows = {r.doc_id: r.text for r in before.collect()}
+            want = groups({i: shingle_set(t, 5) for i, t in rows.items()}, 85)
+            assert {r.doc_id for r in docs.collect()} == {i for i, c in want.items() if i == c}
+        if name == "substrings":
+            rows = [(r.doc_id, r.text) for r in before.collect()]
+            want = {i: b" ".join(k).decode() if len(k) < len(w) else dict(rows)[i] for i, w, k in without_repeats(rows, 13)}
+            assert {r.doc_id: r.text for r in docs.collect()} == want
+    assert 0 < left["near duplicates"] <= left["quality"] < _table(spark, "documents").count()
+    got = QUERIES["pipeline"](spark, FOLDER)
+    same = docs.withColumn("ids", F.col("ids").cast("string"))
+    assert Counter(got.withColumn("ids", F.col("ids").cast("string")).select(*same.columns).collect()) == Counter(same.collect())
+
+
+def test_pipeline_on_odd_documents(spark, tmp_path):
+    rows = [(1, None, "en", "src0", 0), (2, "", None, None, None), (3, "a b", "en", "src1", 3), (3, "a b", "en", "src1", 3), (None, "x", "en", "src2", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(3, 1, 0), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0

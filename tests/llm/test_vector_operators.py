@@ -1,0 +1,114 @@
+"""Grid join and permutation index against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from helpers import groups
+from pyspark.sql import functions as F
+
+from keytables.llm import grid_join, permutation_index
+from keytables.llm.components import connected_components
+
+SCHEMA = "vec_id long, embedding array<float>, label string"
+ODD = [
+    (1000, None, "a"),
+    (1001, [0.0] * 8, "a"),
+    (1002, [1.0, None] + [0.0] * 6, "a"),
+    (1003, [float("nan")] * 8, "a"),
+    (1004, [float("inf")] + [0.0] * 7, "a"),
+    (1005, [1.0, 2.0], "a"),
+    (1006, [], "a"),
+]
+
+
+def _vectors(seed, n, hot):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 8))
+    x[:hot] = x[0] + rng.normal(size=(hot, 8)) * 0.08  # a group of near copies
+    x[hot : hot + 10] = x[hot]  # and one of exact copies
+    x[hot + 10 : hot + 15] = 3 * x[hot]
+    return x.astype(np.float32)
+
+
+def _rows(x):
+    return [(i, [float(v) for v in row], "l") for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize("block,leaf", [(2048, 128), (16, 4)])
+def test_links_equal_brute_force(spark, monkeypatch, block, leaf):
+    monkeypatch.setattr(grid_join, "BLOCK", block)
+    monkeypatch.setattr(grid_join, "LEAF", leaf)
+    x = _vectors(1, 300, 120)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = {i: frozenset(np.flatnonzero(near[i]).tolist()) for i in range(len(x))}
+    component = {i: i for i in links}
+    for _ in links:
+        component = {i: min([component[i], *(component[j] for j in links[i])]) for i in links}
+    table = spark.createDataFrame(_rows(x) + ODD, SCHEMA).withColumn("rep", F.lit(1)).repartition(6)
+    got = {r.vec_id: r for r in grid_join.link_vectors(table).collect()}
+    assert len(got) == len(x) + len(ODD)
+    for i in links:
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (len(links[i]), component[i], component[i] == i)
+    for i, *_ in ODD:
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
+
+
+def test_no_usable_vectors(spark):
+    table = spark.createDataFrame(ODD[:5], SCHEMA)
+    assert {r.n_links for r in grid_join.link_vectors(table).collect()} == {0}
+    assert grid_join.link_vectors(table.where("false")).collect() == []
+    assert permutation_index.search(table, table).collect() == []
+
+
+def test_repeated_rows_link_with_each_other(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [1.0, 0.0], "a"), (2, [0.0, 1.0], "a")]
+    got = grid_join.link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
+
+
+def test_components_by_stars(spark):
+    rng = np.random.default_rng(4)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
+    table = spark.createDataFrame(edges + [(None, 5)], "a long, b long")
+    want = groups({i: frozenset(n for n, e in enumerate(edges) if i in e) for e in edges for i in e}, 0.0001)
+    got = {r.node: r.component for r in connected_components(table).collect()}
+    assert got == {i: c for i, c in want.items() if i != c}
+    assert connected_components(table.where("false")).collect() == []
+
+
+def _exact(x, q, k, ids):
+    distance = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1))
+    order = [i for i in np.lexsort((ids, distance)) if i != q][:k]
+    return [(int(ids[i]), float(distance[i])) for i in order]
+
+
+def test_search_recall_and_ties(spark):
+    x = _vectors(2, 1500, 400)
+    table = spark.createDataFrame(_rows(x) + ODD, SCHEMA).repartition(5)
+    queries = table.where("vec_id % 25 = 0")
+    found = {}
+    for r in permutation_index.search(table.withColumn("rank", F.lit(0)), queries, 10).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(found) == set(range(0, 1500, 25))
+    hits = 0
+    for q, got in found.items():
+        want = _exact(x, q, 10, np.arange(1500))
+        assert [r for r, *_ in got] == list(range(1, 11))
+        assert [(s, i) for _, i, s in got] == sorted((s, i) for _, i, s in got)
+        for _, i, s in got:
+            assert math.isclose(s, float(np.sqrt(((x[i].astype(float) - x[q].astype(float)) ** 2).sum())), rel_tol=1e-12, abs_tol=1e-12)
+        hits += len({i for i, _ in want} & {i for _, i, _ in got})
+    assert hits >= 0.9 * 10 * len(found)
+    # Among exact copies the smallest ids come first.
+    assert [i for _, i, _ in found[400][:9]] == list(range(401, 410))
+
+
+def test_few_vectors_are_all_found(spark):
+    x = _vectors(3, 40, 5)[:7]
+    table = spark.createDataFrame(_rows(x), SCHEMA)
+    got = permutation_index.search(table, table.where("vec_id < 2"), 10).orderBy("query_id", "rank").collect()
+    for q in (0, 1):
+        assert [r.vec_id for r in got if r.query_id == q] == [i for i, _ in _exact(x, q, 10, np.arange(7))]
