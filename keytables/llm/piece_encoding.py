@@ -27,7 +27,7 @@ from keytables.llm.words import pieces
 SPACE_SIGN, UNKNOWN_TEXT = "▁", " ⁇ "
 _SEGMENT = re.compile(f"{SPACE_SIGN}+[^{SPACE_SIGN}]*")
 # A process remembers at most so many words' ids and so many pairs; longer words are not remembered.
-REMEMBERED, PAIRS, LONGEST = 600_000, 2_000_000, 48
+REMEMBERED, PAIRS, LONGEST = 500_000, 1_000_000, 48
 
 
 class PieceEncoder:

@@ -1,7 +1,7 @@
 """Repeated passages by suffix automata of reference shards.
 
 A window is so many consecutive words of one document. Words covered by a window that also starts in a document with
-a smaller id are removed. The work is done on bundles, compressed batches of about 2 MB of text, so that rows that
+a smaller id are removed. The work is done on bundles, compressed batches of about 1 MB of text, so that rows that
 move are few and alike in size:
 
 1. Every window is represented by its minimizer, the sub-shingle with the least hash. Bundles tell which minimizers
@@ -29,13 +29,14 @@ from pyspark.sql.types import LongType
 
 from keytables.llm.frames import extended
 from keytables.llm.minhash_dedup import sorted_runs
-from keytables.llm.words import PIECE_BYTES, Words, inside, join_kept, pieces, shingle_hashes, split_words, word_hashes
+from keytables.llm.words import Words, inside, join_kept, pieces, shingle_hashes, split_words, word_hashes
 from keytables.sources.scratch import write_scratch
 
 # Passages streamed through one copy of a shard, in words; a shard with more is sent to several tasks.
 STREAM_WORDS = 150_000
-# Minimizers told in one go, and bundles for each part that they are dealt to.
-TOLD, BUNDLES_A_PART = 1_000_000, 4
+# Bytes of text in a bundle. Minimizers told in one go, and bundles for each part that they are dealt to.
+BUNDLE_BYTES = 1024 * 1024
+TOLD, BUNDLES_A_PART = 250_000, 4
 
 
 class SuffixAutomaton:
@@ -123,7 +124,7 @@ def _unpack(raw: bytes) -> pa.Table:
 
 
 def _bundles(documents: DataFrame) -> DataFrame:
-    """``bundle, rows`` with about 2 MB of text each, or one longer document."""
+    """``bundle, rows`` with about 1 MB of text each, or one longer document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
@@ -137,8 +138,8 @@ def _bundles(documents: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([part * (1 << 32) + n]), pa.array([_pack(whole)])], ["bundle", "rows"])
 
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                if held and size + piece.nbytes > PIECE_BYTES:
+            for piece in pieces(batch, "text", BUNDLE_BYTES // 4):
+                if held and size + piece.nbytes > BUNDLE_BYTES:
                     yield flush()
                     held, size = [], 0
                 held.append(piece)

@@ -23,8 +23,9 @@ _BASE = 0x9E3779B97F4A7C13  # odd, so that it has an inverse modulo 2**64
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
-# Texts are worked on in pieces of about so many bytes, whatever the Arrow batch holds.
-PIECE_BYTES = 2 * 1024 * 1024
+# Texts are worked on in pieces of about so many bytes, whatever the Arrow batch holds. The arrays made of a piece take
+# up to a hundred times as much.
+PIECE_BYTES = 1024 * 1024
 
 
 class Words(NamedTuple):
@@ -108,7 +109,10 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     """A hash of each byte range: a polynomial in the bytes' random values, modulo 2**64."""
     power, inverse = _powers_to(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
+    value = sums[1:]  # all in place: these are the largest arrays there are
+    np.take(_BYTE, data, out=value)
+    value *= power[: len(data)]
+    np.cumsum(value, out=value)
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
