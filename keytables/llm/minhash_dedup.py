@@ -254,7 +254,9 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     facts = nodes.select("node", "n_shingles", "signature")
     # The sets of all nodes that share a bucket with another: what any verification may need.
     wanted = write_scratch(nodes.select("node", "doc_id").join(members.select("node").distinct(), on="node"), "minhash-wanted")
-    sets = _sets(documents.join(wanted, on="doc_id"), size)
+    # Here and below the side with texts, sets or signatures is large at any scale worth planning for; Spark would
+    # broadcast the other one as long as the input is small.
+    sets = _sets(documents.join(wanted.hint("merge"), on="doc_id"), size)
     if not nodes.where("times > 1").isEmpty():  # the very same row is there several times
         sets = sets.dropDuplicates(["node"])
     sets = write_scratch(sets, "minhash-sets")
@@ -310,7 +312,7 @@ def _agreeing_pairs(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     def side(name):
         return facts.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("signature").alias(f"s_{name}"))
 
-    joined = pairs.join(side("a"), on="a").join(side("b"), on="b")
+    joined = pairs.join(side("a").hint("merge"), on="a").join(side("b").hint("merge"), on="b")
     near = 100 * F.least("n_a", "n_b") >= 85 * F.greatest("n_a", "n_b")
 
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +334,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     b = sets.select(F.col("node").alias("b"), F.col("s").alias("s_b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
     return write_scratch(
-        pairs.join(a, on="a")
-        .join(b, on="b")
+        pairs.join(a.hint("merge"), on="a")
+        .join(b.hint("merge"), on="b")
         .where(100 * both >= similarity * (F.size("s_a") + F.size("s_b") - both))
         .select("a", "b")
         .distinct(),
