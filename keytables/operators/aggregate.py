@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keytables.functions.columns import columns_of
 from keytables.operators.select import Conditions, where
 
 
@@ -25,4 +26,5 @@ def group_count(
     """
     if not columns:
         raise ValueError("group_count needs at least one column")
-    return where(df, conditions).groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
+    kept = where(df, conditions)
+    return kept.groupBy(*columns_of(df, columns)).agg(F.count(F.lit(1)).alias("count"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keytables.functions.columns import columns_of, named
+
 
 class KeyContractError(ValueError):
     """The key column holds nulls or repeated values."""
@@ -14,13 +16,14 @@ class KeyContractError(ValueError):
 
 def _groups(df: DataFrame, key: str | Sequence[str]) -> tuple[list[str], DataFrame]:
     names = [key] if isinstance(key, str) else list(key)
-    return names, df.groupBy(*names).agg(F.count(F.lit(1)).alias("count"))
+    groups = df.groupBy(*columns_of(df, names)).agg(F.count(F.lit(1)).alias("count"))
+    return groups.columns[:-1], groups
 
 
 def _has_null(names: Sequence[str]):
     test = F.lit(False)
     for name in names:
-        test = test | F.col(name).isNull()
+        test = test | named(name).isNull()
     return test
 
 

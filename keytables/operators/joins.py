@@ -1,14 +1,18 @@
 """Equi-joins of two tables on one or more key columns, built to stand hot keys.
 
+By default the join is Spark's own, which broadcasts a side that is small by its estimate or turns out
+so at run time. No job runs while it is put together, but for one case: of Arrow files Spark knows no
+size, so where their listed sizes are small they are counted and broadcast.
+
 Which side of a skewed join can be divided depends on the join type: adaptive execution splits a hot
 key on either side of an inner join, but only on the preserved side of a left or right join and on
-neither side of a full one. Beyond the broadcast limits, ``left``, ``right`` and ``outer`` are
-therefore put together from an inner join and the unmatched rows of each preserved side. The
-unmatched rows come from an anti join against the *distinct* keys of the other side, which are
-reduced within each task before they are shuffled. Every part can then be split.
+neither side of a full one. For such keys there is the ``shuffle`` form: ``left``, ``right`` and ``outer`` are
+put together from an inner join and the unmatched rows of each preserved side. The unmatched rows
+come from an anti join against the *distinct* keys of the other side, which are reduced within each
+task before they are shuffled. Every part can then be split.
 
-These forms read an input more than once, so inputs must give the same rows each time. Write one
-that does not (``rand()``, ``limit`` without order) to a table first.
+The broadcast and shuffle forms read an input more than once, so inputs must give the same rows each
+time. Write one that does not (``rand()``, ``limit`` without order) to a table first.
 """
 
 from __future__ import annotations
@@ -18,15 +22,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from keytables.functions.columns import named as _col
 from keytables.operators.order import sort_table
-from keytables.operators.size import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits_broadcast
+from keytables.operators.size import (
+    BROADCAST_MAX_BYTES,
+    BROADCAST_MAX_ROWS,
+    fits_broadcast,
+    listed_as_small,
+    plan_bytes,
+)
 
 JOIN_TYPES = ("inner", "left", "right", "outer")
 STRATEGIES = ("auto", "broadcast", "shuffle")
 
 _SALT_L, _SALT_R = "__keytables_salt_l", "__keytables_salt_r"
 _FAN_L, _FAN_R = "__keytables_fan_l", "__keytables_fan_r"
+_FINER = 8
 
 
 def join_tables(
@@ -44,15 +57,14 @@ def join_tables(
 
     ``strategy``:
 
-    - ``auto``: the right side is measured and, if it fits the limits, broadcast, for every join type.
-      Spark alone would often shuffle the left side first: it knows no size of Arrow files or database
-      tables before it has read them. Beyond the limits an inner join is left to Spark, which may
-      broadcast the left side and splits hot keys; other types take the shuffle form. Measuring
-      computes the right side once more; ``broadcast_max_rows=0`` measures nothing.
-    - ``broadcast``: the same, but always the shuffle form beyond the limits.
-    - ``shuffle``: both sides are shuffled on the keys and nothing is measured. ``num_partitions`` pins
-      the partition count; adaptive execution does not touch a pinned layout, so hot keys are then
-      salted.
+    - ``auto``: the plain join, left to Spark. Only a right side of Arrow files whose listed sizes are
+      within ``broadcast_max_bytes`` is measured and, if it fits the limits, broadcast, for every join
+      type; ``broadcast_max_rows=0`` leaves this out.
+    - ``broadcast``: a right side that its files or Spark's estimate bound by ``broadcast_max_bytes`` is
+      measured and broadcast. Beyond the limits it takes the shuffle form, and nothing is broadcast.
+    - ``shuffle``: both sides are shuffled on the keys and no size is measured. ``num_partitions`` pins
+      the partition count; adaptive execution does not touch a pinned layout, so the commonest keys of
+      each side are counted, and hot ones salted.
 
     A column name that both sides hold besides the keys is an error, unless ``suffix`` is given for
     the right side's column.
@@ -67,12 +79,17 @@ def join_tables(
     fold = _folding(left)
     keys = [_found(left, k, fold, "left") for k in keys]
     spelled = {_found(right, k, fold, "right"): k for k in keys}
+    given = right
     right = _without_clashes(left, right.withColumnsRenamed(spelled), keys, suffix, fold)
 
-    if strategy != "shuffle" and fits_broadcast(right, broadcast_max_rows, broadcast_max_bytes):
+    limits = (broadcast_max_rows, broadcast_max_bytes)
+    bounded = strategy == "broadcast" and plan_bytes(right) <= broadcast_max_bytes
+    if strategy != "shuffle" and (
+        listed_as_small(given, right, *limits) or (bounded and fits_broadcast(right, *limits))
+    ):
         return _broadcast_join(left, right, keys, how)
-    if strategy == "auto" and how == "inner":
-        return left.join(right, on=keys, how="inner")
+    if strategy == "auto":
+        return left.join(right, on=keys, how=how)
     return _shuffle_join(left, right, keys, how, num_partitions)
 
 
@@ -138,11 +155,6 @@ def _without_clashes(
     return _without_clashes(left, renamed, keys, None, fold)
 
 
-def _col(name: str) -> Column:
-    """A column by its whole name, dots included."""
-    return F.col(f"`{name.replace('`', '``')}`")
-
-
 def _cols(names: Sequence[str]) -> list[Column]:
     return [_col(n) for n in names]
 
@@ -210,47 +222,63 @@ def _typed(df: DataFrame, like: DataFrame, name: str) -> Column:
 
 
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """Inner join in exactly ``n`` partitions, hot keys spread over several of them.
+    """Inner join in ``n`` partitions, hot keys spread over several of them. Spark makes as many as
+    ``spark.sql.shuffle.partitions`` where that is more.
 
     A key is hot on a side where it has more rows than one even partition, so each side has fewer
-    than ``n`` of them and their list is safe to broadcast. Such a key's rows get a salt from the
-    task they come from, stable when a lost task runs again, and the other side's rows of that key
-    are repeated once per salt.
+    than ``n`` of them. One pass over each side finds them. Without any, both sides are simply dealt
+    out by key. A hot key's rows get a salt from what they hold and the task they come from, stable
+    when a lost task runs again, and the other side's rows of that key are repeated once per salt.
     """
-    hot = (
-        _hot_keys(left, keys, n, _FAN_L)
-        .unionByName(_hot_keys(right, keys, n, _FAN_R), allowMissingColumns=True)
-        .groupBy(*_cols(keys))
-        .agg(*(F.coalesce(F.max(f), F.lit(1)).alias(f) for f in (_FAN_L, _FAN_R)))
-    )
-    salted_left = _salt(left, hot, keys, own=(_SALT_L, _FAN_L), other=(_SALT_R, _FAN_R))
-    salted_right = _salt(right, hot, keys, own=(_SALT_R, _FAN_R), other=(_SALT_L, _FAN_L))
-    salted_keys = [*keys, _SALT_L, _SALT_R]
-    spread_left, spread_right = (
-        df.repartition(n, *_cols(salted_keys)) for df in (salted_left, salted_right)
-    )
-    joined = spread_left.join(spread_right.hint("merge"), on=salted_keys, how="inner")
-    return joined.drop(_SALT_L, _SALT_R)
-
-
-def _hot_keys(df: DataFrame, keys: list[str], n: int, fan: str) -> DataFrame:
-    share = max(df.count() // n, 1)
-    counts = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(fan))
-    return counts.where(F.col(fan) > share).withColumn(fan, F.ceil(F.col(fan) / share).cast("int"))
+    fans: dict[tuple, list[int]] = {}
+    for side, df in enumerate((left, right)):
+        for key, shares in _hot_keys(df, keys, n).items():
+            fans.setdefault(key, [1, 1])[side] = shares
+    salted_keys = keys
+    if fans:
+        # Finer than the shares, or chance would put two salts too many into one partition; where both
+        # sides are hot, rows are repeated on both, so there it stays at the shares.
+        rows = [
+            (*key, *(f * _FINER if f > 1 and min(both) == 1 else f for f in both)) for key, both in fans.items()
+        ]
+        fields = [left.schema[k] for k in keys]
+        schema = StructType([*fields, StructField(_FAN_L, IntegerType()), StructField(_FAN_R, IntegerType())])
+        hot = left.sparkSession.createDataFrame(rows, schema)
+        left = _salt(left, hot, keys, own=(_SALT_L, _FAN_L), other=(_SALT_R, _FAN_R))
+        right = _salt(right, hot, keys, own=(_SALT_R, _FAN_R), other=(_SALT_L, _FAN_L))
+        salted_keys = [*keys, _SALT_L, _SALT_R]
+    left, right = (df.repartition(n, *_cols(salted_keys)) for df in (left, right))
+    return left.join(right.hint("merge"), on=salted_keys, how="inner").drop(_SALT_L, _SALT_R)
+
+
+def _hot_keys(df: DataFrame, keys: list[str], n: int) -> dict[tuple, int]:
+    """How many even partitions the rows of each key with more than one would fill; fewer than ``n`` keys.
+
+    The counts are shuffled once, for the ``n`` commonest keys and for their sum, which are all that leaves
+    Spark. No key of ``df`` is null, so the sum is told by its null keys.
+    """
+    counts = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(_FAN_L))
+    total = counts.agg(F.coalesce(F.sum(_FAN_L), F.lit(0)).alias(_FAN_L))
+    most = counts.orderBy(F.desc(_FAN_L)).limit(n)
+    found = most.unionByName(total, allowMissingColumns=True).collect()
+    share = max(next(r[_FAN_L] for r in found if r[0] is None) // n, 1)
+    return {tuple(r[:-1]): -(-r[_FAN_L] // share) for r in found if r[0] is not None and r[_FAN_L] > share}
 
 
 def _salt(
     df: DataFrame, hot: DataFrame, keys: list[str], own: tuple[str, str], other: tuple[str, str]
 ) -> DataFrame:
     (own_salt, own_fan), (other_salt, other_fan) = own, other
-    fanned = df.join(F.broadcast(hot), on=keys, how="left")
+    # Maps have no hash in Spark; the rest of the row has to do then.
+    held = [_col(f.name) for f in df.schema if f.name not in keys and "map<" not in f.dataType.simpleString()]
+    spread = F.xxhash64(*held, F.spark_partition_id())
+    fanned = df.withColumn(own_salt, spread)
     return (
-        fanned.withColumn(
-            own_salt, F.pmod(F.spark_partition_id(), F.coalesce(F.col(own_fan), F.lit(1)))
-        )
+        fanned.join(F.broadcast(hot), on=keys, how="left")
+        .withColumn(own_salt, F.pmod(_col(own_salt), F.coalesce(F.col(own_fan), F.lit(1))))
         .withColumn(
             other_salt,
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other_fan), F.lit(1)) - 1)),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other_fan), F.lit(1)).cast("long") - 1)),
         )
         .drop(own_fan, other_fan)
     )

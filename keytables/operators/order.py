@@ -8,6 +8,7 @@ from typing import TypeVar
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keytables.functions.columns import columns_of
 from keytables.operators.contracts import check_key
 
 T = TypeVar("T")
@@ -27,13 +28,13 @@ def sort_table(
     The result's partitions are ranges of the key, in order, so files written from it are too.
     Equal keys cannot be told apart by a range boundary: a value held by a third of the rows would
     end up in one task. The task a row comes from therefore follows as last sort column. It lets
-    boundaries fall between equal keys, keeps their input order, and is the same when a lost task
-    runs again.
+    boundaries fall between equal keys, keeps the order of the tasks they come from (not that within
+    a task), and is the same when a lost task runs again.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
     if not names:
         raise ValueError("sort_table needs at least one column")
-    order = [F.col(n).asc() if ascending else F.col(n).desc() for n in names]
+    order = [c.asc() if ascending else c.desc() for c in columns_of(df, names)]
     if num_partitions is None:
         return df.sort(*order, F.spark_partition_id())
     marked = df.withColumn(_ORIGIN, F.spark_partition_id())

@@ -7,8 +7,14 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keytables.functions.columns import columns_of, named
 from keytables.functions.keys import HASH_COLUMN, hash_key
-from keytables.operators.size import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits_broadcast
+from keytables.operators.size import (
+    BROADCAST_MAX_BYTES,
+    BROADCAST_MAX_ROWS,
+    left_to_spark,
+    listed_as_small,
+)
 
 Conditions = str | Column | Sequence[str | Column] | None
 
@@ -57,20 +63,21 @@ def key_filter(
     repeats it for every repeat of its key. Null keys match nothing. The key comes first in the
     result.
 
-    A key list is measured and, if it fits the limits, broadcast, so that ``df`` is not shuffled.
-    Beyond them ``semi`` makes the keys distinct, with a partial aggregation before the shuffle. That
-    leaves ``df`` as the only side that can be skewed, and adaptive execution splits that side of a
-    semi join, or either side of an inner one. Measuring computes the list once more: for one that is
-    derived from a large table, ``broadcast_max_rows=0`` leaves the choice to Spark.
+    A list of Arrow files that are small by their listed size is counted and, if it fits the limits,
+    broadcast, so that ``df`` is not shuffled: Spark knows no size of such files. Of any other list Spark
+    knows a size, or finds it out at run time; no job runs for it here. Unless Spark is going to broadcast it
+    anyhow, ``semi`` makes the keys distinct, with a partial aggregation before the shuffle. That leaves
+    ``df`` as the only side that can be skewed, and adaptive execution splits that side of a semi join,
+    or either side of an inner one. ``broadcast_max_rows=0`` counts nothing.
     """
     if multiplicity not in ("semi", "inner"):
         raise ValueError(f"multiplicity must be semi or inner, not {multiplicity!r}")
     how = "left_semi" if multiplicity == "semi" else "inner"
     for column, table in keys.items() if isinstance(keys, Mapping) else keys:
-        values = table.select(column)
-        if fits_broadcast(values, broadcast_max_rows, broadcast_max_bytes):
+        values = table.select(named(column) if column in table.columns else column)
+        if listed_as_small(table, values, broadcast_max_rows, broadcast_max_bytes):
             values = F.broadcast(values)
-        elif multiplicity == "semi":
+        elif multiplicity == "semi" and not left_to_spark(values):
             values = values.distinct()
         df = df.join(values, on=column, how=how)
     return df
@@ -83,4 +90,4 @@ def add_hash_column(
     strict: bool = False,
 ) -> DataFrame:
     """Add the hash key of ``columns``; see :func:`keytables.functions.hash_key`."""
-    return df.withColumn(name, hash_key(*columns, strict=strict))
+    return df.withColumn(name, hash_key(*columns_of(df, columns), strict=strict))

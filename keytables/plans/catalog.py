@@ -86,21 +86,33 @@ _HOUSEHOLD = "SELECT c_custkey AS o_custkey FROM customer WHERE c_mktsegment = '
 
 
 def _lines_by_order(spark, folder):
-    lines = _table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    return lines.select("o_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    return _table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
 
 
-_LINES_BY_ORDER = (
-    "SELECT l_orderkey AS o_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem"
-)
+_LINES_BY_ORDER = "SELECT l_orderkey AS o_orderkey, * EXCLUDE (l_orderkey) FROM lineitem"
 
 
 def _vectors(spark, folder):
-    vectors = _table(spark, folder, "embeddings")
-    return vectors.select(F.col("vec_id").alias("doc_id"), "label")
+    return _table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id")
+
+
+# A number that changes with every element of a vector and with their order.
+_DIGEST = (
+    "aggregate(transform(embedding, (x, i) -> CAST(floor(CAST(x AS DOUBLE) * 1e6) AS BIGINT) * (i + 1)),"
+    " 0L, (a, x) -> a + x) AS vector"
+)
+_DIGEST_SQL = (
+    "(SELECT CAST(sum(CAST(floor(CAST(embedding[i] AS DOUBLE) * 1e6) AS BIGINT) * i) AS BIGINT)"
+    " FROM range(1, len(embedding) + 1) AS places(i)) AS vector"
+)
+_VECTORS = "SELECT vec_id AS doc_id, embedding, label FROM embeddings"
+_OUTER = (
+    f"SELECT doc_id, {_DIGEST_SQL}, label, quality, toxic FROM ({_VECTORS}) FULL JOIN labels USING (doc_id)"
+)
 
 
-_VECTORS = "SELECT vec_id AS doc_id, label FROM embeddings"
+def _with_digest(joined: DataFrame) -> DataFrame:
+    return joined.selectExpr("doc_id", _DIGEST, "label", "quality", "toxic")
 
 
 def _returned_pairs(spark, folder):
@@ -294,10 +306,10 @@ def join_right(spark, folder):
     return join_tables(_lines_by_order(spark, folder), orders, "o_orderkey", "right")
 
 
-@_query(f"SELECT * FROM ({_VECTORS}) FULL JOIN labels USING (doc_id)")
+@_query(_OUTER)
 def join_outer(spark, folder):
     labels = _table(spark, folder, "labels")
-    return join_tables(_vectors(spark, folder), labels, "doc_id", "outer")
+    return _with_digest(join_tables(_vectors(spark, folder), labels, "doc_id", "outer"))
 
 
 @_query(f"SELECT * FROM orders LEFT JOIN ({_LINES_BY_ORDER}) USING (o_orderkey)")
@@ -306,10 +318,10 @@ def join_left_shuffle(spark, folder):
     return join_tables(orders, _lines_by_order(spark, folder), "o_orderkey", "left", "shuffle")
 
 
-@_query(f"SELECT * FROM ({_VECTORS}) FULL JOIN labels USING (doc_id)")
+@_query(_OUTER)
 def join_outer_shuffle(spark, folder):
     labels = _table(spark, folder, "labels")
-    return join_tables(_vectors(spark, folder), labels, "doc_id", "outer", "shuffle")
+    return _with_digest(join_tables(_vectors(spark, folder), labels, "doc_id", "outer", "shuffle"))
 
 
 @_query(
@@ -482,9 +494,24 @@ def arrow_columns(spark, folder):
     return read_arrow(spark, path, columns=["l_orderkey", "l_shipdate"])
 
 
+@_query("SELECT * FROM documents")
+def arrow_file_list(spark, folder):
+    """A list of paths, each a directory of its own."""
+    documents = _table(spark, folder, "documents")
+    halves = [documents.where(f"pmod(doc_id, 2) = {i}") for i in (0, 1)]
+    paths = [_arrow(spark, half, f"documents-{i}") for i, half in enumerate(halves)]
+    return read_arrow(spark, paths)
+
+
+@_query("SELECT * FROM orders")
+def arrow_glob(spark, folder):
+    path = _arrow(spark, _table(spark, folder, "orders").repartition(3), "orders")
+    return read_arrow(spark, f"{path}/part-*.arrow")
+
+
 @_query(
     "SELECT vec_id, len(embedding) AS n, CAST(embedding[1] AS DOUBLE) AS head,"
-    " CAST(embedding[len(embedding)] AS DOUBLE) AS tail FROM embeddings"
+    f" CAST(embedding[len(embedding)] AS DOUBLE) AS tail, {_DIGEST_SQL} FROM embeddings"
 )
 def arrow_nested(spark, folder):
     vectors = read_arrow(spark, _arrow(spark, _table(spark, folder, "embeddings"), "vectors"))
@@ -493,13 +520,15 @@ def arrow_nested(spark, folder):
         "CAST(size(embedding) AS BIGINT) AS n",
         "CAST(element_at(embedding, 1) AS DOUBLE) AS head",
         "CAST(element_at(embedding, -1) AS DOUBLE) AS tail",
+        _DIGEST,
     ]
     return project(vectors, exprs=exprs)
 
 
 @_query("SELECT abs(o_custkey) % 10 AS slice, count(*) AS count FROM orders GROUP BY slice")
 def jdbc_slices(spark, folder):
-    """The slices of a partitioned database read, as conditions on a table: no row lost or doubled."""
+    """The conditions of a sliced database read, tried on a Parquet table: no row lost or doubled. No database
+    is read."""
     orders = _table(spark, folder, "orders")
     slices = slice_predicates("o_custkey", 10, "numeric")
     numbers = [

@@ -10,7 +10,6 @@ A *saver* writes a table and returns a function that reads it back, whole or som
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -20,10 +19,16 @@ from keytables.operators.contracts import check_key
 from keytables.operators.joins import join_tables, psi_join
 from keytables.operators.order import sort_table, write_sorted
 from keytables.operators.select import Conditions, add_hash_column, key_filter, project
+from keytables.operators.size import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 from keytables.sources.arrow_ipc import read_arrow, write_arrow
-from keytables.sources.jdbc import DEFAULT_SLICES, read_jdbc_hashed, write_jdbc
+from keytables.sources.jdbc import (
+    DEFAULT_SLICES,
+    jdbc_column_types,
+    read_jdbc_hashed,
+    write_jdbc,
+)
 from keytables.sources.key_file import export_key_column
-from keytables.sources.scratch import write_scratch
+from keytables.sources.scratch import scratch_table, write_scratch
 
 Source = DataFrame | str | Sequence[str]
 Reader = Callable[[Sequence[str] | None], DataFrame]
@@ -50,19 +55,28 @@ def arrow_saver(path: str, mode: str = "overwrite") -> Saver:
 def jdbc_saver(
     url: str,
     key: str,
-    dialect: str,
+    dialect: str | None = None,
     table: str | None = None,
     num_partitions: int = DEFAULT_SLICES,
     properties: Mapping[str, str] | None = None,
+    column_types: Mapping[str, str] | None = None,
+    check: bool = True,
 ) -> Saver:
-    """Saves as a database table, to be read back in slices of ``key``."""
+    """Saves as a database table, to be read back in slices of ``key``.
+
+    ``column_types`` declares columns of the table by Spark types, besides those whose length is known: a text
+    column that is to be a primary key needs one such as ``VARCHAR(64)``. With ``check`` the rows written
+    are counted against those of the table given, which a task that ran twice would have doubled; a difference
+    raises ``RuntimeError``. That counts the given table again, so hand a written one over.
+    """
 
     def save(df: DataFrame) -> Reader:
-        name = write_jdbc(df, url, table, properties=properties)
-        read = partial(
-            read_jdbc_hashed, df.sparkSession, url, name, key, num_partitions, dialect, properties
-        )
-        return lambda columns=None: project(read(), columns)
+        declared = {"column_types": {**jdbc_column_types(df), **column_types}} if column_types else {}
+        name = write_jdbc(df, url, table, properties=properties, **declared)
+        saved = read_jdbc_hashed(df.sparkSession, url, name, key, num_partitions, dialect, properties)
+        if check and (found := saved.count()) != (wanted := df.count()):
+            raise RuntimeError(f"{name} has {found} rows, not the {wanted} written to it")
+        return lambda columns=None: project(saved, columns)
 
     return save
 
@@ -76,6 +90,8 @@ def query_job(
     exprs: Sequence[str] | None = None,
     distinct: bool = False,
     read_columns: Sequence[str] | None = None,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Rows whose ``in_columns`` values are in the respective key tables, projected.
 
@@ -85,7 +101,13 @@ def query_job(
     if len(in_columns) != len(in_sources):
         raise ValueError("in_columns and in_sources must be equally long")
     keys = [(c, load(spark, s, [c])) for c, s in zip(in_columns, in_sources, strict=True)]
-    return project(key_filter(load(spark, source, read_columns), keys), columns, exprs, distinct)
+    kept = key_filter(
+        load(spark, source, read_columns),
+        keys,
+        broadcast_max_rows=broadcast_max_rows,
+        broadcast_max_bytes=broadcast_max_bytes,
+    )
+    return project(kept, columns, exprs, distinct)
 
 
 def copy_job(spark: SparkSession, source: Source, save: Saver) -> DataFrame:
@@ -127,8 +149,22 @@ def join_job(
     on: str | Sequence[str],
     how: str = "inner",
     suffix: str | None = None,
+    strategy: str = "auto",
+    num_partitions: int | None = None,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    return join_tables(load(spark, table), load(spark, source), on, how, suffix=suffix)
+    return join_tables(
+        load(spark, table),
+        load(spark, source),
+        on,
+        how,
+        strategy,
+        suffix,
+        num_partitions,
+        broadcast_max_rows,
+        broadcast_max_bytes,
+    )
 
 
 def hash_job(
@@ -160,11 +196,14 @@ def psi_job(
     suffix: str | None = None,
     num_partitions: int | None = None,
     save: Saver | None = None,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """The keyed table joined with the returned keys, in the order of its primary key ``order_by``.
 
     The joined rows are written to the shared folder first: checking the key, finding the range
-    boundaries and sorting would each join again otherwise. The first of them reads one column.
+    boundaries and sorting would each join again otherwise. The first of them reads one column. With ``save``
+    they are removed in the end, also after a failure; without it the result still reads them.
     """
     joined = psi_join(
         load(spark, source),
@@ -174,9 +213,12 @@ def psi_job(
         strategy=strategy,
         suffix=suffix,
         num_partitions=num_partitions,
+        broadcast_max_rows=broadcast_max_rows,
+        broadcast_max_bytes=broadcast_max_bytes,
     )
+    if save is not None:
+        with scratch_table(joined, "psi") as written:
+            return write_sorted(written, order_by, save)(None)
     joined = write_scratch(joined, "psi")
     check_key(joined, order_by)
-    if save is None:
-        return sort_table(joined, order_by)
-    return write_sorted(joined, order_by, save, check=False)(None)
+    return sort_table(joined, order_by)

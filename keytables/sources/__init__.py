@@ -10,7 +10,7 @@ from keytables.sources.jdbc import (
     write_jdbc,
 )
 from keytables.sources.key_file import export_key_column
-from keytables.sources.scratch import scratch_path, write_scratch
+from keytables.sources.scratch import remove_scratch, scratch_path, scratch_table, write_scratch
 
 __all__ = [
     "export_key_column",

@@ -6,7 +6,8 @@
 
 Reading. The driver lists files and reads one footer, for the schema. Tasks are cut by file size: small
 files share a task and a large file is divided by record batches, on local or mounted paths by rows
-where it has few of them. Every task compares its files' schema with the table's: a difference, like
+where it has few of them; elsewhere a batch is fetched as a whole, so a large file of one batch is read
+by one task, with a warning. Every task compares its files' schema with the table's: a difference, like
 an unreadable file, fails the read. Spark does not tell a Python source which columns a query needs;
 name them with ``columns`` (or a schema), and only these are read from the files. Where the session
 sets ``spark.sql.python.filterPushdown.enabled``, rows that a simple condition rules out are not handed
@@ -28,6 +29,7 @@ import json
 import posixpath
 import sys
 import uuid
+import warnings
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -58,6 +60,8 @@ from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DoubleType,
+    FloatType,
     FractionalType,
     IntegralType,
     StringType,
@@ -65,6 +69,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from keytables.operators.size import remember_listed_bytes
+
 FORMAT = "arrow_ipc"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 MANIFEST = "_SUCCESS"
@@ -116,15 +122,15 @@ def read_arrow(
     task per record batch instead, for few files with costly rows: the driver then reads every footer.
     """
     register(spark)
+    found = {"paths": json.dumps([paths] if isinstance(paths, str) else list(paths)), **options}
     reader = spark.read.format(FORMAT).option("splitBy", split_by).options(**options)
     reader = reader.option("minTasks", spark.sparkContext.defaultParallelism)
     # Spark refuses a source that takes filters while the setting is off.
     reader = reader.option("pushFilters", spark.conf.get(PUSHDOWN, "false"))
     if columns:
         reader = reader.option("columns", json.dumps(list(columns)))
-    if isinstance(paths, str):
-        return reader.load(paths)
-    return reader.option("paths", json.dumps(list(paths))).load()
+    df = reader.load(paths) if isinstance(paths, str) else reader.option("paths", found["paths"]).load()
+    return remember_listed_bytes(df, lambda: sum(f.size for f in list_files(found)[1]))
 
 
 def write_arrow(
@@ -219,6 +225,14 @@ class ArrowIpcReader(DataSourceReader):
                 wanted = [found.get_field_index(n) for n in target.names]
                 file = ipc.open_file(f, options=ipc.IpcReadOptions(included_fields=wanted))
             by_rows = isinstance(store, fs.LocalFileSystem)
+            if not by_rows and part.index == 0 and file.num_record_batches < part.count:
+                # A batch's buffers come compressed or hold all its rows, and pyarrow fetches it as a whole. Cutting it
+                # in several tasks would fetch it as often.
+                warnings.warn(
+                    f"{part.path} has {file.num_record_batches} record batches for {part.count} tasks; write "
+                    "files of more batches to read them in parallel",
+                    stacklevel=2,
+                )
             for number, start, stop in slice_rows(part, file.num_record_batches, by_rows):
                 batch = file.get_batch(number)
                 low, high = (batch.num_rows * edge // part.count for edge in (start, stop))
@@ -257,6 +271,8 @@ class FilteringReader(ArrowIpcReader):
         if not isinstance(condition, (*_COMPARISONS, In)) or len(condition.attribute) != 1:
             return False
         kind = self.schema[condition.attribute[0]].dataType
+        if isinstance(condition, In) and isinstance(kind, (FloatType, DoubleType)):
+            return False  # looking up values tells -0.0 from 0.0, which are equal in Spark
         if isinstance(kind, StringType):
             return kind == StringType()
         return isinstance(kind, (IntegralType, FractionalType, BooleanType, DateType))
@@ -558,8 +574,44 @@ def _converted(batch: pa.RecordBatch, target: pa.Schema) -> pa.RecordBatch:
 def _cast(column: pa.Array, kind: pa.DataType) -> pa.Array:
     if column.type == kind:
         return column
-    # Spark keeps microseconds, so finer digits are cut off. All else must fit.
-    return column.cast(kind, safe=not pa.types.is_timestamp(kind))
+    return _whole_microseconds(column).cast(kind)
+
+
+def _whole_microseconds(column: pa.Array) -> pa.Array:
+    """Nanoseconds, also nested ones, rounded down to what Spark keeps. Whatever else is cast must fit."""
+    kind = column.type
+    if pa.types.is_timestamp(kind) and kind.unit == "ns":
+        null = column.is_null()
+        count = column.view(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False) // 1000
+        whole = pa.array(count, mask=null.to_numpy(zero_copy_only=False))
+        return whole.view(pa.timestamp("us", kind.tz))
+    if not _holds_nanoseconds(kind):
+        return column
+    null = column.is_null()
+    if pa.types.is_struct(kind):
+        parts = [_whole_microseconds(column.field(i)) for i in range(kind.num_fields)]
+        return pa.StructArray.from_arrays(parts, names=[f.name for f in kind], mask=null)
+    if pa.types.is_map(kind):
+        keys, items = _whole_microseconds(column.keys), _whole_microseconds(column.items)
+        filled = pa.MapArray.from_arrays(column.offsets, keys, items)
+        return pc.if_else(null, pa.scalar(None, filled.type), filled) if column.null_count else filled
+    if pa.types.is_dictionary(kind):
+        return _whole_microseconds(column.dictionary_decode())
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        make = pa.ListArray if pa.types.is_list(kind) else pa.LargeListArray
+        values = _whole_microseconds(column.values)
+        # A mask is not taken with offsets that begin elsewhere than at 0, so nulls are put in afterwards.
+        filled = make.from_arrays(column.offsets, values)
+        return pc.if_else(null, pa.scalar(None, filled.type), filled) if column.null_count else filled
+    return column
+
+
+def _holds_nanoseconds(kind: pa.DataType) -> bool:
+    if pa.types.is_timestamp(kind):
+        return kind.unit == "ns"
+    if pa.types.is_dictionary(kind):
+        return _holds_nanoseconds(kind.value_type)
+    return any(_holds_nanoseconds(kind.field(i).type) for i in range(kind.num_fields))
 
 
 def _one_field(schema: StructType, name: str, path: str) -> StructField:

@@ -9,8 +9,10 @@ its rows twice, so check the written table with ``key_contract`` where this matt
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +44,7 @@ def jdbc_options(
     if dialect not in _DATABASES:
         raise ValueError(f"no such database: {dialect!r}; known are {', '.join(_DATABASES)}")
     prefix, driver = _DATABASES[dialect]
-    properties = {"driver": driver, **_FETCH, **(_FETCH_MYSQL if dialect == "mysql" else {})}
+    properties = {"driver": driver, **_fetching(dialect)}
     if user:
         properties["user"] = user
     if password:
@@ -50,6 +52,90 @@ def jdbc_options(
     return f"{prefix}://{host}:{port}/{database}", properties
 
 
+def _fetching(dialect: str) -> dict[str, str]:
+    return {**_FETCH, **(_FETCH_MYSQL if dialect == "mysql" else {})}
+
+
+def _dialect(url: str, dialect: str | None) -> str:
+    """The dialect given, or that of the URL."""
+    if dialect is not None:
+        return _DATABASE_NUMBERS.get(dialect, dialect)
+    for name, (prefix, _) in _DATABASES.items():
+        if url.startswith(prefix):
+            return name
+    raise ValueError(f"give a dialect for {url.split('//')[0]}")
+
+
+def range_predicates(
+    key: str, low: object, high: object, num_slices: int, dialect: str, nulls_by: str | None = None
+) -> list[str]:
+    """Conditions that cut a table into ``num_slices`` ranges of one integer, decimal or date column.
+
+    Unlike a hash, a range can be served by an index on the column. ``low`` and ``high`` are its least and
+    greatest value as far as known; values beyond them fall in the first and last slice, so no row is lost if the
+    table has changed. Rows with a null key are a slice more or, with ``nulls_by``, as many slices as ranges, by the
+    hash of that column, and one for those in which it is null as well.
+    """
+    if num_slices < 1:
+        raise ValueError("num_slices must be at least 1")
+    dialect = _DATABASE_NUMBERS.get(dialect, dialect)
+    (name,) = _quoted([key], dialect)
+    edges = _edges(low, high, num_slices) if low is not None and high is not None else []
+    shown = [_literal(e) for e in edges]
+    if not shown:
+        slices = [f"{name} IS NOT NULL"]
+    else:
+        slices = [f"{name} < {shown[0]}"]
+        slices += [f"{name} >= {a} AND {name} < {b}" for a, b in zip(shown, shown[1:])]
+        slices.append(f"{name} >= {shown[-1]}")
+    if nulls_by is None:
+        return [*slices, f"{name} IS NULL"]
+    return slices + [f"{name} IS NULL AND {p}" for p in slice_predicates(nulls_by, num_slices, dialect)]
+
+
+def _edges(low: object, high: object, n: int) -> list:
+    """The distinct values at which slices after the first begin."""
+    if isinstance(low, datetime.datetime) or not isinstance(low, (int, Decimal, datetime.date)):
+        raise ValueError(f"ranges need an integer, decimal or date column, not {type(low).__name__}")
+    days = isinstance(low, datetime.date)
+    a, b = (v.toordinal() if days else v for v in (low, high))
+    exact = isinstance(a, int) and isinstance(b, int)
+    found = sorted({a + ((b - a) * i // n if exact else (b - a) * i / n) for i in range(1, n)} - {a})
+    return [datetime.date.fromordinal(v) for v in found] if days else found
+
+
+def _literal(value: object) -> str:
+    return f"DATE '{value.isoformat()}'" if isinstance(value, datetime.date) else str(value)
+
+
+def read_jdbc_ranged(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    key: str,
+    num_partitions: int = DEFAULT_SLICES,
+    dialect: str | None = None,
+    properties: Mapping[str, str] | None = None,
+    nulls_by: str | None = None,
+) -> DataFrame:
+    """A whole table, read in ranges of an integer, decimal or date column.
+
+    The database is asked for the column's least and greatest value first. Prefer this to
+    :func:`read_jdbc_hashed` where the column has an index, which a hash cannot use: there every slice is a
+    scan of the table. Unevenly spread values make uneven slices.
+    """
+    dialect = _dialect(url, dialect)
+    (name,) = _quoted([key], dialect)
+    ends = read_jdbc_query(spark, url, f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}", properties)
+    low, high = ends.first()
+    return spark.read.jdbc(
+        url=url,
+        table=table,
+        predicates=range_predicates(key, low, high, num_partitions, dialect, nulls_by),
+        properties={**_fetching(dialect), **(properties or {})},
+    )
+
+
 def slice_predicates(key: str | Sequence[str], num_slices: int, dialect: str) -> list[str]:
     """Conditions that cut a table into ``num_slices`` slices by the hash of its key, and one more for
     rows with a null key, which no hash condition selects.
@@ -105,19 +191,21 @@ def read_jdbc_hashed(
     table: str,
     key: str | Sequence[str],
     num_partitions: int = DEFAULT_SLICES,
-    dialect: str = "mysql",
+    dialect: str | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A whole table, read in ``num_partitions`` slices of the key's hash and one of its nulls.
+    """A whole table, read in ``num_partitions`` slices of the key's hash and one of its nulls. The dialect is
+    that of the URL unless given.
 
     Spark adds its own filters and column list to each slice's query. Size ``num_partitions`` such that
     a slice suits a task; the database serves as many at a time as there are free cores.
     """
+    dialect = _dialect(url, dialect)
     return spark.read.jdbc(
         url=url,
         table=table,
         predicates=slice_predicates(key, num_partitions, dialect),
-        properties=dict(properties or {}),
+        properties={**_fetching(dialect), **(properties or {})},
     )
 
 
@@ -128,7 +216,7 @@ def read_jdbc_query(
     properties: Mapping[str, str] | None = None,
     key: str | Sequence[str] | None = None,
     num_partitions: int = DEFAULT_SLICES,
-    dialect: str = "mysql",
+    dialect: str | None = None,
 ) -> DataFrame:
     """The result of a query that the database runs.
 

@@ -1,13 +1,17 @@
 """Intermediate tables, written to the folder all executors share.
 
 A written table cuts the plan as a cache does, but outlives a lost executor and is read column by
-column. The folder is the session's ``spark.checkpoint.dir``; its keeper clears it.
+column. The folder is the session's ``spark.checkpoint.dir``. Tables that a result still reads are left to its
+keeper; others are removed as soon as they are done with.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +28,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own under the shared folder. Only a local session may leave the folder unset."""
     folder = spark.conf.get(_SETTING, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         folder = _local_folder()
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -35,3 +39,20 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove what is at ``path``, if anything, by the file system that Spark uses for it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as a written table that is removed at the end of the block, also after a failure."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_scratch(df.sparkSession, path)

@@ -404,6 +404,11 @@ CONDITIONS = [
     "f = double('NaN')",
     "f <= 0",
     "f IN (1.5, double('NaN'))",
+    "f IN (0.0D, 5.0D)",
+    "f IN (-0.0D, 5.0D)",
+    "NOT f IN (0.0D, 5.0D)",
+    "NOT f IN (-0.0D, 5.0D)",
+    "n IN (0.40, 3.20)",
     "b",
     "NOT b",
     "d >= DATE '2020-01-05'",
@@ -440,3 +445,46 @@ def test_ruled_out_rows_do_not_reach_spark(two_files):
     assert reader.pushFilters(asked) == asked
     batches = [b for p in reader.partitions() for b in reader.read(p)]
     assert sum(b.num_rows for b in batches) == 2
+
+
+NANOSECONDS = [-1001, -1000, -1, 0, 1, 1999, None]
+
+
+@pytest.mark.parametrize("nested", ["flat", "list", "struct", "map"])
+@pytest.mark.parametrize("zone", [None, "UTC"])
+def test_nanoseconds_are_rounded_down(spark, tmp_path, nested, zone):
+    kind = pa.timestamp("ns", zone)
+    column, shape = {
+        "flat": (pa.array(NANOSECONDS, kind), "unix_micros(v)"),
+        "list": (pa.array([[n, n] if n is not None else None for n in NANOSECONDS], pa.list_(kind)), "unix_micros(v[1])"),
+        "struct": (pa.array([{"a": n} for n in NANOSECONDS], pa.struct([("a", kind)])), "unix_micros(v.a)"),
+        "map": (pa.array([[("a", n)] for n in NANOSECONDS], pa.map_(pa.string(), kind)), "unix_micros(v['a'])"),
+    }[nested]
+    # A slice begins elsewhere than at the first value.
+    write_file(tmp_path / "t.arrow", pa.table({"v": pa.concat_arrays([column[:2], column])}).slice(2))
+    table = read_arrow(spark, str(tmp_path / "t.arrow"))
+    got = table.selectExpr(shape.replace("v", "v") if zone else shape.replace("(v", "(CAST(v").replace(")", " AS TIMESTAMP))", 1))
+    assert [r[0] for r in got.collect()] == [-2, -1, -1, 0, 0, 1, None]
+
+
+@pytest.mark.parametrize("unit,value", [("s", 9_300_000_000_000_000), ("ms", 9_200_000_000_000_000_000)])
+def test_timestamps_out_of_range_fail(spark, tmp_path, unit, value):
+    for column in (pa.array([value], pa.timestamp(unit)), pa.array([[value]], pa.list_(pa.timestamp(unit)))):
+        write_file(tmp_path / "t.arrow", pa.table({"v": column}))
+        with pytest.raises(Exception, match="out of bounds|would result"):
+            read_arrow(spark, str(tmp_path / "t.arrow")).collect()
+
+
+def test_one_large_batch_on_a_store_is_read_once_with_a_warning(tmp_path, monkeypatch):
+    write_file(tmp_path / "t.arrow", pa.table({"a": list(range(1000))}))
+    bucket = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    monkeypatch.setattr(arrow_ipc, "open_store", lambda options, path: (bucket, path.removeprefix("s3a://")))
+    monkeypatch.setattr(arrow_ipc, "_FILE_COST", 1)
+    options = CaseInsensitiveDict({"path": "s3a://t.arrow", "splitBytes": "1000"})
+    source = ArrowIpcDataSource(options)
+    reader = source.reader(source.schema())
+    parts_ = reader.partitions()
+    assert len(parts_) > 3
+    with pytest.warns(UserWarning, match="1 record batches for"):
+        batches = [b for p in parts_ for b in reader.read(p)]
+    assert pa.Table.from_batches(batches).to_pydict() == {"a": list(range(1000))}

@@ -1,5 +1,6 @@
 """What can be told without a database: options, slices, declared types and the options Spark gets."""
 
+import datetime
 import zlib
 from unittest import mock
 
@@ -14,8 +15,10 @@ from keytables.sources.jdbc import (
     create_types,
     jdbc_column_types,
     jdbc_options,
+    range_predicates,
     read_jdbc_hashed,
     read_jdbc_query,
+    read_jdbc_ranged,
     slice_predicates,
     write_jdbc,
 )
@@ -96,6 +99,49 @@ def test_mysql_slices_are_disjoint_and_complete(spark, values, n):
         assert [i for i, hit in enumerate(row.hit) if hit] == [want]
 
 
+RANGED = {
+    "k long": st.integers(-(2**62), 2**62),
+    "k decimal(12,2)": st.decimals(-(10**9), 10**9, places=2),
+    "k date": st.dates(datetime.date(1900, 1, 1), datetime.date(2100, 1, 1)),
+}
+
+
+@settings(deadline=None, max_examples=6)
+@given(st.data(), st.integers(1, 9))
+@pytest.mark.parametrize("schema", RANGED)
+def test_ranges_are_disjoint_and_complete(spark, schema, data, n):
+    values = data.draw(st.lists(st.none() | RANGED[schema], min_size=1))
+    known = [v for v in data.draw(st.lists(st.sampled_from(values))) if v is not None]
+    low, high = (min(known), max(known)) if known else (None, None)
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{schema}, other long")
+    plain = range_predicates("k", low, high, n, "numeric")
+    split = range_predicates("k", low, high, n, "numeric", nulls_by="other")
+    for predicates in (plain, split):
+        for row in hits(spark, df, predicates):
+            assert sum(row.hit) == 1
+            assert (row.k is None) == any(row.hit[i] for i, p in enumerate(predicates) if "IS NULL" in p)
+
+
+def test_range_texts():
+    assert range_predicates("k", 0, 9, 3, "mysql") == ["`k` < 3", "`k` >= 3 AND `k` < 6", "`k` >= 6", "`k` IS NULL"]
+    assert range_predicates("k", 5, 5, 3, "2") == ['"k" IS NOT NULL', '"k" IS NULL']
+    assert range_predicates("k", None, None, 3, "1", "j")[1] == "`k` IS NULL AND MOD(ABS(CRC32(`j`)), 3) = 0"
+    day = datetime.date(2020, 1, 1)
+    assert range_predicates("d", day, day + datetime.timedelta(10), 2, "1")[0] == "`d` < DATE '2020-01-06'"
+    for wrong in ("a", 1.5, datetime.datetime(2020, 1, 1)):
+        with pytest.raises(ValueError, match="integer, decimal or date"):
+            range_predicates("k", wrong, wrong, 2, "1")
+
+
+def test_ranged_reads_ask_for_the_ends_first():
+    session = mock.MagicMock()
+    session.read.format().options().load().first.return_value = (0, 9)
+    read_jdbc_ranged(session, "jdbc:mysql://h/d", "t", "k", 3)
+    query = session.read.format().options.call_args.kwargs["query"]
+    assert query == "SELECT MIN(`k`) AS low, MAX(`k`) AS high FROM t"
+    assert session.read.jdbc.call_args.kwargs["predicates"] == range_predicates("k", 0, 9, 3, "mysql")
+
+
 def test_reads_are_left_to_spark():
     session = mock.MagicMock()
     read_jdbc_hashed(session, "jdbc:x", "t", "k", 2, "numeric", {"user": "me"})
@@ -103,8 +149,14 @@ def test_reads_are_left_to_spark():
         url="jdbc:x",
         table="t",
         predicates=slice_predicates("k", 2, "numeric"),
-        properties={"user": "me"},
+        properties={"fetchsize": "10000", "user": "me"},
     )
+    read_jdbc_hashed(session, "jdbc:mysql://h/d", "t", "k", 2)
+    arguments = session.read.jdbc.call_args.kwargs
+    assert arguments["properties"] == {"fetchsize": "10000", "useCursorFetch": "true"}
+    assert arguments["predicates"] == slice_predicates("k", 2, "mysql")
+    with pytest.raises(ValueError, match="give a dialect"):
+        read_jdbc_hashed(session, "jdbc:h2:mem", "t", "k", 2)
     read_jdbc_query(session, "jdbc:x", " SELECT 1; ", {"user": "me"})
     session.read.format.assert_called_once_with("jdbc")
     options = session.read.format().options.call_args.kwargs
@@ -146,6 +198,19 @@ def test_declared_types_are_ones_spark_takes(spark, table):
     assert parsed.names == ["id", "name", "price"]
 
 
+def test_the_table_that_mysql_would_create(spark, table):
+    """The column list of Spark's MySQL dialect, which needs no connection."""
+    jvm = spark._jvm
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get("jdbc:mysql://host/db")
+    text = create_types(table, {**jdbc_column_types(table), "note": "VARCHAR(64)"})
+    create = jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.schemaString
+    some = getattr(jvm.scala, "Option").apply(text)
+    shown = create(dialect, table._jdf.schema(), False, some)
+    assert "`note` VARCHAR(64)" in shown and "`name` varchar(40)" in shown.replace("VARCHAR(40)", "varchar(40)")
+    plain = create(dialect, table._jdf.schema(), False, getattr(jvm.scala, "Option").apply(None))
+    assert "`note` LONGTEXT" in plain
+
+
 def test_write_names_the_table_and_declares_its_types(spark):
     df = mock.MagicMock(columns=["a"])
     name = write_jdbc(df, "jdbc:x", column_types={"a": "VARCHAR(4)", "b": "int"}, properties={"u": "v"})

@@ -104,13 +104,56 @@ def test_scratch_tables_are_in_the_shared_folder(spark, orders):
     assert kept.schema == orders.schema and kept.inputFiles()[0].removeprefix("file://").startswith(folder)
 
 
-def test_a_cluster_must_name_its_folder():
+def test_a_saved_psi_job_leaves_no_scratch_table(spark, customers, tmp_path):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("psi-*"))
+    keys = customers.select("c_custkey").where("c_custkey < 10")
+    jobs.psi_job(spark, customers, keys, "c_custkey", "c_custkey", save=jobs.arrow_saver(str(tmp_path / "t")))
+    with pytest.raises(KeyContractError):
+        jobs.psi_job(
+            spark, customers, keys, "c_custkey", "c_nationkey", save=jobs.arrow_saver(str(tmp_path / "u"))
+        )
+    with pytest.raises(ZeroDivisionError):
+        jobs.psi_job(spark, customers, keys, "c_custkey", "c_custkey", save=lambda df: 1 / 0)
+    assert set(folder.glob("psi-*")) == before
+
+
+@pytest.fixture
+def no_own_broadcast(spark):
+    """Else Spark broadcasts tables whose small size it knows."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_limits_and_strategy_reach_the_join(spark, customers, tmp_path, no_own_broadcast):
+    keys = customers.select("c_custkey").where("c_custkey < 10")
+    write_arrow(keys, str(tmp_path / "k"))
+    for limit, hinted in ((1_000_000, True), (5, False)):
+        got = jobs.join_job(spark, customers, str(tmp_path / "k"), "c_custkey", broadcast_max_rows=limit)
+        assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) == hinted
+        filtered = jobs.query_job(
+            spark, customers, ["c_custkey"], [str(tmp_path / "k")], broadcast_max_rows=limit
+        )
+        assert ("BroadcastHashJoin" in filtered._jdf.queryExecution().executedPlan().toString()) == hinted
+        assert got.count() == filtered.count() == keys.count()
+    pinned = jobs.join_job(
+        spark, customers, str(tmp_path / "k"), "c_custkey", strategy="shuffle", num_partitions=13
+    )
+    assert pinned.rdd.getNumPartitions() == 13
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_must_name_its_folder(master):
     class Conf:
         def get(self, key, default=None):
             return default
 
     class Context:
-        master = "spark://host:7077"
+        pass
+
+    Context.master = master
 
     class Session:
         conf, sparkContext = Conf(), Context()
@@ -119,6 +162,17 @@ def test_a_cluster_must_name_its_folder():
         scratch_path(Session(), "x")
 
 
+def test_jdbc_saver_raises_on_doubled_rows(spark, orders, monkeypatch):
+    declared = []
+    monkeypatch.setattr(jobs, "write_jdbc", lambda *a, **b: declared.append(b["column_types"]) or "t")
+    monkeypatch.setattr(jobs, "read_jdbc_hashed", lambda *a: orders.union(orders.limit(1)))
+    types = {"o_orderstatus": "VARCHAR(1)"}
+    with pytest.raises(RuntimeError, match="not the 1500 written"):
+        jobs.jdbc_saver("jdbc:x", "o_orderkey", column_types=types)(orders)
+    assert declared[0]["o_orderstatus"] == "VARCHAR(1)" and declared[0]["o_orderkey"] == "bigint"
+    jobs.jdbc_saver("jdbc:x", "o_orderkey", column_types=types, check=False)(orders)
+
+
 def test_jdbc_saver_reads_back_in_slices(spark, orders, monkeypatch):
     calls = []
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keytables.operators import fits_broadcast, join_tables, key_filter, psi_join
 from keytables.operators.joins import JOIN_TYPES, STRATEGIES
+from keytables.sources import read_arrow, write_arrow
 
 LAYOUTS = [(s, None) for s in STRATEGIES] + [("shuffle", 3)]
 
@@ -226,3 +227,69 @@ def test_a_hot_key_of_a_filtered_table_is_split(hot, even, small_splits):
     summary = got.agg(F.count(F.lit(1)), F.max(F.xxhash64(*got.columns)))
     assert summary.collect()[0][0] == hot.join(even, "k", "left_semi").count()
     assert "skew=true" in plan(summary).split("Initial Plan")[0]
+
+
+def jobs_started(spark, name, build):
+    """The jobs that ``build`` starts before its result is used."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        build()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.mark.parametrize("how", JOIN_TYPES)
+def test_no_job_runs_while_a_join_is_built(spark, hot, even, tmp_path, how):
+    write_arrow(even, str(tmp_path / "even"))
+    listed = read_arrow(spark, str(tmp_path / "even"))
+    for n, (right, limits) in enumerate(
+        [(even, {}), (listed, {"broadcast_max_bytes": 1000}), (listed, {"broadcast_max_rows": 0})]
+    ):
+        started = jobs_started(spark, f"join-{how}-{n}", lambda: join_tables(hot, right, "k", how, **limits))
+        assert started == 0
+    assert jobs_started(spark, f"filter-{how}", lambda: key_filter(hot, {"k": even})) == 0
+    # The counter does count.
+    assert jobs_started(spark, f"count-{how}", lambda: join_tables(hot, listed.limit(5), "k", how).count()) > 0
+
+
+@pytest.mark.parametrize("name", ["psi_join_auto", "psi_join_two_keys", "psi_join_left", "join_multi_key", "join_right"])
+def test_queries_start_no_job_beyond_reading_schemas(spark, name):
+    from keytables.plans.catalog import CATALOG
+
+    tables = ("customer", "orders", "lineitem")
+    folder = "/root/testdata/sf0.001"
+    schemas = jobs_started(spark, f"schemas-{name}", lambda: [spark.read.parquet(f"{folder}/{t}.parquet") for t in tables])
+    assert jobs_started(spark, name, lambda: CATALOG[name].run(spark, folder)) <= schemas
+
+
+@pytest.mark.parametrize("how", JOIN_TYPES)
+def test_small_arrow_files_are_broadcast(spark, hot, tmp_path, how):
+    write_arrow(spark.range(100).toDF("k"), str(tmp_path / "k"))
+    keys = read_arrow(spark, str(tmp_path / "k"))
+    text = plan(join_tables(hot, keys, "k", how))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "BroadcastHashJoin" in plan(key_filter(hot, {"k": keys}))
+
+
+def test_a_tiny_right_side_is_left_to_spark(spark, hot):
+    tiny = spark.range(10).toDF("k").withColumn("w", F.lit(1))
+    text = plan(join_tables(hot, tiny, "k", "left", broadcast_max_rows=0))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("layout", ["spread", "by key", "clustered"])
+def test_a_hot_key_is_spread_evenly_whatever_the_input(spark, hot, even, layout):
+    given_ = {"spread": hot, "by key": hot.repartition(12, "k"), "clustered": hot.repartitionByRange(12, "k")}[layout]
+    got = join_tables(given_, even, "k", "inner", "shuffle", num_partitions=16)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == hot.join(even, "k").count()
+    assert max(sizes) < 2 * sum(sizes) / 16
+    again = join_tables(given_, even, "k", "inner", "shuffle", num_partitions=16)
+    assert sorted(sizes) == sorted(r["count"] for r in again.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_no_salt_without_a_hot_key(spark, even):
+    other = even.withColumnRenamed("w", "v")
+    text = plan(join_tables(other, even, "k", "inner", "shuffle", num_partitions=4))
+    assert "Generate" not in text and "salt" not in text
