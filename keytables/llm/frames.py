@@ -1,7 +1,11 @@
-"""Schemas of what Python tasks return."""
+"""What Python tasks take and return."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql.types import DataType, StructField, StructType
 
 
@@ -9,3 +13,26 @@ def extended(schema: StructType, **fields: DataType) -> StructType:
     """A new schema: the fields of ``schema``, then ``fields``; all may be null."""
     every = [StructField(f.name, f.dataType) for f in schema.fields]
     return StructType([*every, *(StructField(name, kind) for name, kind in fields.items())])
+
+
+def sorted_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the rows with equal keys, where rows come sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            key = tuple(c[begin] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keytables.llm.components import connected_components
+from keytables.llm.frames import sorted_runs
 from keytables.llm.words import inside, mix, pieces, shingle_hashes, split_words, word_hashes
 from keytables.sources.scratch import write_scratch
 
@@ -203,29 +204,6 @@ def _links_apart(similarity: int):
     return run
 
 
-def sorted_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of the rows with equal keys, where rows come sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for c in columns:
-            change |= c[1:] != c[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for begin, end in zip(cuts, cuts[1:]):
-            key = tuple(c[begin] for c in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(begin, end - begin))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: the near-duplicate group of each row of ``documents``.
 

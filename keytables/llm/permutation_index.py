@@ -12,17 +12,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keytables.llm import vectors as V
-from keytables.llm.minhash_dedup import sorted_runs
+from keytables.llm.frames import sorted_runs
 from keytables.sources.scratch import write_scratch
 
 
 class Settings(NamedTuple):
     """``pivots`` vectors of a sample; ``order`` nearest pivots represent a vector; ``post`` files hold it and ``visit``
-    are read for a query; of each ``block`` of a file, the share ``rerank`` with the least footrule is measured, and
+    are read for a query; of each ``block`` of a file, against so many queries (``ask_block``) in one go, the share ``rerank`` with the least footrule is measured, and
     whatever ties with its last. Recall, not the answer's form, depends on them."""
 
     pivots: int = 64
@@ -32,6 +32,7 @@ class Settings(NamedTuple):
     rerank: float = 0.2
     least_rerank: int = 64
     block: int = 4096
+    ask_block: int = 1024
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -114,19 +115,26 @@ def search(
     schema = "vec_id long, x array<double>, near array<int>"
     posts = rows.mapInArrow(ordered, schema).withColumn("pivot", F.explode(F.slice("near", 1, post)))
     posts = write_scratch(posts, "permutation-posts")
-    # Long files are cut into blocks, and a query is sent to every block of a file.
-    sizes = posts.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
-    sizes = write_scratch(sizes, "permutation-sizes")
-    block = F.pmod(F.xxhash64("vec_id", "pivot"), F.col("blocks")).cast("int")
-    # One row per pivot, so of a proven size.
-    held = posts.join(F.broadcast(sizes), on="pivot").select("pivot", block.alias("block"), "vec_id", "x", "near", F.lit(False).alias("asks"))
     visits = asked.mapInArrow(ordered, schema).withColumn("pivot", F.explode(F.slice("near", 1, visit)))
-    visits = visits.join(F.broadcast(sizes), on="pivot").select(
-        "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "x", "near", F.lit(True).alias("asks")
-    )
+    visits = write_scratch(visits, "permutation-visits")
+    # Long files are cut into blocks, as are the queries to one file; every block meets every other.
+    rows_of = posts.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
+    asks_of = visits.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / settings.ask_block).cast("int").alias("ask_blocks"))
+    # One row per pivot, so of a proven size.
+    sizes = F.broadcast(write_scratch(rows_of.join(asks_of, on="pivot"), "permutation-sizes"))
+
+    def dealt(df: DataFrame, own: str, other: str, names: tuple[str, str], asks: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("vec_id", "pivot"), F.col(own)).cast("int").alias(names[0])
+        others = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(names[1])
+        found = df.join(sizes, on="pivot").select("pivot", mine, others, "vec_id", "x", "near", F.lit(asks).alias("asks"))
+        return found.select("pivot", "block", "ask_block", "vec_id", "x", "near", "asks")
+
+    held = dealt(posts, "blocks", "ask_blocks", ("block", "ask_block"), False)
+    visits = dealt(visits, "ask_blocks", "blocks", ("ask_block", "block"), True)
+    meet = ["pivot", "block", "ask_block"]
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_runs(batches, ["pivot", "block"]):
+        for group in sorted_runs(batches, meet):
             asks = group["asks"].to_numpy()
             if asks.all() or not asks.any():
                 continue
@@ -144,8 +152,8 @@ def search(
     results = "query_id long, vec_id long, score double"
     found = (
         held.unionByName(visits)
-        .repartition("pivot", "block")
-        .sortWithinPartitions("pivot", "block")
+        .repartition(*meet)
+        .sortWithinPartitions(*meet)
         .mapInArrow(ask, results)
     )
     best = write_scratch(_best(found, k), "permutation-found")
@@ -167,12 +175,10 @@ def _found(rows: list[tuple[int, int, float]]) -> pa.RecordBatch:
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best of each query. A query has at most ``k`` rows from each block it was sent to."""
+    """The ``k`` best of each query; Spark keeps the best of each task before it shuffles them."""
     one = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    lists = one.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("best"))
-    return lists.select("query_id", F.posexplode("best").alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score")
-    )
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return one.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _compare_all(rows: DataFrame, short: DataFrame, k: int, schema: str) -> DataFrame:

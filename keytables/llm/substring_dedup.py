@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from keytables.llm.frames import extended
-from keytables.llm.minhash_dedup import sorted_runs
+from keytables.llm.frames import extended, sorted_runs
 from keytables.llm.words import Words, inside, join_kept, pieces, shingle_hashes, split_words, word_hashes
 from keytables.sources.scratch import write_scratch
 
