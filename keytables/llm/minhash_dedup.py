@@ -24,8 +24,9 @@ from keytables.sources.scratch import write_scratch
 # A pair of a similarity of 0.85 shares no band with a probability of 4e-7.
 BANDS, BAND_ROWS = 25, 5
 MINIMA = BANDS * BAND_ROWS
-# Signatures keep 8 bits of each minimum. A pair of 0.85 agrees in so few of 125 with a probability of 1e-5.
-LEAST_AGREEING = 88
+# Signatures keep 8 bits of each minimum. A pair at the threshold agrees in fewer of them than is asked for, so many
+# standard deviations below what is expected, with a probability of 1e-5; at 0.85 that is 88 of 125.
+AGREEING_DEVIATIONS = 4.6
 # Buckets of more nodes than this give no candidate pairs, but links; so many nodes of one are compared in one go.
 SMALL, BLOCK = 32, 2048
 
@@ -129,6 +130,12 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
+def least_agreeing(similarity: int) -> int:
+    """In how many minima two sets must agree to be looked at more closely."""
+    p = similarity / 100
+    return round(MINIMA * p - AGREEING_DEVIATIONS * (MINIMA * p * (1 - p)) ** 0.5)
+
+
 def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """In how many minima each row of ``left`` agrees with each row of ``right``."""
     out = np.zeros((len(left), len(right)), np.uint8)
@@ -137,28 +144,26 @@ def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apart(similarity: int):
     """Candidate pairs of different components within each run of equal ``bucket, i, j``, rows being sorted."""
-    for group in sorted_runs(batches, ["bucket", "i", "j"]):
-        sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
-        node, comp, block, n = (group[c].to_numpy() for c in ("node", "component", "block", "n_shingles"))
-        names, code, members = np.unique(comp, return_inverse=True, return_counts=True)
-        if len(names) < 2:
-            continue
-        # Pairs within the largest component need no look.
-        rest = np.flatnonzero(code != members.argmax())
-        across = group["i"][0].as_py() != group["j"][0].as_py()
-        for at in range(0, len(rest), 256):
-            a = rest[at : at + 256]
-            near = (_agreeing(sig[a], sig) >= LEAST_AGREEING) & (code[a][:, None] != code[None, :])
-            if across:
-                near &= block[a][:, None] != block[None, :]
-            near &= 100 * np.minimum(n[a][:, None], n) >= 85 * np.maximum(n[a][:, None], n)
+    least = least_agreeing(similarity)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_runs(batches, ["bucket", "i", "j"]):
+            sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+            node, comp, n = (group[c].to_numpy() for c in ("node", "component", "n_shingles"))
+            _, code, members = np.unique(comp, return_inverse=True, return_counts=True)
+            # Pairs within the largest component need no look.
+            rest = np.flatnonzero(code != members.argmax())
+            near = (_agreeing(sig[rest], sig) >= least) & (code[rest][:, None] != code[None, :])
+            near &= 100 * np.minimum(n[rest][:, None], n) >= similarity * np.maximum(n[rest][:, None], n)
             x, y = np.nonzero(near)
             if len(x):
-                p, q = node[a[x]], node[y]
+                p, q = node[rest[x]], node[y]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
+    return run
+
 
 def _links_apart(similarity: int):
     """The links between different components within each run of equal ``bucket, i, j``, rows being sorted.
@@ -166,6 +171,7 @@ def _links_apart(similarity: int):
     A pair is looked at in the first bucket that it shares, the likeliest of a node's pairs first, and once two
     components are linked, no more pairs of theirs are looked at.
     """
+    least = least_agreeing(similarity)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_runs(batches, ["bucket", "i", "j"]):
@@ -186,7 +192,7 @@ def _links_apart(similarity: int):
                     & (~across | (block != block[x]))
                 )
                 agree = (sig[others] == sig[x]).sum(axis=1)
-                others, agree = others[agree >= LEAST_AGREEING], agree[agree >= LEAST_AGREEING]
+                others, agree = others[agree >= least], agree[agree >= least]
                 mine = values[ends[x] : ends[x + 1]]
                 for y in others[np.argsort(-agree, kind="stable")].tolist():
                     if code[y] == code[x]:
@@ -240,7 +246,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     sets = write_scratch(sets, "minhash-sets")
 
     stars = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = _verified(_agreeing_pairs(stars, facts), sets, similarity)
+    links = _verified(_agreeing_pairs(stars, facts, similarity), sets, similarity)
     groups = write_scratch(connected_components(links), "minhash-groups")
 
     # Buckets that still hold several components: their pairs across components.
@@ -264,7 +270,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
         return df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     small = in_order(blocks.where(F.col("members") <= SMALL).join(facts, on="node"))
-    pairs = small.mapInArrow(_apart, "a long, b long").distinct()
+    pairs = small.mapInArrow(_apart(similarity), "a long, b long").distinct()
     checked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = write_scratch(pairs.join(checked, on=["a", "b"], how="left_anti"), "minhash-rest")
     large = blocks.where(F.col("members") > SMALL).join(nodes.select("node", "n_shingles", "signature", "bands"), on="node")
@@ -285,20 +291,22 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     )
 
 
-def _agreeing_pairs(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+def _agreeing_pairs(pairs: DataFrame, facts: DataFrame, similarity: int) -> DataFrame:
     """The pairs whose sizes allow the similarity and whose signatures agree in enough minima."""
+    least = least_agreeing(similarity)
+
     def side(name):
         return facts.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("signature").alias(f"s_{name}"))
 
     joined = pairs.join(side("a").hint("merge"), on="a").join(side("b").hint("merge"), on="b")
-    near = 100 * F.least("n_a", "n_b") >= 85 * F.greatest("n_a", "n_b")
+    near = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
 
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (
                 np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, MINIMA) for c in ("s_a", "s_b")
             )
-            enough = (a == b).sum(axis=1) >= LEAST_AGREEING
+            enough = (a == b).sum(axis=1) >= least
             yield batch.select(["a", "b"]).filter(pa.array(enough))
 
     found = joined.where(near).select("a", "b", "s_a", "s_b").mapInArrow(agree, "a long, b long")

@@ -55,13 +55,61 @@ def op1_token_files(spark, folder):
     return token_files.token_starts(token_files.token_digests(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-@_query()
+# For each id the smallest one that links lead to.
+_COMPONENTS = """
+    both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reached AS (
+        SELECT id, id AS r FROM ids UNION SELECT reached.id, both_ways.b FROM reached JOIN both_ways ON reached.r = both_ways.a
+    ),
+    components AS (SELECT id, min(r) AS component_id FROM reached GROUP BY id)
+"""
+
+
+@_query(
+    f"""
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+            AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+    ),
+    links AS (
+        SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q ON p.vec_id < q.vec_id
+        WHERE list_cosine_similarity(p.x, q.x) >= 0.95
+    ),
+    ids AS (SELECT vec_id AS id FROM embeddings), {_COMPONENTS}
+    SELECT id AS vec_id, (SELECT count(*) FROM both_ways WHERE a = id) AS n_links, component_id, id = component_id AS kept
+    FROM components
+    """
+)
 def op2_grid_join(spark, folder):
     """The near-duplicate group of every vector."""
     return grid_join.link_vectors(_table(spark, folder, "embeddings"), 0.95)
 
 
-@_query()
+@_query(
+    rf"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+        ) AS w FROM documents
+    ),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+        FROM split, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 2))) AS i) WHERE len(w) > 0
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS n FROM shingles p JOIN shingles q ON p.s = q.s AND p.doc_id < q.doc_id
+        GROUP BY ALL
+    ),
+    links AS (
+        SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+    ),
+    ids AS (SELECT doc_id AS id FROM documents), {_COMPONENTS}
+    SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept
+    FROM components LEFT JOIN sizes ON doc_id = id
+    """
+)
 def op3_minhash_dedup(spark, folder):
     """The near-duplicate group of every document."""
     return minhash_dedup.near_duplicates(_table(spark, folder, "documents"))
@@ -167,7 +215,25 @@ def op7_url_filters(spark, folder):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-@_query()
+@_query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM split, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS i)
+    ),
+    firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+    gone AS (
+        SELECT DISTINCT doc_id, i + j AS p FROM windows JOIN firsts USING (s), range(13) AS r(j) WHERE first < doc_id
+    ),
+    words AS (SELECT doc_id, p, w[p] AS word FROM split, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p)),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+    lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+    FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+    """
+)
 def op6_substring_dedup(spark, folder):
     """What is left of every document without the passages of 13 words that smaller documents have."""
     documents = _table(spark, folder, "documents").select("doc_id", "text")

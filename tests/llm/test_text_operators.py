@@ -215,3 +215,15 @@ def test_piece_round_trip_of_odd_texts(odd):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     assert piece_encoding.encode_documents(odd.where("false"), PIECES).count() == 0
+
+
+def test_a_lower_similarity_finds_more(spark):
+    text = [f"w{i}" for i in range(100)]
+    rows = [(0, " ".join(text)), (1, " ".join(text[:50] + ["x"] + text[51:])), (2, " ".join([*text[:29], "y", *text[30:59], "z", *text[60:]]))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert minhash_dedup.least_agreeing(85) == 88 and minhash_dedup.least_agreeing(80) < 88
+    for per_cent in (80, 85, 95):
+        want = groups({i: shingle_set(t, 5) for i, t in rows}, per_cent)
+        got = minhash_dedup.near_duplicates(table, similarity=per_cent).collect()
+        assert {r.doc_id: r.component_id for r in got} == want
+    assert groups({i: shingle_set(t, 5) for i, t in rows}, 80) != groups({i: shingle_set(t, 5) for i, t in rows}, 85)
