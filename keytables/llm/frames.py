@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+import time
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,3 +39,32 @@ def sorted_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[
             last = key
     if held:
         yield pa.Table.from_batches(held)
+
+
+def _give_back() -> None:
+    """Return freed memory to the machine; where the C library cannot, Arrow's alone."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving back the memory it has freed now and then, and in the end.
+
+    Spark keeps Python workers for later tasks. What one has freed would else stay with it, beside
+    what the others use.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = time.monotonic()
+        for batch in run(batches):
+            yield batch
+            del batch
+            if time.monotonic() - last > 1:
+                _give_back()
+                last = time.monotonic()
+        _give_back()
+
+    return tidied

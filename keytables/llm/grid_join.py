@@ -21,7 +21,7 @@ from pyspark.sql.types import IntegerType
 
 from keytables.llm import vectors as V
 from keytables.llm.components import connected_components
-from keytables.llm.frames import extended
+from keytables.llm.frames import extended, tidy
 from keytables.sources.scratch import write_scratch
 
 # Coordinates that make up the order, and those by which blocks find each other.
@@ -218,11 +218,11 @@ def _block_links(points: DataFrame, axes: np.ndarray, least: float) -> tuple[Dat
 
     schema = extended(points.schema, **{name: IntegerType() for name in names})
     ordered = (
-        points.mapInArrow(cells, schema)
+        points.mapInArrow(tidy(cells), schema)
         .repartitionByRange(*names)
         .sortWithinPartitions(*names)
         .select("rep", "weight", "x")
-        .mapInArrow(number, f"rep {id_type}, weight long, x array<double>, part long, at long")
+        .mapInArrow(tidy(number), f"rep {id_type}, weight long, x array<double>, part long, at long")
     )
     ordered = write_scratch(ordered, "grid-order")
     # Places in the whole order come from one row per partition; blocks are of so many places.
@@ -289,7 +289,7 @@ def _block_links(points: DataFrame, axes: np.ndarray, least: float) -> tuple[Dat
     found = (
         pairs.join(side("a"), on="a")
         .join(side("b"), on="b")
-        .mapInArrow(join, f"rep {id_type}, links long, root {id_type}")
+        .mapInArrow(tidy(join), f"rep {id_type}, links long, root {id_type}")
     )
     found = write_scratch(found, "grid-links")
     return found, found.select(F.col("rep").alias("a"), F.col("root").alias("b"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
-from keytables.llm.frames import extended
+from keytables.llm.frames import extended, tidy
 from keytables.llm.words import LOWER, SPACES, pieces, text_bytes
 
 BUCKETS, WIDTH = 1 << 15, 16
@@ -127,7 +127,7 @@ def train(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["lang"], *lists], ["doc_id", "lang", "buckets", "counts"])
 
     schema = f"doc_id {dict(documents.dtypes)['doc_id']}, lang string, buckets array<int>, counts array<int>"
-    found = rows.mapInArrow(run, schema).limit(2 * max_rows).toArrow().sort_by("doc_id")
+    found = rows.mapInArrow(tidy(run), schema).limit(2 * max_rows).toArrow().sort_by("doc_id")
     if not found.num_rows:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     bags = [(np.array(b), np.array(c)) for b, c in zip(found["buckets"].to_pylist(), found["counts"].to_pylist())]
@@ -173,4 +173,4 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
                 )
 
     schema = extended(documents.schema, lang_pred=StringType(), score=DoubleType(), accepted=BooleanType())
-    return documents.withColumn("__letters", has_letter(F.col("text"))).mapInArrow(run, schema)
+    return documents.withColumn("__letters", has_letter(F.col("text"))).mapInArrow(tidy(run), schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keytables.llm.components import connected_components
-from keytables.llm.frames import sorted_runs
+from keytables.llm.frames import sorted_runs, tidy
 from keytables.llm.words import inside, mix, pieces, shingle_hashes, split_words, word_hashes
 from keytables.sources.scratch import write_scratch
 
@@ -111,7 +111,7 @@ def _features(documents: DataFrame, size: int, id_type: str) -> DataFrame:
                 )
 
     schema = f"doc_id {id_type}, node long, n_shingles long, signature binary, bands array<long>"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return documents.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
@@ -127,7 +127,7 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(node), lists], ["node", "shingles"]).filter(same)
 
-    return rows.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+    return rows.select("node", "text").mapInArrow(tidy(run), "node long, shingles array<long>")
 
 
 def least_agreeing(similarity: int) -> int:
@@ -270,11 +270,11 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
         return df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     small = in_order(blocks.where(F.col("members") <= SMALL).join(facts, on="node"))
-    pairs = small.mapInArrow(_apart(similarity), "a long, b long").distinct()
+    pairs = small.mapInArrow(tidy(_apart(similarity)), "a long, b long").distinct()
     checked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = write_scratch(pairs.join(checked, on=["a", "b"], how="left_anti"), "minhash-rest")
     large = blocks.where(F.col("members") > SMALL).join(nodes.select("node", "n_shingles", "signature", "bands"), on="node")
-    more = in_order(large.join(sets, on="node")).mapInArrow(_links_apart(similarity), "a long, b long")
+    more = in_order(large.join(sets, on="node")).mapInArrow(tidy(_links_apart(similarity)), "a long, b long")
     more = _verified(pairs, sets, similarity).unionByName(more)
     stars_of = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = write_scratch(connected_components(stars_of.unionByName(more)), "minhash-all-groups")
@@ -309,7 +309,7 @@ def _agreeing_pairs(pairs: DataFrame, facts: DataFrame, similarity: int) -> Data
             enough = (a == b).sum(axis=1) >= least
             yield batch.select(["a", "b"]).filter(pa.array(enough))
 
-    found = joined.where(near).select("a", "b", "s_a", "s_b").mapInArrow(agree, "a long, b long")
+    found = joined.where(near).select("a", "b", "s_a", "s_b").mapInArrow(tidy(agree), "a long, b long")
     return write_scratch(found, "minhash-pairs")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
-from keytables.llm.frames import extended
+from keytables.llm.frames import extended, tidy
 from keytables.llm.words import LOWER, Words, mix, pieces, range_hashes, split_words
 
 BUCKETS = 1 << 18
@@ -185,7 +185,7 @@ def train(documents: DataFrame, ratings: DataFrame, max_rows: int = MAX_ROWS) ->
     # The drawn ratings are at most 2 * max_rows, so they can go to every task.
     rated = documents.select("doc_id", "text").join(F.broadcast(ratings), on="doc_id")
     schema = f"doc_id {dict(documents.dtypes)['doc_id']}, rating double, buckets array<int>"
-    found = rated.mapInArrow(run, schema).toArrow().sort_by("doc_id")
+    found = rated.mapInArrow(tidy(run), schema).toArrow().sort_by("doc_id")
     if not found.num_rows:
         return Model(np.zeros(BUCKETS), np.empty(0), np.empty(0))
     lists = found["buckets"].combine_chunks()
@@ -229,4 +229,4 @@ def grade(documents: DataFrame, model: Model, least_grade: float | None = None,
     schema = extended(
         documents.schema, expected_grade=DoubleType(), tail_probability=DoubleType(), selected=BooleanType()
     )
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(tidy(run), schema)

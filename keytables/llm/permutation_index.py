@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keytables.llm import vectors as V
-from keytables.llm.frames import sorted_runs
+from keytables.llm.frames import sorted_runs, tidy
 from keytables.sources.scratch import write_scratch
 
 
@@ -113,9 +113,9 @@ def search(
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["vec_id", "x", "near"])
 
     schema = "vec_id long, x array<double>, near array<int>"
-    posts = rows.mapInArrow(ordered, schema).withColumn("pivot", F.explode(F.slice("near", 1, post)))
+    posts = rows.mapInArrow(tidy(ordered), schema).withColumn("pivot", F.explode(F.slice("near", 1, post)))
     posts = write_scratch(posts, "permutation-posts")
-    visits = asked.mapInArrow(ordered, schema).withColumn("pivot", F.explode(F.slice("near", 1, visit)))
+    visits = asked.mapInArrow(tidy(ordered), schema).withColumn("pivot", F.explode(F.slice("near", 1, visit)))
     visits = write_scratch(visits, "permutation-visits")
     # Long files are cut into blocks, as are the queries to one file; every block meets every other.
     rows_of = posts.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
@@ -154,7 +154,7 @@ def search(
         held.unionByName(visits)
         .repartition(*meet)
         .sortWithinPartitions(*meet)
-        .mapInArrow(ask, results)
+        .mapInArrow(tidy(ask), results)
     )
     best = write_scratch(_best(found, k), "permutation-found")
     short = asked.join(
@@ -199,4 +199,4 @@ def _compare_all(rows: DataFrame, short: DataFrame, k: int, schema: str) -> Data
                 out += [(ids[q], *f) for f in nearest(x[q], x[~asks], ids[~asks], ids[q], k)]
             yield _found(out)
 
-    return a.unionByName(b).repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(compare, schema)
+    return a.unionByName(b).repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(tidy(compare), schema)

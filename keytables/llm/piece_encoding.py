@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from keytables.llm.frames import extended
+from keytables.llm.frames import extended, tidy
 from keytables.llm.token_files import id_lists
 from keytables.llm.words import pieces
 
@@ -239,7 +239,7 @@ def encode_documents(documents: DataFrame, model_file: str, column: str = "text"
                 yield pa.RecordBatch.from_arrays([*piece.columns, ids], [*names, into])
 
     schema = extended(rows.schema, **{into: ArrayType(IntegerType())})
-    return rows.mapInArrow(encode, schema)
+    return rows.mapInArrow(tidy(encode), schema)
 
 
 def decode_documents(encoded: DataFrame, model_file: str, column: str = "ids", into: str = "decoded") -> DataFrame:
@@ -253,7 +253,7 @@ def decode_documents(encoded: DataFrame, model_file: str, column: str = "ids", i
             texts = [None if x is None else encoder.decode(x) for x in batch[column].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, into])
 
-    return rows.mapInArrow(decode, extended(rows.schema, **{into: StringType()}))
+    return rows.mapInArrow(tidy(decode), extended(rows.schema, **{into: StringType()}))
 
 
 def round_trip_digests(documents: DataFrame, model_file: str) -> DataFrame:
@@ -281,5 +281,5 @@ def round_trip_digests(documents: DataFrame, model_file: str) -> DataFrame:
                 )
 
     return documents.select("doc_id", "text").mapInArrow(
-        digest, f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        tidy(digest), f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from keytables.llm.frames import extended, sorted_runs
+from keytables.llm.frames import extended, sorted_runs, tidy
 from keytables.llm.words import Words, inside, join_kept, pieces, shingle_hashes, split_words, word_hashes
 from keytables.sources.scratch import write_scratch
 
@@ -146,7 +146,7 @@ def _bundles(documents: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return documents.mapInArrow(run, "bundle long, rows binary")
+    return documents.mapInArrow(tidy(run), "bundle long, rows binary")
 
 
 class _Windows:
@@ -369,14 +369,14 @@ def remove_repeats(documents: DataFrame, window: int = 13, sub: int = 8, join_al
     parts = max(8, bundles.count() // BUNDLES_A_PART)
     told = "part long, bundles binary, minimizers binary, low binary, spread binary, places binary"
     answers = (
-        bundles.mapInArrow(_tell(parts, window, sub), told)
+        bundles.mapInArrow(tidy(_tell(parts, window, sub)), told)
         .groupBy("part")
         .applyInArrow(_answer, "bundle long, places binary, firsts binary, shards binary")
         .groupBy("bundle")
         .agg(F.collect_list(F.struct("places", "firsts", "shards")).alias("answers"))
     )
     run, schema = _passages(window, sub)
-    passages = write_scratch(bundles.join(answers, on="bundle").mapInArrow(run, schema), "repeats-passages")
+    passages = write_scratch(bundles.join(answers, on="bundle").mapInArrow(tidy(run), schema), "repeats-passages")
 
     # A shard is copied for as many tasks as the words to be streamed through it call for.
     asked = passages.where("asks").groupBy("shard").agg(F.ceil(F.sum("n") / STREAM_WORDS).cast("int").alias("copies"))
@@ -390,7 +390,7 @@ def remove_repeats(documents: DataFrame, window: int = 13, sub: int = 8, join_al
         .drop("copies", "n")
         .repartition("shard", "copy")
         .sortWithinPartitions("shard", "copy")
-        .mapInArrow(match, schema)
+        .mapInArrow(tidy(match), schema)
     )
     found = write_scratch(found, "repeats-found")
     open_ = found.where("window is not null")
@@ -425,4 +425,4 @@ def remove_repeats(documents: DataFrame, window: int = 13, sub: int = 8, join_al
                 yield pa.RecordBatch.from_arrays([*columns, *counts], [*names, *own])
 
     out = extended(documents.schema, n_words=LongType(), n_removed=LongType())
-    return bundles.join(removed, on="bundle", how="left").select("rows", "ranges").mapInArrow(finish, out)
+    return bundles.join(removed, on="bundle", how="left").select("rows", "ranges").mapInArrow(tidy(finish), out)

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from keytables.llm.frames import tidy
 from keytables.llm.words import SPACES, pieces, range_hashes, take_lists, text_bytes
 
 # Texts are encoded in pieces of about so many bytes.
@@ -211,7 +212,7 @@ def write_token_files(
         documents.select("doc_id", "text")
         .repartitionByRange("doc_id", tie)
         .sortWithinPartitions("doc_id", tie)
-        .mapInArrow(encode, f"doc_id {key}, part int, at long, n_tokens long, ids array<int>")
+        .mapInArrow(tidy(encode), f"doc_id {key}, part int, at long, n_tokens long, ids array<int>")
         .write.option("orc.stripe.size", stripe_bytes)
         .option("orc.row.index.stride", index_rows)
         .option("orc.bloom.filter.columns", "doc_id")
@@ -255,5 +256,5 @@ def token_digests(rows: DataFrame) -> DataFrame:
             )
 
     return rows.select("doc_id", "part", "at", "ids").mapInArrow(
-        digest, f"doc_id {key}, part int, at long, n_tokens long, ids_crc32 long"
+        tidy(digest), f"doc_id {key}, part int, at long, n_tokens long, ids_crc32 long"
     )
