@@ -117,11 +117,11 @@ def op3_minhash_dedup(spark, folder):
 
 @_query()
 def op4_ordinal_quality(spark, folder):
-    """Every document's expected grade and whether it is good enough; grades are learnt from the labels."""
+    """Every document's expected grade and whether it is good enough to keep; grades are learnt from the labels."""
     documents = _table(spark, folder, "documents")
     model = ordinal_quality.train(documents, corpus_pipeline.ratings(_table(spark, folder, "labels")))
     graded = ordinal_quality.grade(documents, model)
-    return graded.select("doc_id", "expected_grade", "tail_probability", "selected")
+    return graded.select("doc_id", "expected_grade", "tail_probability", F.col("selected").alias("kept"))
 
 
 @_query()

@@ -88,7 +88,7 @@ def test_op4(spark):
     assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
     rated = got.dropna(subset=["quality"])
     good = (rated.quality == 1) & (rated.toxic == 0)
-    assert (rated.selected == good).mean() > 0.9
+    assert (rated.kept == good).mean() > 0.9
 
 
 def test_op5(spark, texts):
