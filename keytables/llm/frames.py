@@ -49,8 +49,8 @@ def _give_back() -> None:
         trim(0)
 
 
-def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``run``, giving back the memory it has freed now and then, and in the end.
+def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], every: float = 1.0):
+    """``run``, giving back the memory it has freed after each ``every`` seconds, and in the end.
 
     Spark keeps Python workers for later tasks. What one has freed would else stay with it, beside
     what the others use.
@@ -62,7 +62,7 @@ def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
         for batch in run(batches):
             yield batch
             del batch
-            if time.monotonic() - last > 1:
+            if time.monotonic() - last > every:
                 _give_back()
                 last = time.monotonic()
         _give_back()

@@ -212,7 +212,7 @@ def write_token_files(
         documents.select("doc_id", "text")
         .repartitionByRange("doc_id", tie)
         .sortWithinPartitions("doc_id", tie)
-        .mapInArrow(tidy(encode), f"doc_id {key}, part int, at long, n_tokens long, ids array<int>")
+        .mapInArrow(tidy(encode, every=10), f"doc_id {key}, part int, at long, n_tokens long, ids array<int>")
         .write.option("orc.stripe.size", stripe_bytes)
         .option("orc.row.index.stride", index_rows)
         .option("orc.bloom.filter.columns", "doc_id")
