@@ -9,6 +9,7 @@ are verified on the spot, in blocks of bounded size, and only links come out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,18 +22,31 @@ from keytables.llm.frames import sorted_runs, tidy
 from keytables.llm.words import inside, mix, pieces, shingle_hashes, split_words, word_hashes
 from keytables.sources.scratch import write_scratch
 
-# A pair of a similarity of 0.85 shares no band with a probability of 4e-7.
-BANDS, BAND_ROWS = 25, 5
+# Bands at a similarity of 0.85 or more; below that there are so many more (37 at 0.8) that a pair at the threshold
+# shares none with a probability of at most MISSED, too: 4e-7 at both.
+BANDS, BAND_ROWS, MISSED = 25, 5, 5e-7
+# Signatures have the minima of the first BANDS bands, however many bands there are.
 MINIMA = BANDS * BAND_ROWS
+LEAST_SIMILARITY = 80
 # Signatures keep 8 bits of each minimum. A pair at the threshold agrees in fewer of them than is asked for, so many
 # standard deviations below what is expected, with a probability of 1e-5; at 0.85 that is 88 of 125.
 AGREEING_DEVIATIONS = 4.6
 # Buckets of more nodes than this give no candidate pairs, but links; so many nodes of one are compared in one go.
 SMALL, BLOCK = 32, 2048
 
+
+def bands_for(similarity: int) -> int:
+    """How many bands pairs of ``similarity`` per cent call for."""
+    apart = 1 - (similarity / 100) ** BAND_ROWS
+    return max(BANDS, math.ceil(math.log(MISSED) / math.log(apart))) if apart else BANDS
+
+
 _rng = np.random.default_rng(11)
 _FACTOR = _rng.integers(1, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSET = _rng.integers(0, 2**32, MINIMA, dtype=np.uint64).astype(np.uint32)
+_more = bands_for(LEAST_SIMILARITY) * BAND_ROWS - MINIMA
+_FACTOR = np.append(_FACTOR, _rng.integers(1, 2**31, _more, dtype=np.uint32) * np.uint32(2) + np.uint32(1))
+_OFFSET = np.append(_OFFSET, _rng.integers(0, 2**32, _more, dtype=np.uint64).astype(np.uint32))
 
 
 def shingle_sets(texts: pa.Array, size: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -71,40 +85,41 @@ def node_ids(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, ids, np.uint64(0)).view(np.int64)
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The minima of ``MINIMA`` universal hash functions over each non-empty set; one row per set."""
+def signatures(values: np.ndarray, offsets: np.ndarray, minima: int = MINIMA) -> np.ndarray:
+    """The minima of ``minima`` universal hash functions over each non-empty set; one row per set."""
     full = np.flatnonzero(np.diff(offsets) > 0)
-    out = np.zeros((len(offsets) - 1, MINIMA), np.uint32)
+    out = np.zeros((len(offsets) - 1, minima), np.uint32)
     if len(full):
         x = (values >> np.uint64(32)).astype(np.uint32)
-        for j in range(MINIMA):
+        for j in range(minima):
             out[full, j] = np.minimum.reduceat(x * _FACTOR[j] + _OFFSET[j], offsets[full])
     return out
 
 
 def _band_keys(sig: np.ndarray) -> np.ndarray:
-    keys = np.zeros((len(sig), BANDS), np.uint64)
-    parts = sig.astype(np.uint64).reshape(len(sig), BANDS, BAND_ROWS)
+    bands = sig.shape[1] // BAND_ROWS
+    keys = np.zeros((len(sig), bands), np.uint64)
+    parts = sig.astype(np.uint64).reshape(len(sig), bands, BAND_ROWS)
     for j in range(BAND_ROWS):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j] + np.uint64(1))
-    return mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    return mix(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
-def _features(documents: DataFrame, size: int, id_type: str) -> DataFrame:
+def _features(documents: DataFrame, size: int, n_bands: int, id_type: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 values, offsets = shingle_sets(piece["text"], size)
                 counts = np.diff(offsets)
-                sig = signatures(values, offsets)
-                bands = np.where(counts > 0, BANDS, 0)
+                sig = signatures(values, offsets, n_bands * BAND_ROWS)
+                bands = np.where(counts > 0, n_bands, 0)
                 ends = np.concatenate(([0], np.cumsum(bands))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece["doc_id"],
                         pa.array(node_ids(values, offsets)),
                         pa.array(counts),
-                        pa.array([row.tobytes() for row in sig.astype(np.uint8)], pa.binary()),
+                        pa.array([row.tobytes() for row in sig[:, :MINIMA].astype(np.uint8)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(_band_keys(sig)[counts > 0].ravel())),
                     ],
                     ["doc_id", "node", "n_shingles", "signature", "bands"],
@@ -171,12 +186,12 @@ def _links_apart(similarity: int):
     A pair is looked at in the first bucket that it shares, the likeliest of a node's pairs first, and once two
     components are linked, no more pairs of theirs are looked at.
     """
-    least = least_agreeing(similarity)
+    least, n_bands = least_agreeing(similarity), bands_for(similarity)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_runs(batches, ["bucket", "i", "j"]):
             sig = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
-            bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, n_bands)
             lists = group["shingles"].combine_chunks()
             values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
             node, comp, block, n = (group[c].to_numpy() for c in ("node", "component", "block", "n_shingles"))
@@ -220,10 +235,10 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     the same sequence of words. Rows with one ``doc_id`` and different texts are judged apart; repeated rows
     each give a row. Other columns are not read.
     """
-    if similarity < 80:
+    if similarity < LEAST_SIMILARITY:
         raise ValueError("the bands are laid out for a similarity of 80 or more")
     documents = documents.select("doc_id", "text")
-    features = write_scratch(_features(documents, size, dict(documents.dtypes)["doc_id"]), "minhash-features")
+    features = write_scratch(_features(documents, size, bands_for(similarity), dict(documents.dtypes)["doc_id"]), "minhash-features")
     full = features.where("n_shingles > 0")
     nodes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     one = full.select("node", "doc_id", "n_shingles", "signature", "bands")

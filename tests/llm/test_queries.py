@@ -158,3 +158,26 @@ def test_pipeline_on_odd_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(3, 1, 0), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+
+
+def _odd_table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_near_duplicates_stage_links_from_four_fifths(spark):
+    """Pairs from 0.80 to below 0.85 among them, one at 0.80 exactly."""
+    rows = []
+    for k in range(40):
+        text = [f"p{k}x{i}" for i in range(94)]
+        # 90 shingles each; so many words changed at the end that 84 to 72 of them are shared.
+        rows.append((2 * k, " ".join(text)))
+        changed = 6 + k % 8
+        rows.append((2 * k + 1, " ".join([*text[:-changed], *[f"q{k}x{i}" for i in range(changed)]])))
+    rows += [(100, " ".join(f"z{i}" for i in range(94))), (101, " ".join([f"z{i}" for i in range(84)] + [f"y{i}" for i in range(10)]))]
+    sets = {i: shingle_set(t, 5) for i, t in rows}
+    assert 100 * len(sets[100] & sets[101]) == 80 * len(sets[100] | sets[101])
+    want = groups(sets, 80)
+    assert want != groups(sets, 85)
+    docs = _odd_table(spark, [(i, t, "en", "src0", len(t)) for i, t in rows])
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, c in want.items() if i == c)

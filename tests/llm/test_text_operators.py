@@ -227,3 +227,9 @@ def test_a_lower_similarity_finds_more(spark):
         got = minhash_dedup.near_duplicates(table, similarity=per_cent).collect()
         assert {r.doc_id: r.component_id for r in got} == want
     assert groups({i: shingle_set(t, 5) for i, t in rows}, 80) != groups({i: shingle_set(t, 5) for i, t in rows}, 85)
+
+
+def test_bands_miss_as_few_pairs_at_a_lower_similarity():
+    assert (minhash_dedup.bands_for(85), minhash_dedup.bands_for(80), minhash_dedup.bands_for(100)) == (25, 37, 25)
+    for similarity in range(80, 101):
+        assert (1 - (similarity / 100) ** minhash_dedup.BAND_ROWS) ** minhash_dedup.bands_for(similarity) <= minhash_dedup.MISSED
