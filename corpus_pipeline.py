@@ -17,6 +17,8 @@ from keytables.sources.scratch import scratch_path, write_scratch
 
 # The shares of characters that the sources are mixed to.
 SOURCE_WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
+# How often documents of any other source, of none, or of a source without a size are repeated on average.
+OTHER_RATE = 1.0
 
 # Per cent; the query op3 alone asks for 85.
 NEAR_DUPLICATES = 80
@@ -73,7 +75,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rates = mixing.repetition_rates(docs, "source", SOURCE_WEIGHTS, size=F.col("n_chars"))
-    return mixing.mix_sources(docs, "source", rates).select(*docs.columns)
+    return mixing.mix_sources(docs, "source", rates, default_rate=OTHER_RATE).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,10 +243,10 @@ def op6_substring_dedup(spark, folder):
 
 @_query(corpus_pipeline.MIX_SQL)
 def op8_mixing(spark, folder):
-    """All documents, repeated so that the sources' shares of characters are as the weights."""
+    """All documents, repeated so that the sources' shares of characters are as the weights; other sources as they are."""
     documents = _table(spark, folder, "documents")
     rates = repetition_rates(documents, "source", corpus_pipeline.SOURCE_WEIGHTS, size=F.col("n_chars"))
-    return mix_sources(documents, "source", rates)
+    return mix_sources(documents, "source", rates, default_rate=corpus_pipeline.OTHER_RATE)
 
 
 @_query()

@@ -181,3 +181,19 @@ def test_near_duplicates_stage_links_from_four_fifths(spark):
     docs = _odd_table(spark, [(i, t, "en", "src0", len(t)) for i, t in rows])
     got = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
     assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, c in want.items() if i == c)
+
+
+@pytest.mark.parametrize("through", ["query", "stage"])
+def test_mixing_keeps_null_unlisted_and_unsized_sources(spark, tmp_path, through):
+    sources = [None, "a hot source", "src0", "src1", "src2"]
+    sizes = {"src0": 10, "src1": 0, "src2": None}
+    rows = [(i, f"t{i}", "en", s, sizes.get(s, 10)) for i, s in ((i, sources[i % 5]) for i in range(3000))]
+    docs = _odd_table(spark, rows)
+    if through == "query":
+        docs.write.parquet(str(tmp_path / "documents.parquet"))
+        mixed = QUERIES["op8_mixing"](spark, str(tmp_path))
+    else:
+        mixed = corpus_pipeline.mix(spark, docs, FOLDER)
+    got = Counter(r.source for r in mixed.collect())
+    # 600 documents each, all at a mean of 1.
+    assert set(got) == set(sources) and all(abs(n - 600) < 5 * 600**0.5 for n in got.values())
