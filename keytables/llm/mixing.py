@@ -7,12 +7,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A hash is 48 bits of an MD5, which every engine gives alike.
 HASH_BITS = 48
+# Poisson terms of less than this part of the largest are left out.
+_NOTHING = 1e-30
 
 
 def uniform(seed: str, key: Column) -> Column:
@@ -23,13 +26,37 @@ def uniform(seed: str, key: Column) -> Column:
 
 def poisson_steps(rate: float) -> list[float]:
     """P(X <= k) for k = 0, 1, ... up to the last value below 1 that a 48-bit number can exceed."""
-    steps: list[float] = []
-    term = total = math.exp(-rate)
-    while total < 1 - 2.0**-HASH_BITS and len(steps) < 64 + 20 * rate:
-        steps.append(total)
-        term *= rate / len(steps)
-        total += term
-    return steps
+    first, steps = _steps(rate)
+    return [0.0] * first + steps
+
+
+def _steps(rate: float) -> tuple[int, list[float]]:
+    """P(X <= k) for k = first, first + 1, ...; those before are less than a 48-bit number tells from 0.
+
+    Terms are taken relative to that of the mode, from there outwards, so none under- or overflows; they are summed
+    from either end, so that both tails keep their digits.
+    """
+    mode = math.floor(rate)
+    below, above = [], [1.0]
+    term = 1.0
+    for k in range(mode, 0, -1):
+        term *= k / rate
+        if term < _NOTHING:
+            break
+        below.append(term)
+    term = 1.0
+    while term >= _NOTHING:
+        term *= rate / (mode + len(above))
+        above.append(term)
+    first = mode - len(below)
+    terms = below[::-1] + above
+    total = math.fsum(terms)
+    up = list(accumulate(terms))
+    # What is left above k.
+    down = [0.0, *accumulate(reversed(terms))][-2::-1]
+    steps = [u / total if 2 * u < total else 1 - d / total for u, d in zip(up, down)]
+    skipped = sum(s < 2.0 ** -(HASH_BITS + 1) for s in steps)
+    return first + skipped, [s for s in steps[skipped:] if s <= 1 - 2.0**-HASH_BITS]
 
 
 def repetition_rates(
@@ -85,5 +112,7 @@ def mix_sources(
 
 def _count(u: Column, rate: float) -> Column:
     """How many steps of the distribution lie at or below ``u``."""
-    steps = F.array(*[F.lit(s) for s in poisson_steps(rate)]) if rate > 0 else F.array().cast("array<double>")
-    return F.size(F.filter(steps, lambda s: s <= u))
+    if rate <= 0:
+        return F.lit(0)
+    first, steps = _steps(rate)
+    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u)) + first

@@ -2,6 +2,8 @@
 
 import math
 import random
+from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -176,3 +178,36 @@ def test_steps_are_those_of_the_distribution():
     steps = mixing.poisson_steps(1.5)
     want = [sum(math.exp(-1.5) * 1.5**j / math.factorial(j) for j in range(k + 1)) for k in range(len(steps))]
     assert np.allclose(steps, want, rtol=1e-13) and 1 - steps[-1] < 1e-12
+
+
+@pytest.mark.parametrize("rate", [0.01, 1, 50, 720, 1000, 20_000.5])
+def test_steps_of_large_rates(rate):
+    steps = mixing.poisson_steps(rate)
+    terms = [math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1)) for k in range(len(steps) + 1)]
+    assert np.allclose(steps, np.cumsum(terms)[:-1], rtol=0, atol=1e-9)
+    assert steps == sorted(steps) and steps[-1] <= 1 - 2.0**-48 < steps[-1] + 2 * terms[-1] + 2.0**-48
+    # The mean is the sum of P(X > k).
+    assert math.isclose(math.fsum(1 - s for s in steps), rate, rel_tol=1e-9)
+
+
+def test_steps_are_exact_to_the_last_digits():
+    r = Fraction(50)
+    terms = [Fraction(1)]
+    for k in range(1, 400):
+        terms.append(terms[-1] * r / k)
+    total = sum(terms)
+    at, want = Fraction(0), []
+    for t in terms:
+        at += t
+        want.append(float(at / total))
+    steps = mixing.poisson_steps(50.0)
+    assert np.allclose(steps, want[: len(steps)], rtol=0, atol=2.0**-49 + 2e-16)
+
+
+@pytest.mark.parametrize("rate", [50.0, 720.0, 1000.0])
+def test_copies_at_large_rates(spark, rate):
+    table = spark.range(300).selectExpr("id AS doc_id", "'a' AS source")
+    counts = Counter(r.doc_id for r in mixing.mix_sources(table, "source", {"a": rate}).select("doc_id").collect())
+    n = np.array([counts[i] for i in range(300)])
+    assert abs(n.mean() - rate) < 5 * math.sqrt(rate / 300)
+    assert 0.6 * rate < n.var() < 1.6 * rate
