@@ -197,3 +197,18 @@ def test_mixing_keeps_null_unlisted_and_unsized_sources(spark, tmp_path, through
     got = Counter(r.source for r in mixed.collect())
     # 600 documents each, all at a mean of 1.
     assert set(got) == set(sources) and all(abs(n - 600) < 5 * 600**0.5 for n in got.values())
+
+
+def test_sizes_after_the_substring_stage(spark):
+    """A source of which most is one repeated passage still gets its share of the characters that are left."""
+    passage = " ".join(f"again{i}" for i in range(200))
+    rows = [(i, f"{passage} own{i} text{i}", "en", "src0", None) for i in range(2000)]
+    rows += [(i, " ".join(f"w{i}x{k}" for k in range(20)), "en", "src1", None) for i in range(2000, 3000)]
+    docs = _odd_table(spark, [(i, t, la, s, len(t)) for i, t, la, s, _ in rows])
+    left = corpus_pipeline.drop_repeats(spark, docs, FOLDER).cache()
+    assert all(r.n_chars == len(r.text) for r in left.collect())
+    assert left.where("n_chars < 30").count() == 1999
+    mixed = corpus_pipeline.mix(spark, left, FOLDER).toPandas()
+    sizes = mixed.assign(size=mixed.text.str.len()).groupby("source")["size"].sum()
+    weights = [corpus_pipeline.SOURCE_WEIGHTS[s] for s in ("src0", "src1")]
+    assert abs(sizes["src0"] / sizes.sum() - weights[0] / sum(weights)) < 0.03
