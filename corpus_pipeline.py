@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keytables.llm import minhash_dedup, mixing, ordinal_quality, piece_encoding, substring_dedup
-from keytables.sources.scratch import scratch_path, write_scratch
+from keytables.sources.scratch import scratch_path
 
 # The shares of characters that the sources are mixed to.
 SOURCE_WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
@@ -59,14 +59,7 @@ def choose(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = minhash_dedup.near_duplicates(docs, similarity=NEAR_DUPLICATES).where("kept").groupBy("doc_id").count()
-    kept = write_scratch(kept, "kept-documents")
-    left = docs.join(kept.where("count = 1"), on="doc_id", how="left_semi")
-    repeated = kept.where("count > 1")
-    if repeated.isEmpty():
-        return left
-    # Rows that share an id and are of one group; the id alone does not choose between them.
-    return left.unionByName(docs.join(repeated, on="doc_id", how="left_semi").dropDuplicates(["doc_id"]))
+    return minhash_dedup.one_of_each_group(docs, similarity=NEAR_DUPLICATES)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keytables.llm.components import connected_components
@@ -117,16 +117,17 @@ def _features(documents: DataFrame, size: int, n_bands: int, id_type: str) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece["doc_id"],
+                        piece["row"],
                         pa.array(node_ids(values, offsets)),
                         pa.array(counts),
                         pa.array([row.tobytes() for row in sig[:, :MINIMA].astype(np.uint8)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(_band_keys(sig)[counts > 0].ravel())),
                     ],
-                    ["doc_id", "node", "n_shingles", "signature", "bands"],
+                    ["doc_id", "row", "node", "n_shingles", "signature", "bands"],
                 )
 
-    schema = f"doc_id {id_type}, node long, n_shingles long, signature binary, bands array<long>"
-    return documents.select("doc_id", "text").mapInArrow(tidy(run), schema)
+    schema = f"doc_id {id_type}, row long, node long, n_shingles long, signature binary, bands array<long>"
+    return documents.select("doc_id", "row", "text").mapInArrow(tidy(run), schema)
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
@@ -137,7 +138,7 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
             for piece in pieces(batch, "text"):
                 values, offsets = shingle_sets(piece["text"], size)
                 node = node_ids(values, offsets)
-                # A doc_id may repeat with another text, which is another node.
+                # Should two rows have one hash, their texts are still different nodes.
                 same = pa.array(node == piece["node"].to_numpy(zero_copy_only=False))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(node), lists], ["node", "shingles"]).filter(same)
@@ -233,17 +234,58 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     ``component_id`` is the smallest ``doc_id`` that links lead to; ``kept`` says whether that is the row's
     own. Null, empty and blank texts have no shingle and link with nothing; a text shorter than a shingle equals only
     the same sequence of words. Rows with one ``doc_id`` and different texts are judged apart; repeated rows
-    each give a row. Other columns are not read.
+    each give a row. A row with a null ``doc_id`` links like any other, but gives way to rows with one; in a group of
+    such rows alone ``component_id`` is null and all are ``kept``. Other columns are not read.
     """
+    features, _, named = _groups(documents, size, similarity)
+    result = features.select("doc_id", "n_shingles", "node").join(named.select("node", "component_id"), on="node", how="left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return result.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+
+
+def one_of_each_group(documents: DataFrame, size: int = 5, similarity: int = 85) -> DataFrame:
+    """The rows of ``documents`` without near duplicates: exactly one of each group of linked texts.
+
+    That is the one with the smallest ``doc_id``, null coming last. Of rows of a group that share it, the
+    one with the least hash of id and text stays; of those with equal id and text, the one whose columns come first
+    in order, so these must have one. What has no word links with nothing, so all such rows stay.
+    """
+    columns = documents.columns
+    _, nodes, named = _groups(documents, size, similarity)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "times").alias("first")
+    chosen = nodes.select("node", first).join(named, on="node").groupBy("component").agg(F.min("first").alias("first"))
+    chosen = write_scratch(chosen.select(F.col("first.row").alias("__row"), F.col("first.times").alias("__times")), "minhash-chosen")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = documents.where(worded).withColumn("__row", _row())
+    once, repeated = (chosen.where(c).select("__row") for c in ("__times = 1", "__times > 1"))
+    left = keyed.join(once, on="__row", how="left_semi").select(*columns).unionByName(documents.where(~worded))
+    if repeated.isEmpty():
+        return left
+    rest = keyed.join(repeated, on="__row", how="left_semi").groupBy("__row").agg(F.min(F.struct(*columns)).alias("r"))
+    return left.unionByName(rest.select("r.*"))
+
+
+def _row() -> Column:
+    """What tells rows apart where ids are null or repeat."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _groups(documents: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The features of each row; ``node, doc_id, row, times`` and more of each set of shingles: its smallest id, the row
+    with it and how often that is there; and ``node, component, component_id``."""
     if similarity < LEAST_SIMILARITY:
         raise ValueError("the bands are laid out for a similarity of 80 or more")
-    documents = documents.select("doc_id", "text")
+    documents = documents.select("doc_id", _row().alias("row"), "text")
     features = write_scratch(_features(documents, size, bands_for(similarity), dict(documents.dtypes)["doc_id"]), "minhash-features")
     full = features.where("n_shingles > 0")
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    one = full.select("node", "doc_id", "n_shingles", "signature", "bands")
-    facts = [F.first(c).alias(c) for c in ("doc_id", "copies", "n_shingles", "signature", "bands")]
-    nodes = one.join(nodes, on=["node", "doc_id"]).groupBy("node").agg(*facts, F.count(F.lit(1)).alias("times"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    nodes = full.groupBy("node").agg(first, F.count(F.lit(1)).alias("copies"))
+    nodes = nodes.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), "copies")
+    one = full.select("node", "row", "n_shingles", "signature", "bands")
+    facts = [F.first(c).alias(c) for c in ("doc_id", "row", "copies", "n_shingles", "signature", "bands")]
+    nodes = one.join(nodes, on=["node", "row"]).groupBy("node").agg(*facts, F.count(F.lit(1)).alias("times"))
     nodes = write_scratch(nodes, "minhash-nodes")
     rows = nodes.select("node", "copies", F.explode("bands").alias("bucket"))
     pivot = F.max_by("node", F.struct("copies", "node"))
@@ -252,10 +294,10 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     members = write_scratch(rows.drop("copies").join(buckets, on="bucket"), "minhash-members")
     facts = nodes.select("node", "n_shingles", "signature")
     # The sets of all nodes that share a bucket with another: what any verification may need.
-    wanted = write_scratch(nodes.select("node", "doc_id").join(members.select("node").distinct(), on="node"), "minhash-wanted")
+    wanted = write_scratch(nodes.select("node", "row").join(members.select("node").distinct(), on="node"), "minhash-wanted")
     # Here and below the side with texts, sets or signatures is large at any scale worth planning for; Spark would
     # broadcast the other one as long as the input is small.
-    sets = _sets(documents.join(wanted.hint("merge"), on="doc_id"), size)
+    sets = _sets(documents.join(wanted.hint("merge"), on="row"), size)
     if not nodes.where("times > 1").isEmpty():  # the very same row is there several times
         sets = sets.dropDuplicates(["node"])
     sets = write_scratch(sets, "minhash-sets")
@@ -298,12 +340,8 @@ def near_duplicates(documents: DataFrame, size: int = 5, similarity: int = 85) -
     first = nodes.select("node", "doc_id").join(groups, on="node", how="left")
     first = first.select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = write_scratch(first.groupBy("component").agg(F.min("doc_id").alias("component_id")), "minhash-least")
-    named = write_scratch(first.join(least, on="component").select("node", "component_id"), "minhash-named")
-    result = features.select("doc_id", "n_shingles", "node").join(named, on="node", how="left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    named = write_scratch(first.join(least, on="component").select("node", "component", "component_id"), "minhash-named")
+    return features, nodes, named
 
 
 def _agreeing_pairs(pairs: DataFrame, facts: DataFrame, similarity: int) -> DataFrame:

@@ -212,3 +212,59 @@ def test_sizes_after_the_substring_stage(spark):
     sizes = mixed.assign(size=mixed.text.str.len()).groupby("source")["size"].sum()
     weights = [corpus_pipeline.SOURCE_WEIGHTS[s] for s in ("src0", "src1")]
     assert abs(sizes["src0"] / sizes.sum() - weights[0] / sum(weights)) < 0.03
+
+
+def test_near_duplicates_stage_on_null_and_repeated_ids(spark):
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [
+        # Without an id: one of a kind, three copies among themselves, a near copy, one of a document with an id.
+        (None, text("alone"), "en", "src0", 1),
+        *[(None, text("twin"), "en", "src0", n) for n in (7, 5, 6)],
+        (None, text("twin") + " more", "en", "src0", 1),
+        (None, text("known"), "en", "src0", 1),
+        (9, text("known"), "en", "src0", 1),
+        # One id, unrelated texts.
+        (5, text("five"), "en", "src1", 1),
+        (5, text("cinq"), "fr", "src1", 1),
+        # One id: a copy of a smaller document, and a text of its own.
+        (6, text("five"), "en", "src2", 1),
+        (6, text("six"), "en", "src2", 1),
+        # One id, near copies; the same row twice, and with other columns.
+        (7, text("seven"), "en", "src3", 1),
+        (7, text("seven") + " end", "en", "src3", 1),
+        *[(8, text("eight"), "en", s, 1) for s in ("src5", "src4", "src4")],
+        # No words.
+        (1, None, "en", "src0", 0),
+        (1, " \t", "en", "src0", 0),
+        (None, "", None, None, None),
+        (None, "", None, None, None),
+    ]
+    for parts in (1, 4):
+        got = corpus_pipeline.drop_near_duplicates(spark, _odd_table(spark, rows).repartition(parts), FOLDER)
+        left = Counter(map(tuple, got.collect()))
+        want = [rows[i] for i in (0, 6, 7, 8, 10)] + [(8, text("eight"), "en", "src4", 1)] + rows[-4:]
+        for r in want:
+            left[r] -= 1
+        # Which of the near copies of one id stays is by hash.
+        rest = sorted(left.elements(), key=lambda r: r[1])
+        assert min(left.values()) == 0 and len(rest) == 2
+        assert rest[0] in rows[11:13] and rest[1] in (rows[2], rows[4])
+
+
+def test_stages_at_their_own_similarity(spark):
+    """test_pipeline_is_its_stages with the near-duplicate stage at 80."""
+    docs = _table(spark, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r[0]: r[1] for r in docs.select("doc_id", "text").collect()} if name in ("near duplicates", "substrings") else {}
+        docs = stage(spark, docs, FOLDER).cache()
+        if name == "near duplicates":
+            want = groups({i: shingle_set(t, 5) for i, t in before.items()}, 80)
+            assert sorted(r.doc_id for r in docs.collect()) == sorted(i for i, c in want.items() if i == c)
+        if name == "substrings":
+            want = {i: b" ".join(k).decode() if len(k) < len(w) else before[i] for i, w, k in without_repeats(list(before.items()), 13)}
+            assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {i: (t, len(t)) for i, t in want.items()}
+    got = QUERIES["pipeline"](spark, FOLDER)
+    same = docs.withColumn("ids", F.col("ids").cast("string"))
+    assert Counter(got.withColumn("ids", F.col("ids").cast("string")).select(*same.columns).collect()) == Counter(same.collect())
