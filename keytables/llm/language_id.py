@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 from keytables.llm.frames import extended, tidy
+from keytables.llm.sampling import drawn
 from keytables.llm.words import LOWER, SPACES, pieces, text_bytes
 
 BUCKETS, WIDTH = 1 << 15, 16
@@ -115,7 +116,7 @@ def train(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     total = rows.count()
     if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < (max_rows << 20) // total)
+        rows = rows.where(drawn(max_rows, total, "doc_id", F.lit("lang")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

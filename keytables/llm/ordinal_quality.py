@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
 from keytables.llm.frames import extended, tidy
+from keytables.llm.sampling import drawn
 from keytables.llm.words import LOWER, Words, mix, pieces, range_hashes, split_words
 
 BUCKETS = 1 << 18
@@ -171,7 +172,7 @@ def train(documents: DataFrame, ratings: DataFrame, max_rows: int = MAX_ROWS) ->
     ratings = ratings.where(F.col("rating").isNotNull()).select("doc_id", F.col("rating").cast("double").alias("rating"))
     total = ratings.count()
     if total > max_rows:
-        ratings = ratings.where(F.pmod(F.xxhash64("doc_id", F.lit("rated")), F.lit(1 << 20)) < (max_rows << 20) // total)
+        ratings = ratings.where(drawn(max_rows, total, "doc_id", F.lit("rated")))
     ratings = ratings.limit(2 * max_rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keytables.llm.sampling import drawn
+
 
 def usable(vector: Column) -> Column:
     """Not null, not all zero, and without null or non-finite components."""
@@ -32,7 +34,7 @@ def sample_matrix(vectors: DataFrame, rows: int, key: str, column: str = "embedd
     total = vectors.count()
     chosen = vectors
     if total > rows:
-        chosen = vectors.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 20)) < (rows * (1 << 20)) // total)
+        chosen = vectors.where(drawn(rows, total, F.col(key), F.lit("sample")))
     found = chosen.select(key, F.col(column).cast("array<double>").alias(column)).orderBy(key).limit(2 * rows).toArrow()
     return matrix(found[column].combine_chunks()) if found.num_rows else np.empty((0, 0))
 

@@ -12,6 +12,7 @@ from helpers import ODD_TEXTS
 from pyspark.sql import functions as F
 
 from keytables.llm import language_id, mixing, ordinal_quality, url_filters
+from keytables.llm.sampling import drawn
 
 GOOD = "the river runs slowly past green hills and quiet farms where people work".split()
 BAD = "buy now cheap pills click here winner free offer".split()
@@ -211,3 +212,14 @@ def test_copies_at_large_rates(spark, rate):
     n = np.array([counts[i] for i in range(300)])
     assert abs(n.mean() - rate) < 5 * math.sqrt(rate / 300)
     assert 0.6 * rate < n.var() < 1.6 * rate
+
+
+def test_samples_of_very_large_tables_are_not_empty(spark):
+    """Part of a table said to have more than 2**20 times the rows wanted."""
+    total = 1000 * 2**22
+    assert (1000 << 20) // total == 0
+    found = spark.range(2**27).where(drawn(1000, total, "id", F.lit("x"))).count()
+    assert abs(found - 32) < 5 * 32**0.5
+    small = spark.range(20_000)
+    assert abs(small.where(drawn(1000, 20_000, "id")).count() - 1000) < 160
+    assert small.where(drawn(20_000, 20_000, "id")).count() == 20_000
