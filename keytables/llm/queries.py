@@ -17,6 +17,7 @@ from keytables.llm import (
     language_id,
     minhash_dedup,
     ordinal_quality,
+    periodic_runs,
     permutation_index,
     piece_encoding,
     substring_dedup,
@@ -267,6 +268,84 @@ def op10_language_id(spark, folder):
     return language_id.identify(texts, model).select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+# A number from 0 to 255, by rule: eight steps of the polynomial division.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
+
+
+@_query(
+    rf"""
+    WITH crc AS (
+        SELECT list_transform(range(256), lambda n: list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: {_CRC_STEP})) AS t
+    ),
+    hashed AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, xor(list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])
+        ), 4294967295::BIGINT) AS h FROM documents, crc
+    ),
+    planned AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS again, h // 10 AS g FROM hashed),
+    shaped AS (SELECT *, CASE WHEN again THEN g % n END AS a FROM planned),
+    split AS (
+        SELECT doc_id, n, CASE WHEN again THEN list_transform(range(n), lambda i:
+            w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE w END AS w FROM shaped
+    ),
+    words AS (SELECT doc_id, n, i, w[i + 1] AS word FROM split, LATERAL (SELECT unnest(range(n)) AS i)),
+    equal AS (
+        SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i
+            AND 4 * (y.i - x.i) <= x.n
+    ),
+    islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS r FROM equal),
+    periodic AS (
+        SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY doc_id, q, r HAVING count(*) + q >= greatest(6, 4 * q)
+    ),
+    runs AS (SELECT doc_id, s, l, min(q) AS q FROM periodic GROUP BY doc_id, s, l),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    listed AS (
+        SELECT doc_id, count(*) AS c, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id
+    ),
+    longest AS (
+        SELECT doc_id, s, l, q FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l DESC, s, q) = 1
+    )
+    SELECT doc_id, coalesce(c, 0) AS n_runs, s AS start, l AS length, q AS period, 1000 * l // q AS exponent_milli,
+        sha256(coalesce(t, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
+    FROM split LEFT JOIN longest USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """
+)
+def op12_periodic_runs(spark, folder):
+    """The runs of every document, a tenth of them made periodic by a rule, and what is left without repetitions."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    g, n, a = F.floor(F.col("h") / 10), F.col("n"), F.col("a")
+    place = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.when(i < a, i).otherwise(a + (i - a) % (1 + F.floor((n - a) / (3 + g % 8)))).cast("int"),
+    )
+    documents = (
+        _table(spark, folder, "documents")
+        .select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+        .withColumn("w", F.when(F.col("h") % 10 == 0, words))
+        .withColumn("n", F.size("w"))
+        .withColumn("a", F.when(n > 0, g % F.when(n > 0, n)))
+        .select(
+            "doc_id",
+            F.when(n > 0, F.array_join(F.transform(place, lambda i: F.get("w", i)), " ")).otherwise(F.col("text")).alias("text"),
+        )
+    )
+    found = periodic_runs.find_runs(documents).withColumn("longest", periodic_runs.longest_run())
+    line = F.transform("runs", lambda r: F.concat_ws(",", *(r[name].cast("string") for name in ("start", "length", "period"))))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("(1000 * longest.length) div longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     """The stages of corpus_pipeline, one after the other."""
