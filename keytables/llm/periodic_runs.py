@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from keytables.llm.frames import extended, tidy
-from keytables.llm.words import PIECE_BYTES, Words, join_kept, pieces, split_words
+from keytables.llm.words import PIECE_BYTES, Words, join_kept, pieces, spelled, split_words
 
 # Primes below 2**31 with a large power of two in p - 1, and a generator of each.
 PRIMES = ((2013265921, 31), (1811939329, 13), (469762049, 3))
@@ -134,15 +134,7 @@ class _Text(NamedTuple):
 
 
 def _numbered(words: Words) -> _Text:
-    letters = words.end - words.start
-    offsets = np.zeros(len(letters) + 1, np.int64)
-    np.cumsum(letters, out=offsets[1:])
-    inner = np.zeros(len(words.data) + 1, np.int8)
-    inner[words.start] += 1
-    inner[words.end] -= 1  # a word's end is never another's start
-    data = words.data[np.cumsum(inner[:-1], dtype=np.int8).astype(bool)]
-    spelled = pa.Array.from_buffers(pa.large_binary(), len(letters), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    code = spelled.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    code = spelled(words).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     of = np.repeat(np.arange(len(words.first) - 1), words.count)
     key = of * (int(code.max(initial=0)) + 1) + code
     order = np.argsort(key, kind="stable")

@@ -20,6 +20,7 @@ from keytables.llm import (
     periodic_runs,
     permutation_index,
     piece_encoding,
+    ranked_search,
     substring_dedup,
     token_files,
     url_filters,
@@ -346,6 +347,38 @@ def op12_periodic_runs(spark, folder):
     )
 
 
+@_query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+        ) AS t FROM documents
+    ),
+    totals AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM split WHERE len(t) > 0),
+    sizes AS (SELECT doc_id, 10 + (90 * len(t) * n) // l AS m FROM split, totals WHERE len(t) > 0),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+        )) AS term FROM benchmark
+    ),
+    terms AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM split) GROUP BY doc_id, term),
+    held AS (SELECT term, count(*) AS df FROM terms SEMI JOIN asked USING (term) GROUP BY term),
+    weights AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM held, totals),
+    scores AS (
+        SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM asked JOIN weights USING (term) JOIN terms USING (term) JOIN sizes USING (doc_id) GROUP BY item_id, doc_id
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10
+    """
+)
+def op13_ranked_search(spark, folder):
+    """The ten best documents for every benchmark item."""
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
+
+
 @_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     """The stages of corpus_pipeline, one after the other."""

@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_TERM = np.zeros(256, bool)
+_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -69,10 +71,19 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def split_words(texts: pa.Array, lower: bool = False) -> Words:
+    return _split(texts, ~SPACES, lower)
+
+
+def split_terms(texts: pa.Array) -> Words:
+    """Terms in place of words: maximal runs of digits, letters and bytes from 0x80 on, A-Z in lower case."""
+    return _split(texts, _TERM, lower=True)
+
+
+def _split(texts: pa.Array, inner: np.ndarray, lower: bool) -> Words:
     data, at = text_bytes(texts)
     if lower:
         data = LOWER[data]
-    word = ~SPACES[data]
+    word = inner[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     before = np.concatenate(([False], word[:-1])) & ~edge[:-1] if len(word) else word
@@ -82,6 +93,17 @@ def split_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, start, end, np.searchsorted(start, at))
 
 
+def spelled(words: Words) -> pa.Array:
+    """The words' bytes as an Arrow array."""
+    offsets = np.zeros(len(words.start) + 1, np.int64)
+    np.cumsum(words.end - words.start, out=offsets[1:])
+    edge = np.zeros(len(words.data) + 1, np.int8)
+    np.add.at(edge, words.start, 1)
+    np.add.at(edge, words.end, -1)  # where one text ends in a word the next may begin with one
+    data = words.data[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+    return pa.Array.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatter the bits of each 64-bit value; one to one."""
     x = x ^ (x >> np.uint64(30))

@@ -14,6 +14,8 @@ from keytables.llm.words import split_words
 
 def plain_runs(w):
     """(start, length, period) of all stretches of a smallest period q and at least 4 * q words."""
+    if len(w) > 10_000 and len(set(w)) == 1:
+        return [(0, len(w), 1)]
     least = {}
     for q in range(1, len(w) // 4 + 1):
         i = 0

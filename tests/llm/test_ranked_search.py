@@ -1,0 +1,109 @@
+"""Ranked search against a plain score of every document for every query."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers import ODD_TEXTS
+from pyspark.sql import functions as F
+
+from keytables.llm import ranked_search
+from keytables.llm.ranked_search import impacts, search, term_weight
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms_of(text):
+    return TERM.findall((text or "").translate(_LOWER))
+
+
+def plain_search(documents, queries, k):
+    """Sorted (query id, rank, document id, score)."""
+    split = [(i, Counter(terms_of(t))) for i, t in documents]
+    sizes = [sum(t.values()) for _, t in split if t]
+    n, length = len(sizes), sum(sizes)
+    df = Counter(term for _, t in split for term in t)
+    weight = {term: math.floor(1000 * math.log((2 * n + 2) / (2 * c + 1))) for term, c in df.items()}
+    out = []
+    for q, text in queries:
+        scored = []
+        for i, t in split:
+            m = 10 + 90 * sum(t.values()) * n // length
+            score = sum(weight[x] * (10**9 * t[x] // (1000 * t[x] + 8 * m)) for x in set(terms_of(text)) if x in t)
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+    out += [(q, rank + 1, x[3], -x[0]) for rank, x in enumerate(sorted(scored, key=lambda x: x[:3])[:k])]
+    return sorted(out, key=str)
+
+
+def found(documents, queries, k, **more):
+    return sorted(map(tuple, search(documents, queries, k, **more).collect()), key=str)
+
+
+@pytest.fixture
+def corpus():
+    rnd = random.Random(5)
+    word = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 4))) for _ in range(150)]
+    pick = lambda: word[min(int(rnd.expovariate(0.03)), 149)]
+    rows = [(i, " ".join(pick() for _ in range(rnd.choice([1, 5, 40, 200])))) for i in range(700)]
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(60)]  # copies: ties beyond k
+    asked = [(i, " ".join(pick() for _ in range(rnd.choice([1, 3, 12, 40])))) for i in range(25)]
+    return rows, asked
+
+
+@pytest.mark.parametrize("k, bucket", [(10, 2048), (3, 16), (50, 64)])
+def test_search_is_whole(spark, corpus, monkeypatch, k, bucket):
+    monkeypatch.setattr(ranked_search, "BUCKET_ROWS", bucket)
+    rows, asked = corpus
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    queries = spark.createDataFrame(asked, "item_id long, text string")
+    assert found(documents, queries, k) == plain_search(rows, asked, k)
+
+
+def test_queries_in_blocks(spark, corpus, monkeypatch):
+    rows, asked = corpus
+    monkeypatch.setattr(ranked_search, "BLOCK_QUERIES", 10)
+    documents = spark.createDataFrame(rows[:200], "doc_id long, text string")
+    queries = spark.createDataFrame(asked, "item_id long, text string")
+    assert found(documents, queries, 5) == plain_search(rows[:200], asked, 5)
+
+
+def test_odd_documents_and_queries(spark):
+    rows = [(i, t[:40] if t else t, 7, "x") for i, t in ODD_TEXTS] + [(30, "ONE Two-three", 7, "x"), (5, "another one", None, None)]
+    asked = [(1, "One, two! ñ"), (1, "three"), (2, None), (3, ""), (None, "text A"), (4, "nowhere"), (5, "--")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, score long, rank string")
+    queries = spark.createDataFrame(asked, "item_id long, text string")
+    got = found(documents, queries, 4)
+    assert got == plain_search([r[:2] for r in rows], asked, 4)
+    assert {g[0] for g in got} == {1, None} and any(g[2] is None for g in got)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    result = search(none, items)
+    assert result.columns == ["item_id", "rank", "doc_id", "score"] and result.count() == 0
+    documents = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    assert search(documents, items.where("false")).count() == 0
+    assert search(documents.where("doc_id = 3"), items).count() == 0
+
+
+def test_numbers_beyond_64_bits():
+    n = np.array([5, 10**9])
+    got = impacts(np.array([2, 3]), n, 10**10, 10**13)
+    want = [10**9 * t // (1000 * t + 8 * (10 + 90 * int(x) * 10**10 // 10**13)) for t, x in zip([2, 3], n)]
+    assert got.tolist() == want
+    assert term_weight(10, 10) == math.floor(1000 * math.log(22 / 21))
+
+
+def test_only_the_best_leave_a_task(spark, corpus):
+    rows, asked = corpus
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    queries = spark.createDataFrame(asked, "item_id long, text string")
+    result = search(documents, queries, 10)
+    assert result.groupBy("item_id").count().where(F.col("count") > 10).count() == 0
+    assert "Exchange" not in result._jdf.queryExecution().executedPlan().toString()  # a written table
