@@ -112,11 +112,13 @@ def _least(p: np.ndarray, y: np.ndarray, wanted: float = 0.99) -> float:
 
 
 def train(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Train on ``text`` and non-null ``lang`` of ``documents``, drawn by a hash of ``doc_id`` if there are more."""
-    rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    """Train on ``text`` and non-null ``lang`` of ``documents``, drawn by a hash of ``doc_id`` and ``text`` if there are more."""
+    rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "doc_id", "text", "lang", F.xxhash64("text").alias("content")
+    )
     total = rows.count()
     if total > max_rows:
-        rows = rows.where(drawn(max_rows, total, "doc_id", F.lit("lang")))
+        rows = rows.where(drawn(max_rows, total, "doc_id", "content", F.lit("lang")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,10 +127,12 @@ def train(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 keys, counts = np.unique(of * BUCKETS + buckets, return_counts=True)
                 ends = np.concatenate(([0], np.cumsum(np.bincount(keys // BUCKETS, minlength=piece.num_rows)))).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (keys % BUCKETS, counts)]
-                yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["lang"], *lists], ["doc_id", "lang", "buckets", "counts"])
+                columns = [piece["doc_id"], piece["content"], piece["lang"], *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "lang", "buckets", "counts"])
 
-    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, lang string, buckets array<int>, counts array<int>"
-    found = rows.mapInArrow(tidy(run), schema).limit(2 * max_rows).toArrow().sort_by("doc_id")
+    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, content long, lang string, buckets array<int>, counts array<int>"
+    found = rows.mapInArrow(tidy(run), schema).limit(2 * max_rows).toArrow()
+    found = found.sort_by([(c, "ascending") for c in ("doc_id", "content", "lang")])
     if not found.num_rows:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     bags = [(np.array(b), np.array(c)) for b, c in zip(found["buckets"].to_pylist(), found["counts"].to_pylist())]

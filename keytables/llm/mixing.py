@@ -5,6 +5,7 @@ Everything is DataFrame functions; no Python runs on the executors.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping
 from itertools import accumulate
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 # A hash is 48 bits of an MD5, which every engine gives alike.
 HASH_BITS = 48
+# So many repeated rows are broadcast by their digests, of 32 bytes; more are joined by a shuffle.
+BROADCAST_REPEATED = 100_000
 # Poisson terms of less than this part of the largest are left out.
 _NOTHING = 1e-30
 
@@ -85,34 +88,72 @@ def mix_sources(
     default_rate: float = 0.0,
     copy: str = "copy",
     position: str = "shuffle_key",
+    text: str = "text",
 ) -> DataFrame:
     """Each document as often as a Poisson number with its source's rate says, in a random global order.
 
-    A document's count is the inverse of the Poisson distribution at a hash of ``seed`` and its ``key``,
-    so it does not change with the partitioning or when a task runs again. Rows that share a key get
-    equal counts. A null source, or one not in ``rates``, has ``default_rate``. ``rates`` is a parameter of the
-    caller's, one number per source. Adds ``copy`` (from 0) and ``position``, a hash of seed, key and copy by
-    which the rows are sorted over all partitions; columns of these names are replaced. The rows of
-    a source, however many, are spread by that hash.
+    A document's count is the inverse of the Poisson distribution at a hash of ``seed``, its ``key`` and its
+    ``text`` (of the key alone, if there is no such column), so it does not change with the partitioning or when a
+    task runs again. Documents that share a key, or have none, are so drawn each by itself. Rows equal in both
+    are told apart by the place they are read from, which is the same when a task runs again, but not in another
+    partitioning. A null source, or one not in ``rates``, has ``default_rate``. ``rates`` is a parameter of the
+    caller's, one number per source; its steps are broadcast. Adds ``copy`` (from 0) and ``position``, a
+    hash of the same values and the copy by which the rows are sorted over all partitions; columns of these names
+    are replaced. The rows of a source, of a key or of a text, however many, are spread by that hash. Finding the rows
+    that are equal runs a job over keys and digests.
     """
     documents = documents.drop(copy, position)
-    u = F.col("__u")
+    names = documents.columns
+    rows = _numbered(documents, key, text if text in names else None)
+    rows = rows.withColumn("__mix_u", uniform(seed, F.col("__mix_id")))
+    u = F.col("__mix_u")
     times = _count(u, default_rate)
-    for source, rate in rates.items():
-        times = F.when(F.col(by) == source, _count(u, rate)).otherwise(times)
+    if rates:
+        rows = rows.join(F.broadcast(_step_table(documents, rates)), F.col(by).cast("string") == F.col("__mix_source"), "left")
+        listed = F.size(F.filter("__mix_steps", lambda s: s <= u)) + F.col("__mix_first")
+        times = F.when(F.col("__mix_source").isNotNull(), listed).otherwise(times)
     return (
-        documents.withColumn("__u", uniform(seed, F.col(key)))
-        .withColumn("__times", times)
-        .where(F.col("__times") > 0)
-        .select(*documents.columns, F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias(copy))
-        .withColumn(position, uniform(f"{seed}-order", F.concat_ws(":", F.col(key).cast("string"), F.col(copy))))
-        .orderBy(position, key, copy)
+        rows.withColumn("__mix_times", times)
+        .where(F.col("__mix_times") > 0)
+        .select(*names, "__mix_id", F.explode(F.sequence(F.lit(0), F.col("__mix_times").cast("int") - 1)).alias(copy))
+        .withColumn(position, uniform(f"{seed}-order", F.concat_ws(":", "__mix_id", F.col(copy))))
+        .orderBy(position, "__mix_id", copy)
+        .drop("__mix_id")
     )
 
 
+def _numbered(documents: DataFrame, key: str, text: str | None) -> DataFrame:
+    """``documents`` with ``__mix_id``: the key, a digest of the text, and a number that is 0 but for rows equal in both."""
+    parts = [F.coalesce(F.col(key).cast("string"), F.lit("null"))]
+    if text is not None:
+        parts.append(F.coalesce(F.md5(F.col(text).cast("string")), F.lit("null")))
+    own = F.concat_ws(":", *parts)
+    digests = documents.select(F.md5(own).alias("__mix_digest")).groupBy("__mix_digest").count()
+    repeated = digests.where(F.col("count") > 1).select("__mix_digest")
+    found = repeated.count()
+    if not found:
+        return documents.withColumn("__mix_id", F.concat_ws(":", own, F.lit("0")))
+    if found <= BROADCAST_REPEATED:
+        repeated = F.broadcast(repeated)
+    rows = documents.withColumn("__mix_row", F.monotonically_increasing_id()).withColumn("__mix_own", own)
+    joined = rows.join(repeated, F.md5("__mix_own") == F.col("__mix_digest"), "left")
+    number = F.when(F.col("__mix_digest").isNull(), F.lit(0)).otherwise(F.col("__mix_row"))
+    return joined.withColumn("__mix_id", F.concat_ws(":", "__mix_own", number.cast("string"))).drop("__mix_row", "__mix_own", "__mix_digest")
+
+
+def _step_table(like: DataFrame, rates: Mapping[str, float]) -> DataFrame:
+    """One row per source with a rate, made of a literal."""
+    rows = []
+    for source, rate in rates.items():
+        first, steps = _steps(rate) if rate > 0 else (0, [])
+        rows.append({"__mix_source": source, "__mix_first": first, "__mix_steps": steps})
+    schema = "array<struct<__mix_source string, __mix_first long, __mix_steps array<double>>>"
+    return like.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
+
+
 def _count(u: Column, rate: float) -> Column:
     """How many steps of the distribution lie at or below ``u``."""
     if rate <= 0:
-        return F.lit(0)
+        return F.lit(0).cast("long")
     first, steps = _steps(rate)
-    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u)) + first
+    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u)) + F.lit(first).cast("long")

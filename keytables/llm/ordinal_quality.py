@@ -163,11 +163,19 @@ def fit(buckets: np.ndarray, counts: np.ndarray, ratings: np.ndarray, rounds: in
     return Model(weights, cuts, grades.astype(float))
 
 
+def graded_labels(labels: DataFrame) -> DataFrame:
+    """Grades from 0 to 2: one for good quality, one for not being toxic; null where either is."""
+    grade = F.col("quality").cast("double") + F.when(F.col("toxic") == 0, 1.0).when(F.col("toxic").isNotNull(), 0.0)
+    return labels.select("doc_id", grade.alias("rating"))
+
+
 def train(documents: DataFrame, ratings: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Fit on the texts of ``documents`` whose ``doc_id`` is in ``ratings`` (``doc_id, rating``).
 
-    If more than ``max_rows`` are rated, they are drawn by a hash of the id. Null ratings are left out. A document
-    rated more than once counts each time. Without ratings the model has no grade.
+    If there are more than ``max_rows`` ratings, they are drawn by a hash of the id; so are, by id, text and rating, the
+    pairs of a document and a rating, of which there are more where ids repeat. At most twice ``max_rows`` pairs
+    are taken in any case. Null ratings are left out. A document rated more than once counts each time, and a
+    rating goes to every document of its id. Without ratings the model has no grade.
     """
     ratings = ratings.where(F.col("rating").isNotNull()).select("doc_id", F.col("rating").cast("double").alias("rating"))
     total = ratings.count()
@@ -181,12 +189,17 @@ def train(documents: DataFrame, ratings: DataFrame, max_rows: int = MAX_ROWS) ->
                 buckets, counts = features(piece["text"])
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(buckets.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["rating"], lists], ["doc_id", "rating", "buckets"])
+                columns = [piece["doc_id"], piece["content"], piece["rating"], lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "rating", "buckets"])
 
     # The drawn ratings are at most 2 * max_rows, so they can go to every task.
-    rated = documents.select("doc_id", "text").join(F.broadcast(ratings), on="doc_id")
-    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, rating double, buckets array<int>"
-    found = rated.mapInArrow(tidy(run), schema).toArrow().sort_by("doc_id")
+    ratings = F.broadcast(ratings)
+    pairs = documents.select("doc_id").join(ratings, on="doc_id").count()
+    rated = documents.select("doc_id", "text", F.xxhash64("text").alias("content")).join(ratings, on="doc_id")
+    if pairs > max_rows:
+        rated = rated.where(drawn(max_rows, pairs, "doc_id", "content", "rating", F.lit("pair"))).limit(2 * max_rows)
+    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, content long, rating double, buckets array<int>"
+    found = rated.mapInArrow(tidy(run), schema).toArrow().sort_by([(c, "ascending") for c in ("doc_id", "content", "rating")])
     if not found.num_rows:
         return Model(np.zeros(BUCKETS), np.empty(0), np.empty(0))
     lists = found["buckets"].combine_chunks()

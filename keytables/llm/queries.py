@@ -11,7 +11,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from keytables.llm import (
     grid_join,
     language_id,
@@ -121,7 +120,7 @@ def op3_minhash_dedup(spark, folder):
 def op4_ordinal_quality(spark, folder):
     """Every document's expected grade and whether it is good enough to keep; grades are learnt from the labels."""
     documents = _table(spark, folder, "documents")
-    model = ordinal_quality.train(documents, corpus_pipeline.ratings(_table(spark, folder, "labels")))
+    model = ordinal_quality.train(documents, ordinal_quality.graded_labels(_table(spark, folder, "labels")))
     graded = ordinal_quality.grade(documents, model)
     return graded.select("doc_id", "expected_grade", "tail_probability", F.col("selected").alias("kept"))
 
@@ -243,12 +242,41 @@ def op6_substring_dedup(spark, folder):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-@_query(corpus_pipeline.MIX_SQL)
+# The shares of characters that the sources are mixed to.
+SOURCE_WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
+# How often documents of any other source, of none, or of a source without a size are repeated on average.
+OTHER_RATE = 1.0
+
+MIX_SQL = f"""
+    WITH weights AS (SELECT 'src' || i AS source, 1.0::DOUBLE + i % 4 AS w FROM range(20) t(i)),
+    sizes AS (
+        SELECT source, w, sum(coalesce(n_chars, 0))::DOUBLE AS size FROM documents JOIN weights USING (source) GROUP BY source, w
+    ), rates AS (
+        SELECT source, (SELECT sum(size) FROM sizes WHERE size > 0) * w / (SELECT sum(w) FROM sizes WHERE size > 0) / size AS r
+        FROM sizes WHERE size > 0
+    ), steps AS (
+        SELECT r, k, sum(exp(k * ln(r) - r - lgamma(k + 1.0))) OVER (PARTITION BY r ORDER BY k) AS p
+        FROM (SELECT DISTINCT r FROM rates UNION SELECT {OTHER_RATE}::DOUBLE), LATERAL (SELECT unnest(range(ceil(r + 12 * sqrt(r) + 30)::BIGINT)) AS k)
+    ), listed AS (SELECT r, list(p ORDER BY k) AS p FROM steps GROUP BY r),
+    named AS (
+        SELECT d.*, concat_ws(':', coalesce(doc_id::VARCHAR, 'null'), coalesce(md5(text), 'null'),
+            row_number() OVER (PARTITION BY doc_id, text ORDER BY source) - 1) AS id FROM documents d
+    ), drawn AS (
+        SELECT named.*, ('0x' || substr(md5('mix:' || id), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u, coalesce(r, {OTHER_RATE}) AS r
+        FROM named LEFT JOIN rates USING (source)
+    ), counted AS (SELECT drawn.*, len(list_filter(p, lambda x: x <= u)) AS n FROM drawn JOIN listed USING (r))
+    SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy,
+        ('0x' || substr(md5('mix-order:' || id || ':' || copy), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS shuffle_key
+    FROM counted, LATERAL (SELECT unnest(range(n)) AS copy) c
+"""
+
+
+@_query(MIX_SQL)
 def op8_mixing(spark, folder):
     """All documents, repeated so that the sources' shares of characters are as the weights; other sources as they are."""
     documents = _table(spark, folder, "documents")
-    rates = repetition_rates(documents, "source", corpus_pipeline.SOURCE_WEIGHTS, size=F.col("n_chars"))
-    return mix_sources(documents, "source", rates, default_rate=corpus_pipeline.OTHER_RATE)
+    rates = repetition_rates(documents, "source", SOURCE_WEIGHTS, size=F.col("n_chars"))
+    return mix_sources(documents, "source", rates, default_rate=OTHER_RATE)
 
 
 @_query()
@@ -261,10 +289,10 @@ def op9_permutation_index(spark, folder):
 @_query()
 def op10_language_id(spark, folder):
     """The language of every document, learnt from four fifths of them."""
-    documents = _table(spark, folder, "documents").withColumn(
-        "held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    )
-    model = language_id.train(documents.where(~F.col("held_out")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    documents = _table(spark, folder, "documents").withColumn("held_out", held_out)
+    # Rows without an id are in no fold: not held out, nor learnt from.
+    model = language_id.train(documents.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
     texts = documents.select("doc_id", "held_out", "text")
     return language_id.identify(texts, model).select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
@@ -377,9 +405,3 @@ def op12_periodic_runs(spark, folder):
 def op13_ranked_search(spark, folder):
     """The ten best documents for every benchmark item."""
     return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
-
-
-@_query(corpus_pipeline.ORACLE_SQL)
-def pipeline(spark, folder):
-    """The stages of corpus_pipeline, one after the other."""
-    return corpus_pipeline.run(spark, folder)

@@ -48,6 +48,64 @@ def test_same_model_whatever_the_partitions(rated):
     assert np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)
 
 
+def _loss(buckets, counts, y, weights, cuts):
+    """The mean negative log-likelihood, document by document."""
+    at, total = 0, 0.0
+    for n, grade in zip(counts, y):
+        score = sum(weights[b] for b in buckets[at : at + n])
+        at += n
+        above = [1.0, *(1 / (1 + math.exp(c - score)) for c in cuts), 0.0]
+        total -= math.log(above[grade] - above[grade + 1])
+    return total / len(y)
+
+
+def test_fit_is_at_the_least_of_the_plain_loss():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(3, 9, 80)
+    buckets = rng.integers(0, 12, counts.sum()) * 1000
+    score = np.array([np.sum(x // 1000 % 3 - 1) for x in np.split(buckets, np.cumsum(counts)[:-1])]) + rng.normal(0, 2, 80)
+    y = np.digitize(score, [-1, 1.5])
+    decay = 0.05
+    model = ordinal_quality.fit(buckets, counts, y.astype(float), rounds=2000, decay=decay)
+    full = lambda w, c: _loss(buckets, counts, y, w, c) + decay / 2 * (w**2).sum()
+    here = full(model.weights, model.thresholds)
+    step = 1e-4
+    for b in np.flatnonzero(model.weights)[:12]:
+        ends = []
+        for sign in (1, -1):
+            moved = model.weights.copy()
+            moved[b] += sign * step
+            ends.append(full(moved, model.thresholds))
+        assert abs(ends[0] - ends[1]) / (2 * step) < 2e-3 and min(ends) > here - 1e-6
+    for k in range(2):
+        ends = [full(model.weights, model.thresholds + s * step * (np.arange(2) == k)) for s in (1, -1)]
+        assert abs(ends[0] - ends[1]) / (2 * step) < 2e-3
+
+
+def test_grades_by_the_formula(rated):
+    model = ordinal_quality.train(rated, rated.where("doc_id < 300"))
+    for r in ordinal_quality.grade(rated.where("doc_id >= 870"), model).collect():
+        buckets, _ = ordinal_quality.features(pa.array([r.text]))
+        score = sum(float(model.weights[b]) for b in buckets)
+        above = [1 / (1 + math.exp(c - score)) for c in model.thresholds]
+        assert math.isclose(r.expected_grade, sum(above), rel_tol=1e-4, abs_tol=1e-5)
+        assert math.isclose(r.tail_probability, above[-1], rel_tol=1e-4, abs_tol=1e-5)
+        assert r.selected == (r.tail_probability >= 0.5)
+
+
+def test_ratings_of_one_id_on_many_documents(spark, monkeypatch):
+    """The pairs of documents and ratings that reach the driver are bounded, not the ratings alone."""
+    documents = spark.range(300).selectExpr("1 AS doc_id", "concat('text ', id) AS text")
+    ratings = spark.range(50).selectExpr("1 AS doc_id", "CAST(id % 3 AS DOUBLE) AS rating")
+    seen = []
+    plain = ordinal_quality.fit
+    monkeypatch.setattr(ordinal_quality, "fit", lambda b, counts, r, **more: seen.append(len(counts)) or plain(b, counts, r, **more))
+    for rows in (documents, spark.range(3000).selectExpr("1 AS doc_id", "'one text' AS text")):
+        model = ordinal_quality.train(rows, ratings, max_rows=40)
+        assert set(model.grades) <= {0.0, 1.0, 2.0}
+    assert max(seen, default=0) <= 80
+
+
 def test_grading_odd_texts(spark, rated):
     odd = spark.createDataFrame(ODD_TEXTS, "doc_id long, text string").withColumn("selected", F.lit("x"))
     got = ordinal_quality.grade(odd, ordinal_quality.train(rated, rated)).collect()
@@ -93,6 +151,15 @@ def test_languages_of_unseen_documents(spoken):
     assert got.score.between(0, 1).all() and got.accepted.mean() > 0.8
 
 
+def test_answers_by_the_formula(spoken):
+    model = language_id.train(spoken, max_rows=200)
+    for r in language_id.identify(spoken.where("doc_id < 20"), model).collect():
+        buckets, _ = language_id.subwords(pa.array([r.text]))
+        sums = [sum(float(model.logits[b, k]) for b in buckets) / len(buckets) + model.bias[k] for k in range(3)]
+        total = sum(math.exp(x - max(sums)) for x in sums)
+        assert r.lang_pred == model.languages[int(np.argmax(sums))] and math.isclose(r.score, 1 / total, rel_tol=1e-3)
+
+
 def test_languages_of_odd_texts(spark, spoken):
     odd = spark.createDataFrame(ODD_TEXTS + [(20, "123 !?"), (21, "12 é")], "doc_id long, text string")
     odd = odd.withColumn("score", F.lit("x"))
@@ -171,7 +238,9 @@ def test_rates_reach_the_weights(spark):
     assert set(rates) == {"a", "b"}
     assert math.isclose(rates["a"] * 40, 75) and math.isclose(rates["b"] * 60, 25)
     assert mixing.repetition_rates(table.where("false"), "source", {"a": 1}) == {}
-    assert mixing.mix_sources(spark.createDataFrame(ODD_TEXTS, "doc_id long, text string"), "text", {}, default_rate=1).count() >= 0
+    odd = mixing.mix_sources(spark.createDataFrame(ODD_TEXTS * 50, "doc_id long, text string"), "text", {}, default_rate=1)
+    n = len(ODD_TEXTS) * 50
+    assert abs(odd.count() - n) < 5 * n**0.5 and odd.columns == ["doc_id", "text", "copy", "shuffle_key"]
     assert mixing.mix_sources(table.where("false"), "source", {"a": 1}, key="n").collect() == []
 
 

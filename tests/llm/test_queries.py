@@ -16,7 +16,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from keytables.llm.queries import QUERIES, SQL
+from keytables.llm import mixing
+from keytables.llm.queries import QUERIES, SOURCE_WEIGHTS, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -33,7 +34,7 @@ def texts(spark):
 def test_all_are_registered():
     assert QUERIES.keys() <= queries().keys() and SQL.keys() <= oracle_sql().keys()
     numbers = [int(n.split("_")[0][2:]) for n in QUERIES if n.startswith("op")]
-    assert sorted(numbers) == [*range(1, 11), 12, 13] and "pipeline" in QUERIES
+    assert sorted(numbers) == [*range(1, 11), 12, 13] and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -122,6 +123,15 @@ def test_op9(spark):
     assert hits >= 0.9 * total
 
 
+def test_op10_on_null_ids(spark, tmp_path):
+    rows = [(i, "the cat and the dog", "en") for i in range(40)] + [(i, "der hund und die katze", "de") for i in range(40, 80)]
+    rows += [(None, "le chien et le chat", "fr")] * 40
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op10_language_id"](spark, str(tmp_path)).collect()
+    assert len(got) == 120 and {r.held_out for r in got if r.doc_id is None} == {False}
+    assert {r.lang_pred for r in got} <= {"en", "de"}  # rows without an id are not learnt from
+
+
 def test_op10(spark):
     got = QUERIES["op10_language_id"](spark, FOLDER).join(_table(spark, "documents").select("doc_id", "lang"), "doc_id").toPandas()
     assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)).all()
@@ -134,30 +144,35 @@ def test_pipeline_is_its_stages(spark):
     columns = docs.columns
     left = {}
     for name, stage in corpus_pipeline.STAGES:
-        before = docs
+        before = {r[0]: r[1] for r in docs.select("doc_id", "text").collect()} if name in ("near duplicates", "substrings") else {}
         docs = stage(spark, docs, FOLDER).cache()
         left[name] = docs.count()
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == columns
         if name == "near duplicates":
-            rows = {r.doc_id: r.text for r in before.collect()}
-            want = groups({i: shingle_set(t, 5) for i, t in rows.items()}, 85)
-            assert {r.doc_id for r in docs.collect()} == {i for i, c in want.items() if i == c}
+            want = groups({i: shingle_set(t, 5) for i, t in before.items()}, corpus_pipeline.NEAR_DUPLICATES)
+            assert sorted(r.doc_id for r in docs.collect()) == sorted(i for i, c in want.items() if i == c)
         if name == "substrings":
-            rows = [(r.doc_id, r.text) for r in before.collect()]
-            want = {i: b" ".join(k).decode() if len(k) < len(w) else dict(rows)[i] for i, w, k in without_repeats(rows, 13)}
-            assert {r.doc_id: r.text for r in docs.collect()} == want
+            want = {i: b" ".join(k).decode() if len(k) < len(w) else before[i] for i, w, k in without_repeats(list(before.items()), 13)}
+            assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {i: (t, len(t)) for i, t in want.items()}
+    assert corpus_pipeline.NEAR_DUPLICATES == 80
     assert 0 < left["near duplicates"] <= left["quality"] < _table(spark, "documents").count()
-    got = QUERIES["pipeline"](spark, FOLDER)
+    got = queries()["pipeline"](spark, FOLDER)
     same = docs.withColumn("ids", F.col("ids").cast("string"))
     assert Counter(got.withColumn("ids", F.col("ids").cast("string")).select(*same.columns).collect()) == Counter(same.collect())
 
 
 def test_pipeline_on_odd_documents(spark, tmp_path):
+    """Copies and rated-down documents go; of what is left each row is drawn by itself."""
     rows = [(1, None, "en", "src0", 0), (2, "", None, None, None), (3, "a b", "en", "src1", 3), (3, "a b", "en", "src1", 3), (None, "x", "en", "src2", 1)]
+    rows += [(None, f"one text of its own, number {i}", "en", None, 30) for i in range(400)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(3, 1, 0), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    unknown = [r for r in got if r.source is None and r.doc_id is None]
+    assert abs(len(unknown) - 400) < 5 * 20
+    assert len({bytes(str(r.ids), "ascii") for r in unknown}) > 200  # some 253 of the 400 texts
+    assert {r.doc_id for r in got} <= {1, 2, 3, None}
 
 
 def _odd_table(spark, rows):
@@ -199,6 +214,56 @@ def test_mixing_keeps_null_unlisted_and_unsized_sources(spark, tmp_path, through
     assert set(got) == set(sources) and all(abs(n - 600) < 5 * 600**0.5 for n in got.values())
 
 
+def _copies(spark, tmp_path, through, rows):
+    """Rows of the mix by document, where all sources have a mean of 1."""
+    docs = _odd_table(spark, rows)
+    if through == "stage":
+        return corpus_pipeline.mix(spark, docs, FOLDER)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    if through == "query":
+        return QUERIES["op8_mixing"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    return spark.createDataFrame(duck.execute(SQL["op8_mixing"]).df())
+
+
+@pytest.mark.parametrize("through", ["query", "stage", "sql"])
+def test_mixing_draws_each_row_by_itself(spark, tmp_path, through):
+    """A third of the rows without an id, a third of one id, a third one row again and again."""
+    n = 1500
+    rows = [(None, f"null {i}", "en", "x", 10) for i in range(n)]
+    rows += [(7, f"seven {i}", "en", "x", 10) for i in range(n)]
+    rows += [(8, "the same", "en", "x", 10)] * n
+    mixed = _copies(spark, tmp_path, through, rows).toPandas()
+    for kind in ("null ", "seven "):
+        own = mixed[mixed.text.str.startswith(kind)]
+        times = np.zeros(n)
+        for t, c in Counter(own.text).items():
+            times[int(t.split()[1])] = c
+        assert abs(times.mean() - 1) < 5 / n**0.5 and abs(times.var() - 1) < 0.25
+    same = mixed[mixed.text == "the same"]
+    assert abs(len(same) - n) < 5 * n**0.5
+    # Of n rows with a Poisson count of mean 1, so many have a first, second and third copy.
+    if through != "stage":
+        for copy, share in ((0, 0.632), (1, 0.264), (2, 0.080)):
+            assert abs((same["copy"] == copy).sum() - n * share) < 5 * (n * share) ** 0.5
+        assert same.shuffle_key.nunique() == len(same)
+
+
+def test_rows_of_one_id_are_spread(spark):
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 5, id) AS doc_id", "concat('t', id) AS text", "'x' AS source")
+    rows = rows.union(spark.range(15_000).selectExpr("NULL AS doc_id", "'same' AS text", "'x' AS source"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        mixed = mixing.mix_sources(rows, "source", {}, default_rate=1.0)
+        sizes = [r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+
+
 def test_sizes_after_the_substring_stage(spark):
     """A source of which most is one repeated passage still gets its share of the characters that are left."""
     passage = " ".join(f"again{i}" for i in range(200))
@@ -210,7 +275,7 @@ def test_sizes_after_the_substring_stage(spark):
     assert left.where("n_chars < 30").count() == 1999
     mixed = corpus_pipeline.mix(spark, left, FOLDER).toPandas()
     sizes = mixed.assign(size=mixed.text.str.len()).groupby("source")["size"].sum()
-    weights = [corpus_pipeline.SOURCE_WEIGHTS[s] for s in ("src0", "src1")]
+    weights = [SOURCE_WEIGHTS[s] for s in ("src0", "src1")]
     assert abs(sizes["src0"] / sizes.sum() - weights[0] / sum(weights)) < 0.03
 
 
@@ -251,20 +316,3 @@ def test_near_duplicates_stage_on_null_and_repeated_ids(spark):
         rest = sorted(left.elements(), key=lambda r: r[1])
         assert min(left.values()) == 0 and len(rest) == 2
         assert rest[0] in rows[11:13] and rest[1] in (rows[2], rows[4])
-
-
-def test_stages_at_their_own_similarity(spark):
-    """test_pipeline_is_its_stages with the near-duplicate stage at 80."""
-    docs = _table(spark, "documents")
-    for name, stage in corpus_pipeline.STAGES:
-        before = {r[0]: r[1] for r in docs.select("doc_id", "text").collect()} if name in ("near duplicates", "substrings") else {}
-        docs = stage(spark, docs, FOLDER).cache()
-        if name == "near duplicates":
-            want = groups({i: shingle_set(t, 5) for i, t in before.items()}, 80)
-            assert sorted(r.doc_id for r in docs.collect()) == sorted(i for i, c in want.items() if i == c)
-        if name == "substrings":
-            want = {i: b" ".join(k).decode() if len(k) < len(w) else before[i] for i, w, k in without_repeats(list(before.items()), 13)}
-            assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {i: (t, len(t)) for i, t in want.items()}
-    got = QUERIES["pipeline"](spark, FOLDER)
-    same = docs.withColumn("ids", F.col("ids").cast("string"))
-    assert Counter(got.withColumn("ids", F.col("ids").cast("string")).select(*same.columns).collect()) == Counter(same.collect())
