@@ -13,48 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keytables.llm import minhash_dedup, mixing, ordinal_quality, piece_encoding, substring_dedup
-from keytables.sources.scratch import scratch_path
-
-# The shares of characters that the sources are mixed to.
-SOURCE_WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
-# How often documents of any other source, of none, or of a source without a size are repeated on average.
-OTHER_RATE = 1.0
+from keytables.llm.queries import OTHER_RATE, SOURCE_WEIGHTS
+from keytables.sources.scratch import remove_scratch, scratch_path
 
 # Per cent; the query op3 alone asks for 85.
 NEAR_DUPLICATES = 80
 
-MIX_SQL = """
-    WITH weights AS (SELECT 'src' || i AS source, 1.0::DOUBLE + i % 4 AS w FROM range(20) t(i)),
-    sizes AS (
-        SELECT source, w, sum(coalesce(n_chars, 0))::DOUBLE AS size FROM documents JOIN weights USING (source) GROUP BY source, w
-    ), rates AS (
-        SELECT source, (SELECT sum(size) FROM sizes WHERE size > 0) * w / (SELECT sum(w) FROM sizes WHERE size > 0) / size AS r
-        FROM sizes WHERE size > 0
-    ), steps AS (
-        SELECT source, k, sum(exp(-r) * pow(r, k) / factorial(k::INT)::DOUBLE) OVER (PARTITION BY source ORDER BY k) AS p
-        FROM rates, range(30) t(k)
-    ), drawn AS (
-        SELECT d.*, ('0x' || substr(md5('mix:' || doc_id), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u FROM documents d
-    ), counted AS (
-        SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, source, u FROM drawn) JOIN steps USING (source) WHERE p <= u GROUP BY doc_id
-    )
-    SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.copy::INT AS copy,
-        ('0x' || substr(md5('mix-order:' || d.doc_id || ':' || c.copy), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS shuffle_key
-    FROM documents d JOIN counted USING (doc_id), LATERAL (SELECT unnest(range(n)) AS copy) c
-"""
 # Tokenizers and trained models are not for SQL to express.
 ORACLE_SQL = None
 
 
-def ratings(labels: DataFrame) -> DataFrame:
-    """Grades from 0 to 2: one for good quality, one for not being toxic."""
-    grade = F.col("quality").cast("double") + F.when(F.col("toxic") == 0, 1.0).when(F.col("toxic").isNotNull(), 0.0)
-    return labels.select("doc_id", grade.alias("rating"))
-
-
 def choose(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = ordinal_quality.train(docs, ratings(labels))
+    model = ordinal_quality.train(docs, ordinal_quality.graded_labels(labels))
     return ordinal_quality.grade(docs, model).where("selected").select(*docs.columns)
 
 
@@ -89,8 +60,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         path = scratch_path(spark, f"corpus-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:  # read for the last time
+            remove_scratch(spark, before)
+        before = path
     return docs
