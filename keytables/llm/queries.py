@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keytables.llm import (
+    attention_scores,
     grid_join,
     language_id,
     minhash_dedup,
@@ -297,6 +298,14 @@ def op10_language_id(spark, folder):
     return language_id.identify(texts, model).select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+@_query()
+def op11_attention_scores(spark, folder):
+    """The log10 probability of every document by an attention model, learnt from six sevenths of them, and by word counts."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    documents = _table(spark, folder, "documents").withColumn("held_out", held_out)
+    return attention_scores.score_documents(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 # A number from 0 to 255, by rule: eight steps of the polynomial division.
 _CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
 

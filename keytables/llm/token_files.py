@@ -62,7 +62,7 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
-        size = self._tokenizer.get_vocab_size()
+        self.size = size = self._tokenizer.get_vocab_size()
         self._spaced = np.array([(self._tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self._remember = remember
         self._hashes = np.empty(0, np.uint64)  # sorted
