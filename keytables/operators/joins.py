@@ -2,7 +2,7 @@
 
 By default the join is Spark's own, which broadcasts a side that is small by its estimate or turns out
 so at run time. No job runs while it is put together, but for one case: of Arrow files Spark knows no
-size, so where their listed sizes are small they are counted and broadcast.
+size, so where the files of the lighter side are small by their listed sizes they are counted and broadcast.
 
 Which side of a skewed join can be divided depends on the join type: adaptive execution splits a hot
 key on either side of an inner join, but only on the preserved side of a left or right join and on
@@ -32,6 +32,7 @@ from keytables.operators.size import (
     fits_broadcast,
     listed_as_small,
     plan_bytes,
+    weight,
 )
 
 JOIN_TYPES = ("inner", "left", "right", "outer")
@@ -40,6 +41,8 @@ STRATEGIES = ("auto", "broadcast", "shuffle")
 _SALT_L, _SALT_R = "__keytables_salt_l", "__keytables_salt_r"
 _FAN_L, _FAN_R = "__keytables_fan_l", "__keytables_fan_r"
 _FINER = 8
+# A side is broadcast if the other one is so many times as heavy; else shuffling both costs about as little.
+_LIGHTER = 2
 
 
 def join_tables(
@@ -57,9 +60,10 @@ def join_tables(
 
     ``strategy``:
 
-    - ``auto``: the plain join, left to Spark. Only a right side of Arrow files whose listed sizes are
-      within ``broadcast_max_bytes`` is measured and, if it fits the limits, broadcast, for every join
-      type; ``broadcast_max_rows=0`` leaves this out.
+    - ``auto``: the plain join, left to Spark. Both sides are weighed, Arrow files by their listed sizes and others by
+      Spark's estimate. Only if the lighter one is of Arrow files within ``broadcast_max_bytes`` and at most
+      half as heavy as the other, it is counted and, if it fits the limits, broadcast: a right side for every
+      join type, a left one for ``inner`` and ``right``. ``broadcast_max_rows=0`` leaves this out.
     - ``broadcast``: a right side that its files or Spark's estimate bound by ``broadcast_max_bytes`` is
       measured and broadcast. Beyond the limits it takes the shuffle form, and nothing is broadcast.
     - ``shuffle``: both sides are shuffled on the keys and no size is measured. ``num_partitions`` pins
@@ -84,11 +88,16 @@ def join_tables(
 
     limits = (broadcast_max_rows, broadcast_max_bytes)
     bounded = strategy == "broadcast" and plan_bytes(right) <= broadcast_max_bytes
-    if strategy != "shuffle" and (
+    if strategy == "broadcast" and (
         listed_as_small(given, right, *limits) or (bounded and fits_broadcast(right, *limits))
     ):
         return _broadcast_join(left, right, keys, how)
     if strategy == "auto":
+        weights = (weight(left), weight(given))
+        if _LIGHTER * weights[1] <= weights[0] and listed_as_small(given, right, *limits):
+            return _broadcast_join(left, right, keys, how)
+        if _LIGHTER * weights[0] <= weights[1] and how in ("inner", "right") and listed_as_small(left, None, *limits):
+            return F.broadcast(left).join(right, on=keys, how=how)
         return left.join(right, on=keys, how=how)
     return _shuffle_join(left, right, keys, how, num_partitions)
 
@@ -226,24 +235,13 @@ def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], n: int) ->
     ``spark.sql.shuffle.partitions`` where that is more.
 
     A key is hot on a side where it has more rows than one even partition, so each side has fewer
-    than ``n`` of them. One pass over each side finds them. Without any, both sides are simply dealt
+    than ``n`` of them. One grouping of both sides' keys finds them. Without any, both sides are simply dealt
     out by key. A hot key's rows get a salt from what they hold and the task they come from, stable
     when a lost task runs again, and the other side's rows of that key are repeated once per salt.
     """
-    fans: dict[tuple, list[int]] = {}
-    for side, df in enumerate((left, right)):
-        for key, shares in _hot_keys(df, keys, n).items():
-            fans.setdefault(key, [1, 1])[side] = shares
+    hot = _hot_keys(left, right, keys, n)
     salted_keys = keys
-    if fans:
-        # Finer than the shares, or chance would put two salts too many into one partition; where both
-        # sides are hot, rows are repeated on both, so there it stays at the shares.
-        rows = [
-            (*key, *(f * _FINER if f > 1 and min(both) == 1 else f for f in both)) for key, both in fans.items()
-        ]
-        fields = [left.schema[k] for k in keys]
-        schema = StructType([*fields, StructField(_FAN_L, IntegerType()), StructField(_FAN_R, IntegerType())])
-        hot = left.sparkSession.createDataFrame(rows, schema)
+    if hot is not None:
         left = _salt(left, hot, keys, own=(_SALT_L, _FAN_L), other=(_SALT_R, _FAN_R))
         right = _salt(right, hot, keys, own=(_SALT_R, _FAN_R), other=(_SALT_L, _FAN_L))
         salted_keys = [*keys, _SALT_L, _SALT_R]
@@ -251,18 +249,37 @@ def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], n: int) ->
     return left.join(right.hint("merge"), on=salted_keys, how="inner").drop(_SALT_L, _SALT_R)
 
 
-def _hot_keys(df: DataFrame, keys: list[str], n: int) -> dict[tuple, int]:
-    """How many even partitions the rows of each key with more than one would fill; fewer than ``n`` keys.
+def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame | None:
+    """The hot keys of either side, fewer than ``2 * n``, with how many shares each side's rows are to have.
 
-    The counts are shuffled once, for the ``n`` commonest keys and for their sum, which are all that leaves
-    Spark. No key of ``df`` is null, so the sum is told by its null keys.
+    Spark alone tells keys apart, as it does in the join: NaN is one key, and so are -0.0 and 0.0, also within arrays
+    and structs. No key of either side is null.
     """
-    counts = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(_FAN_L))
-    total = counts.agg(F.coalesce(F.sum(_FAN_L), F.lit(0)).alias(_FAN_L))
-    most = counts.orderBy(F.desc(_FAN_L)).limit(n)
-    found = most.unionByName(total, allowMissingColumns=True).collect()
-    share = max(next(r[_FAN_L] for r in found if r[0] is None) // n, 1)
-    return {tuple(r[:-1]): -(-r[_FAN_L] // share) for r in found if r[0] is not None and r[_FAN_L] > share}
+    joined = left.select(*_cols(keys)).join(right.select(*_cols(keys)), on=keys, how="outer").schema
+    sides = [
+        df.select(
+            *(_col(k).cast(joined[k].dataType).alias(k) for k in keys),
+            F.lit(int(side == 0)).cast("long").alias(_FAN_L),
+            F.lit(int(side == 1)).cast("long").alias(_FAN_R),
+        )
+        for side, df in enumerate((left, right))
+    ]
+    both = sides[0].unionByName(sides[1])
+    totals = both.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in (_FAN_L, _FAN_R))).first()
+    share = [max(total // n, 1) for total in totals]
+    counts = both.groupBy(*_cols(keys)).agg(*(F.sum(c).alias(c) for c in (_FAN_L, _FAN_R)))
+    rows = counts.where((F.col(_FAN_L) > share[0]) | (F.col(_FAN_R) > share[1])).collect()
+    if not rows:
+        return None
+    fanned = []
+    for *key, count_l, count_r in rows:
+        fans = [-(-c // s) if c > s else 1 for c, s in zip((count_l, count_r), share, strict=True)]
+        # Finer than the shares, or chance would put two salts too many into one partition; where both
+        # sides are hot, rows are repeated on both, so there it stays at the shares.
+        fanned.append((*key, *(f * _FINER if f > 1 and min(fans) == 1 else f for f in fans)))
+    fields = [StructField(k, joined[k].dataType) for k in keys]
+    schema = StructType([*fields, StructField(_FAN_L, IntegerType()), StructField(_FAN_R, IntegerType())])
+    return left.sparkSession.createDataFrame(fanned, schema)
 
 
 def _salt(

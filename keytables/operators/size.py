@@ -42,6 +42,12 @@ def left_to_spark(df: DataFrame) -> bool:
     return plan_bytes(df) <= limit
 
 
+def weight(df: DataFrame) -> int:
+    """The size of the files ``df`` reads where it is listed, else Spark's estimate; no job runs."""
+    listed = _listed.get(df)
+    return plan_bytes(df) if listed is None else listed()
+
+
 def _held_by_driver(df: DataFrame) -> bool:
     """Whether the table is made of a list that the driver has handed out, whose size Spark does not know either."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -293,3 +293,64 @@ def test_no_salt_without_a_hot_key(spark, even):
     other = even.withColumnRenamed("w", "v")
     text = plan(join_tables(other, even, "k", "inner", "shuffle", num_partitions=4))
     assert "Generate" not in text and "salt" not in text
+
+
+KEYS = {
+    "double": ("double", [float("nan"), -0.0, 0.0, 1.5, 2.5]),
+    "float array": ("array<double>", [[float("nan")], [-0.0], [0.0], [], [1.0, None]]),
+    "struct": ("struct<a:double,b:string>", [(float("nan"), "x"), (-0.0, "x"), (0.0, "x"), (None, None), (1.0, None)]),
+    "binary": ("binary", [bytearray(b""), bytearray(b"\x00"), bytearray(b"\xff"), bytearray(b"a"), bytearray(b"b")]),
+}
+
+
+@pytest.mark.parametrize("how", JOIN_TYPES)
+@pytest.mark.parametrize("kind", [*KEYS, "two columns"])
+def test_hot_keys_of_any_type_on_both_sides(spark, kind, how):
+    """The first key is hot on both sides, the second on the left, the third on the right."""
+    at_left = [0] * 30 + [1] * 25 + [2] * 3 + [3, 4, None]
+    at_right = [0] * 20 + [2] * 30 + [1] * 2 + [4, 4, None]
+
+    def table(places, value):
+        if kind == "two columns":
+            doubles = KEYS["double"][1]
+            rows = [(None if i is None else doubles[i], None if i is None else f"k{i}", n) for n, i in enumerate(places)]
+            return spark.createDataFrame(rows, f"k double, m string, {value} int"), ["k", "m"]
+        type_, values = KEYS[kind]
+        return spark.createDataFrame([(None if i is None else values[i], n) for n, i in enumerate(places)], f"k {type_}, {value} int"), ["k"]
+
+    (a, on), (b, _) = table(at_left, "v"), table(at_right, "w")
+    got = join_tables(a, b, on, how, "shuffle", num_partitions=4)
+    want = a.join(b, on, how)
+    assert got.dtypes == want.dtypes
+    pairs = lambda df: Counter((r.v, r.w) for r in df.select("v", "w").collect())
+    assert pairs(got) == pairs(want)
+    if how == "inner":
+        assert "Generate" in plan(got)
+
+
+def test_a_pinned_join_finds_hot_keys_of_both_sides_at_once(spark, hot, even):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else each stage counts as a job
+    try:
+        started = jobs_started(spark, "pinned", lambda: join_tables(hot, even, "k", "inner", "shuffle", num_partitions=16))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert started < 4
+
+
+@pytest.mark.parametrize("how", JOIN_TYPES)
+def test_the_lighter_side_is_broadcast(spark, tmp_path, how):
+    write_arrow(spark.range(50_000).selectExpr("id % 1000 AS k", "repeat('x', 40) AS v"), str(tmp_path / "heavy"))
+    write_arrow(spark.range(0, 2000, 5).selectExpr("id AS k", "id AS w"), str(tmp_path / "light"))
+    heavy, light = (read_arrow(spark, str(tmp_path / name)) for name in ("heavy", "light"))
+    for a, b in ((heavy, light), (light, heavy)):
+        joined = join_tables(a, b, "k", how)
+        assert rows(joined.select("k", "w", "v")) == rows(a.join(b, "k", how).select("k", "w", "v"))
+        text = plan(joined)
+        if a is heavy or how in ("inner", "right"):
+            assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+        else:  # Spark cannot build the left side of these, and the right one is not worth it
+            assert "BroadcastExchange" not in text
+    started = jobs_started(spark, f"lighter-{how}", lambda: join_tables(light, heavy, "k", how))
+    assert started == (0 if how in ("left", "outer") else jobs_started(spark, f"size-{how}", lambda: fits_broadcast(light)))
+    equal = join_tables(heavy, read_arrow(spark, str(tmp_path / "heavy")), "k", how, suffix="_right")
+    assert "BroadcastExchange" not in plan(equal)
