@@ -151,25 +151,28 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", c
     Two vectors are linked if their cosine in double precision is ``least`` or more, whatever else their rows hold.
     ``n_links`` counts the others linked directly, ``component_id`` is the smallest id that links lead to. A vector
     that is null, zero, holds null or non-finite components, or has another number of components
-    than most, links with nothing. Equal vectors are joined as one and counted as many. Rows that share an id
-    count as rows, so each gives a row and links with its like. Other columns are not read. ``least`` must be over 0.
+    than most, links with nothing. Equal vectors are joined as one, told apart from others by a 64-bit hash, and counted
+    as many. Rows that share an id, or have none, count as rows, so each gives a row with its own vector's links; a
+    group in which no row has an id has none either. Other columns are not read. ``least`` must be over 0.
     """
     if not 0 < least <= 1:
         raise ValueError("least must be over 0 and at most 1")
     rows = vectors.select(F.col(key).alias("vec_id"), F.col(column).cast("array<double>").alias("x"))
     dim = V.dimension(rows, "x")
     good = V.comparable(rows, dim, "x")
-    points = write_scratch(
-        good.groupBy("x").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "grid-points"
-    )
+    # Each distinct vector is a node named by its hash, since rows that share an id may hold different vectors.
+    distinct = good.groupBy("x").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("weight"))
+    points = write_scratch(distinct.withColumn("rep", F.xxhash64("x")), "grid-points")
     axes = np.eye(max(dim, 1))[:, :AXES] if dim == 0 else principal_axes(V.sample_matrix(points, SAMPLE, "rep", "x"))
-    links, edges = _block_links(points, axes, least)
+    links, edges = _block_links(points.select("rep", "weight", "x"), axes, least)
     groups = connected_components(edges)
     counted = points.join(links.groupBy("rep").agg(F.sum("links").alias("links")), on="rep", how="left")
-    named = counted.join(groups.withColumnRenamed("node", "rep"), on="rep", how="left").select(
-        "x",
-        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+    placed = counted.join(groups.withColumnRenamed("node", "rep"), on="rep", how="left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
+    names = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = placed.join(names, on="component").select(
+        "x", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id"
     )
     # Only usable vectors are looked up, so that the others, however many, do not meet in one task.
     known = good.join(named, on="x").select("vec_id", "n_links", "component_id")

@@ -88,8 +88,8 @@ class SuffixAutomaton:
             p = link[p]
         return clone
 
-    def windows(self, symbols: list[int], window: int) -> list[int]:
-        """For each window of ``symbols``, the smallest document that has it, or -1."""
+    def windows(self, symbols: list[int], window: int, none: int | None = -1) -> list[int | None]:
+        """For each window of ``symbols``, the smallest document that has it, or ``none``."""
         nxt, link, size, first = self.next, self.link, self.size, self.first
         out = []
         v = n = 0
@@ -107,7 +107,7 @@ class SuffixAutomaton:
                 while size[link[v]] >= window:  # no longer match than a window need be kept
                     v = link[v]
                     n = size[v]
-            out.append(first[v] if n >= window else -1)
+            out.append(first[v] if n >= window else none)
         return out[window - 1 :]
 
 
@@ -283,7 +283,8 @@ def _passages(window: int, sub: int):
                     text = [raw[a:b] for a, b in zip(w.words.start[begin].tolist(), w.words.end[end - 1].tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(begin), bundle) if reference else where[begin]),
+                            # To the shard that the others ask, also where several rows have the smallest id.
+                            pa.array(where[begin]),
                             pa.array(np.full(len(begin), not reference)),
                             pa.array(np.full(len(begin), bundle)),
                             pa.array(w.owner[begin].astype(np.int32)),
@@ -321,9 +322,9 @@ def _match(window: int):
             shingles = shingle_hashes(hashes, window)
             found: list[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]] = []
             for q in np.flatnonzero(asks).tolist():
-                smallest = np.array(automaton.windows(code[first[q] : first[q + 1]].tolist(), window), np.int64)
-                # -1 stands for none; ids may be negative, too, so it is told apart by the reference having it.
-                gone = (smallest != -1) & (smallest < document[q])
+                least = int(document[q])
+                smallest = automaton.windows(code[first[q] : first[q + 1]].tolist(), window, None)
+                gone = np.array([x is not None and x < least for x in smallest], bool)
                 edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
                 begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + window - 1
                 found.append((q, begin, end, None))

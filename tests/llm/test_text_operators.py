@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -233,3 +234,38 @@ def test_bands_miss_as_few_pairs_at_a_lower_similarity():
     assert (minhash_dedup.bands_for(85), minhash_dedup.bands_for(80), minhash_dedup.bands_for(100)) == (25, 37, 25)
     for similarity in range(80, 101):
         assert (1 - (similarity / 100) ** minhash_dedup.BAND_ROWS) ** minhash_dedup.bands_for(similarity) <= minhash_dedup.MISSED
+
+
+def test_repeats_of_shared_and_negative_ids(spark):
+    """Against a plain search whose units are rows: ids -1, shared smallest ids in several bundles, and null ids."""
+    def passage(name, n=30):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    far = " ".join(f"far{i}" for i in range(150_000))  # a bundle of its own
+    rows = [
+        (-1, passage("minus")),
+        (5, passage("minus") + " and more"),
+        (0, passage("left") + " " + far),
+        (0, passage("common", 12) + " " + passage("right")),
+        (0, passage("common", 12) + " " + passage("left2") + " " + passage("right", 20) + " " + far[: len(far) // 2]),
+        (3, passage("common", 12) + " " + passage("left2")),
+        (4, passage("common", 12) + " " + passage("right")),
+        (7, passage("left") + " " + passage("right", 20) + " end"),
+        (None, passage("left")),
+    ]
+    first = {}
+    for i, t in rows:
+        w = words(t)
+        for k in range(len(w) - 12):
+            if i is not None:
+                key = tuple(w[k : k + 13])
+                first[key] = min(first.get(key, i), i)
+    want = Counter()
+    for i, t in rows:
+        w = words(t)
+        gone = {j for k in range(len(w) - 12) if i is not None and first[tuple(w[k : k + 13])] < i for j in range(k, k + 13)}
+        want[i, len(w), len(gone), b" ".join(x for j, x in enumerate(w) if j not in gone)] += 1
+    for parts in (1, 3):
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = substring_dedup.remove_repeats(table, join_always=True).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_removed, (r.text or "").encode()) for r in got) == want

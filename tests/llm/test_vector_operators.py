@@ -1,6 +1,7 @@
 """Grid join and permutation index against brute force."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -69,6 +70,30 @@ def test_repeated_rows_link_with_each_other(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
 
 
+def test_rows_of_one_id_with_different_vectors(spark):
+    """Rows, not ids, are linked: against a plain comparison, with null ids and a hot one among them."""
+    near = [1.0, 0.01, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0], "a"), (1, [0.0, 1.0, 0.0], "a"), (2, near, "a")]
+    got = grid_join.link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False)
+    ]
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 6))
+    x = np.concatenate([x, x[:25] + 0.02 * rng.normal(size=(25, 6)), x[:10]]).astype(np.float32)
+    ids = [None if i % 7 == 0 else 3 if i % 3 == 0 else i for i in range(len(x))]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    label = np.arange(len(x))
+    for _ in label:
+        label = np.array([min([label[i], *label[np.flatnonzero(links[i])]]) for i in range(len(x))])
+    least = {c: min((ids[i] for i in np.flatnonzero(label == c) if ids[i] is not None), default=None) for c in set(label)}
+    want = Counter((ids[i], int(links[i].sum()), least[label[i]], ids[i] == least[label[i]]) for i in range(len(x)))
+    table = spark.createDataFrame([(i, v.tolist(), "a") for i, v in zip(ids, x)], SCHEMA)
+    got = grid_join.link_vectors(table.repartition(5)).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
+
+
 def test_components_by_stars(spark):
     rng = np.random.default_rng(4)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
