@@ -34,7 +34,7 @@ def texts(spark):
 def test_all_are_registered():
     assert QUERIES.keys() <= queries().keys() and SQL.keys() <= oracle_sql().keys()
     numbers = [int(n.split("_")[0][2:]) for n in QUERIES if n.startswith("op")]
-    assert sorted(numbers) == [*range(1, 11), 12, 13] and "pipeline" in queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
