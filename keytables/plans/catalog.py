@@ -578,6 +578,20 @@ def count_job(spark, folder):
     return jobs.count_job(spark, path, ["l_discount > 0.05"], read_columns=["l_discount"])
 
 
+@_query("SELECT count(*) AS count FROM lineitem")
+def count_job_listed(spark, folder):
+    """From the rows that the table's manifest lists."""
+    return jobs.count_job(spark, _arrow(spark, _table(spark, folder, "lineitem"), "lineitem"))
+
+
+@_query("SELECT * FROM orders WHERE o_orderkey BETWEEN 1000 AND 2500")
+def arrow_range(spark, folder):
+    """Only the files of a clustered table that can hold the range are opened."""
+    path = scratch_path(spark, "clustered")
+    write_sorted(_table(spark, folder, "orders"), "o_orderkey", jobs.arrow_saver(path))
+    return read_arrow(spark, path, between={"o_orderkey": (1000, 2500)})
+
+
 @_query(
     "SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem"
     " GROUP BY l_returnflag, l_linestatus"

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keytables.functions.keys import HASH_COLUMN
 from keytables.operators.aggregate import count_rows, group_count
@@ -20,7 +21,7 @@ from keytables.operators.joins import join_tables, psi_join
 from keytables.operators.order import sort_table, write_sorted
 from keytables.operators.select import Conditions, add_hash_column, key_filter, project
 from keytables.operators.size import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
-from keytables.sources.arrow_ipc import read_arrow, write_arrow
+from keytables.sources.arrow_ipc import listed_rows, read_arrow, write_arrow
 from keytables.sources.jdbc import (
     DEFAULT_SLICES,
     jdbc_column_types,
@@ -125,7 +126,15 @@ def count_job(
     conditions: Conditions = None,
     read_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Of Arrow files all columns are read, unless ``read_columns`` names those the conditions use."""
+    """Of Arrow files all columns are read, unless ``read_columns`` names those the conditions use.
+
+    Without conditions no file is opened whose table's manifest tells its rows; else one column is read.
+    """
+    if conditions is None and not isinstance(source, DataFrame):
+        rows = listed_rows(source)
+        if rows is not None:
+            return spark.range(1).select(F.lit(rows).cast("long").alias("count"))
+        read_columns = read_columns or read_arrow(spark, source).columns[:1]
     return count_rows(load(spark, source, read_columns), conditions)
 
 

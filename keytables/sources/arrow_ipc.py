@@ -24,7 +24,9 @@ with its own address set ``endpoint``, ``accessKey``, ``secretKey`` and ``scheme
 
 from __future__ import annotations
 
+import datetime
 import fnmatch
+import itertools
 import json
 import posixpath
 import sys
@@ -79,6 +81,8 @@ _FILE_COST = 4 * 1024 * 1024
 _ROWS_PER_BATCH = 10_000
 _WILDCARDS = "*?["
 _REQUESTS = 32
+# Of so many columns, the first that can be compared, the manifest keeps each file's range; longer texts are cut.
+_RANGED_COLUMNS, _RANGED_LETTERS = 16, 64
 
 _known: WeakSet[SparkSession] = WeakSet()
 
@@ -92,9 +96,10 @@ class Slice(NamedTuple):
 
 
 class Written(WriterCommitMessage):
-    def __init__(self, index: int, name: str | None):
+    def __init__(self, index: int, name: str | None, statistics: dict | None = None):
         self.index = index
         self.name = name
+        self.statistics = statistics
 
 
 def register(spark: SparkSession) -> None:
@@ -114,10 +119,15 @@ def read_arrow(
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     split_by: str = "size",
+    between: Mapping[str, tuple] | None = None,
     **options: str,
 ) -> DataFrame:
     """The table held in ``paths``, or its ``columns``.
 
+    ``between`` gives columns' least and largest wanted values, numbers or texts (None for no bound): only such rows come,
+    and files that cannot hold any, by what their table's manifest says, are not opened. So are files that
+    cannot meet a filter that Spark hands to the source. Files without such statistics are read.
+
     A task gets about 128 MiB, or what the option ``splitBytes`` says. ``split_by="batch"`` makes one
     task per record batch instead, for few files with costly rows: the driver then reads every footer.
     """
@@ -128,8 +138,15 @@ def read_arrow(
     # Spark refuses a source that takes filters while the setting is off.
     reader = reader.option("pushFilters", spark.conf.get(PUSHDOWN, "false"))
     if columns:
-        reader = reader.option("columns", json.dumps(list(columns)))
+        reader = reader.option("columns", json.dumps([*columns, *(c for c in between or () if c not in columns)]))
+    if between:
+        reader = reader.option("between", json.dumps({c: list(ends) for c, ends in between.items()}))
     df = reader.load(paths) if isinstance(paths, str) else reader.option("paths", found["paths"]).load()
+    for column, (low, high) in (between or {}).items():
+        df = df if low is None else df.where(df[column] >= low)
+        df = df if high is None else df.where(df[column] <= high)
+    if between and columns:
+        df = df.select(*(df[c] for c in columns))
     return remember_listed_bytes(df, lambda: sum(f.size for f in list_files(found)[1]))
 
 
@@ -187,8 +204,22 @@ class ArrowIpcReader(DataSourceReader):
         self.schema = schema
         self.whole = whole
 
-    def partitions(self) -> list[InputPartition]:
+    def _files(self) -> tuple[fs.FileSystem, list[fs.FileInfo]]:
+        """The files that may hold rows wanted."""
         store, files = list_files(self.options)
+        bounds = json.loads(self.options.get("between", "{}"))
+        tests = [(c, sign, v) for c, ends in bounds.items() for sign, v in zip((">=", "<="), ends) if v is not None]
+        tests += self._tests()
+        if not tests:
+            return store, files
+        known = file_statistics(self.options)
+        return store, [f for f in files if _may_hold(known.get(f.path), f.size, tests)]
+
+    def _tests(self) -> list[tuple]:
+        return []
+
+    def partitions(self) -> list[InputPartition]:
+        store, files = self._files()
         if self.options.get("splitby", "size") == "batch":
 
             def count_batches(file: fs.FileInfo) -> int:
@@ -277,6 +308,11 @@ class FilteringReader(ArrowIpcReader):
             return kind == StringType()
         return isinstance(kind, (IntegralType, FractionalType, BooleanType, DateType))
 
+    def _tests(self) -> list[tuple]:
+        return [
+            (f.attribute[0], _SIGNS[type(f)], None if isinstance(f, (IsNull, IsNotNull)) else f.value) for f in self.filters
+        ]
+
     def _kept(self, batch: pa.RecordBatch) -> pa.RecordBatch:
         for condition in self.filters:
             batch = batch.filter(_may_meet(condition, batch.column(condition.attribute[0])))
@@ -298,8 +334,7 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         if first is None:
             return Written(index, None)
         name = f"part-{index:05d}-{self.job}-{task.taskAttemptId()}.arrow"
-        self._write_file(name, first, batches)
-        return Written(index, name)
+        return Written(index, name, self._write_file(name, first, batches))
 
     def commit(self, messages: list[Written | None]) -> None:
         done = sorted((m for m in messages if m is not None and m.name), key=lambda m: m.index)
@@ -311,8 +346,10 @@ class ArrowIpcWriter(DataSourceArrowWriter):
             # An empty table still has a schema.
             names = [f"part-00000-{self.job}-0.arrow"]
             self._write_file(names[0])
+        old = {} if self.overwrite else _read_manifest(store, base).get("statistics", {})
+        known = {n: old[n] for n in kept if n in old} | {m.name: m.statistics for m in done if m.statistics}
         with store.open_output_stream(posixpath.join(base, MANIFEST)) as f:
-            f.write(json.dumps({"files": kept + names}).encode())
+            f.write(json.dumps({"files": kept + names} | ({"statistics": known} if known else {})).encode())
         present = {posixpath.relpath(f.path, base) for f in _data_files(store, base)}
         self._remove(n for n in present - set(kept + names) if self.overwrite or self.job in n)
 
@@ -332,7 +369,7 @@ class ArrowIpcWriter(DataSourceArrowWriter):
 
     def _write_file(
         self, name: str, first: pa.RecordBatch | None = None, rest: Iterator[pa.RecordBatch] = iter(())
-    ) -> None:
+    ) -> dict:
         store, base = self._store()
         store.create_dir(base, recursive=True)
         schema = to_arrow_schema(self.schema)
@@ -341,10 +378,13 @@ class ArrowIpcWriter(DataSourceArrowWriter):
             store.open_output_stream(posixpath.join(base, name)) as sink,
             ipc.new_file(sink, schema, options=settings) as writer,
         ):
-            if first is not None:
-                writer.write_batch(_converted(first, schema))
-            for batch in rest:
-                writer.write_batch(_converted(batch, schema))
+            ranges = _Ranges(schema)
+            for batch in rest if first is None else itertools.chain([first], rest):
+                batch = _converted(batch, schema)
+                writer.write_batch(batch)
+                ranges.add(batch)
+        size = store.get_file_info(posixpath.join(base, name)).size
+        return {"rows": ranges.rows, "bytes": size, "columns": ranges.found()}
 
     def _remove(self, names: Iterator[str]) -> None:
         store, base = self._store()
@@ -361,6 +401,93 @@ _COMPARISONS = {
 }
 
 
+_SIGNS = {
+    EqualTo: "=",
+    GreaterThan: ">",
+    GreaterThanOrEqual: ">=",
+    LessThan: "<",
+    LessThanOrEqual: "<=",
+    In: "in",
+    IsNull: "null",
+    IsNotNull: "not null",
+}
+
+
+class _Ranges:
+    """The least and largest value and the number of nulls of columns that can be compared, batch by batch."""
+
+    def __init__(self, schema: pa.Schema):
+        kinds = pa.types
+        compared = [
+            f.name
+            for f in schema
+            if kinds.is_integer(f.type) or kinds.is_floating(f.type) or kinds.is_date32(f.type)
+            or kinds.is_string(f.type) or kinds.is_large_string(f.type)
+        ]
+        self.rows = 0
+        self._columns: dict[str, list] = {name: [None, None, 0] for name in compared[:_RANGED_COLUMNS]}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.rows += batch.num_rows
+        for name, held in list(self._columns.items()):
+            column = batch.column(name)
+            if pa.types.is_floating(column.type) and pc.any(pc.is_nan(column)).as_py():
+                del self._columns[name]  # Spark has NaN as the largest number and equal to itself
+                continue
+            ends = pc.min_max(column.cast(pa.int32()) if pa.types.is_date32(column.type) else column)
+            low, high = ends["min"].as_py(), ends["max"].as_py()
+            held[2] += column.null_count
+            if low is not None:
+                held[0] = low if held[0] is None else min(held[0], low)
+                held[1] = high if held[1] is None else max(held[1], high)
+
+    def found(self) -> dict[str, list]:
+        """``[least, largest, nulls]``; a long text's beginning is a least value, but no largest one."""
+        out = {}
+        for name, (low, high, nulls) in self._columns.items():
+            bounded = True
+            if isinstance(low, str):
+                bounded = len(high) <= _RANGED_LETTERS
+                low = low[:_RANGED_LETTERS]
+            out[name] = [low, high if bounded else None, nulls]
+        return out
+
+
+def _may_hold(known: dict | None, size: int, tests: Sequence[tuple]) -> bool:
+    """Whether a file can hold a row that meets all ``tests`` (column, sign, value). A file that is not the one described may."""
+    if known is None or known["bytes"] != size:
+        return True
+    for column, sign, value in tests:
+        if column not in known["columns"]:
+            continue
+        low, high, nulls = known["columns"][column]
+        if sign == "null":
+            possible = nulls > 0
+        elif nulls == known["rows"]:
+            possible = False
+        elif sign == "not null":
+            possible = True
+        else:
+            possible = any(_in_range(low, high, "=" if sign == "in" else sign, v) for v in (value if sign == "in" else [value]))
+        if not possible:
+            return False
+    return True
+
+
+def _in_range(low, high, sign: str, value) -> bool:
+    """Whether some value from ``low`` to ``high`` (None: no bound known) can be ``sign`` to ``value``."""
+    if isinstance(value, datetime.date) and not isinstance(value, datetime.datetime):
+        value = (value - datetime.date(1970, 1, 1)).days
+    number = (int, float)
+    if not (isinstance(value, str) and isinstance(low, str) or isinstance(value, number) and isinstance(low, number)):
+        return True
+    if value != value:
+        return True
+    above = high is None or (high > value if sign == ">" else high >= value)
+    below = low < value if sign == "<" else low <= value
+    return above if sign in (">", ">=") else below if sign in ("<", "<=") else above and below
+
+
 def _may_meet(condition: Filter, column: pa.Array) -> pa.Array:
     if isinstance(condition, IsNull):
         return column.is_null()
@@ -502,12 +629,42 @@ def _data_files(store: fs.FileSystem, base: str) -> list[fs.FileInfo]:
     return sorted(shown, key=lambda f: f.path)
 
 
-def _manifest(store: fs.FileSystem, base: str) -> list[str] | None:
+def _read_manifest(store: fs.FileSystem, base: str) -> dict:
     info = store.get_file_info(posixpath.join(base, MANIFEST))
     if info.type != fs.FileType.File or not info.size:
-        return None
+        return {}
     with store.open_input_stream(info.path) as f:
-        return json.loads(f.read())["files"]
+        return json.loads(f.read())
+
+
+def _manifest(store: fs.FileSystem, base: str) -> list[str] | None:
+    return _read_manifest(store, base).get("files")
+
+
+def file_statistics(options: Mapping[str, str]) -> dict[str, dict]:
+    """What manifests say of the files of all paths, by the file's path: ``rows, bytes, columns``."""
+    options = {k.lower(): v for k, v in options.items()}
+
+    def of(path: str) -> dict[str, dict]:
+        store, base = open_store(options, path)
+        found = {}
+        for info in _matches(store, base):
+            if info.type == fs.FileType.Directory:
+                known = _read_manifest(store, info.path).get("statistics", {})
+                found |= {posixpath.join(info.path, name): x for name, x in known.items()}
+        return found
+
+    return {path: x for found in _at_once(of, _paths(options)) for path, x in found.items()}
+
+
+def listed_rows(paths: str | Sequence[str], **options: str) -> int | None:
+    """How many rows the files of ``paths`` hold by their manifests; None if any is not described, or has another size."""
+    options = {"paths": json.dumps([paths] if isinstance(paths, str) else list(paths)), **options}
+    _, files = list_files(options)
+    known = file_statistics(options)
+    if any(f.path not in known or known[f.path]["bytes"] != f.size for f in files):
+        return None
+    return sum(known[f.path]["rows"] for f in files)
 
 
 def _matches(store: fs.FileSystem, pattern: str) -> list[fs.FileInfo]:
