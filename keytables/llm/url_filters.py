@@ -44,14 +44,36 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule], of: str) ->
     return found
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two labels of the host; a host with fewer is its own domain."""
-    return F.substring_index(host, ".", -2)
+def suffix(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The longest of ``suffixes`` that the host is or ends in after a dot, else its last label.
 
+    ``suffixes`` are plain names of two or more labels in lower case, such as ``co.uk``; they become a set within the
+    plan, so they are to be a bounded list.
+    """
+    found = F.substring_index(host, ".", -1)
+    for labels, names in _by_labels(suffixes):
+        end = F.substring_index(host, ".", -labels)
+        found = F.when(end.isin(names), end).otherwise(found)
+    return found
 
-def suffix(host: Column) -> Column:
-    """The last label of the host."""
-    return F.substring_index(host, ".", -1)
+
+def registered_domain(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The host's suffix and the label before it; a host without one is its own domain."""
+    found = F.substring_index(host, ".", -2)
+    for labels, names in _by_labels(suffixes):
+        end = F.substring_index(host, ".", -labels)
+        found = F.when(end.isin(names), F.substring_index(host, ".", -labels - 1)).otherwise(found)
+    return found
+
+
+def _by_labels(suffixes: Sequence[str]) -> list[tuple[int, list[str]]]:
+    """By number of labels, fewest first: what is applied last is tried first."""
+    grouped: dict[int, list[str]] = {}
+    for name in sorted(set(suffixes)):
+        if "." not in name or name != name.lower() or not all(name.split(".")):
+            raise ValueError(f"{name!r} is no suffix of two or more labels in lower case")
+        grouped.setdefault(name.count(".") + 1, []).append(name)
+    return sorted(grouped.items())
 
 
 def _prior(level: DataFrame, keys: list[str], strength: float) -> DataFrame:
@@ -87,6 +109,7 @@ def host_reputation(
     outcomes: DataFrame,
     least_strength: float = 2.0,
     most_strength: float = 1000.0,
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """One row per host of ``pages``: ``host, good, n, prior, rate, variance``.
 
@@ -96,6 +119,9 @@ def host_reputation(
     domain's rate, domains without any their suffix's. ``rate`` and ``variance`` are those of the
     host's beta posterior.
 
+    ``suffixes`` names the suffixes of several labels (see ``suffix``); without any, a domain is a host's last two labels.
+    A port is part of the last label, and an address in numbers is cut like a name.
+
     A null ``good`` or ``page_id`` counts for nothing. Without any outcome every rate is 0.5. The
     counts are added up per host before anything else, so a host with a third of all rows is a single row.
     """
@@ -108,8 +134,8 @@ def host_reputation(
             F.count("good").alias("n"),
             F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"),
         )
-        .withColumn("domain", registered_domain(F.col("host")))
-        .withColumn("suffix", suffix(F.col("host"))),
+        .withColumn("domain", registered_domain(F.col("host"), suffixes))
+        .withColumn("suffix", suffix(F.col("host"), suffixes)),
         "reputation-hosts",
     )
     total = hosts.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
@@ -118,9 +144,9 @@ def host_reputation(
     sums = [F.sum("good").alias("good"), F.sum("n").alias("n")]
     strengths = {"least": least_strength, "most": most_strength}
     domains = write_scratch(hosts.groupBy("domain", "suffix").agg(*sums), "reputation-domains")
-    suffixes = domains.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(float(base)))
-    suffixes = write_scratch(_prior(suffixes, ["suffix"], _strength(suffixes, **strengths)), "reputation-suffixes")
-    of_suffix = suffixes.select("suffix", F.col("rate").alias("prior"))
+    ends = domains.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(float(base)))
+    ends = write_scratch(_prior(ends, ["suffix"], _strength(ends, **strengths)), "reputation-suffixes")
+    of_suffix = ends.select("suffix", F.col("rate").alias("prior"))
     domains = domains.join(of_suffix, on="suffix")
     domains = _prior(domains, ["domain"], _strength(domains, **strengths))
     hosts = hosts.join(domains.select("domain", F.col("rate").alias("prior")), on="domain")
@@ -138,18 +164,20 @@ def filter_urls(
     rules: Sequence[Rule],
     least_rate: float = 0.5,
     z: float = 1.0,
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, reputation, bound``.
 
     The longest rule that fits decides. Else the page is allowed if the lower posterior bound of its
-    host's good rate, ``rate - z * sqrt(variance)``, is at least ``least_rate``. Columns of ``pages``
+    host's good rate, ``rate - z * sqrt(variance)``, is at least ``least_rate``. ``suffixes`` are those of several
+    labels, for :func:`host_reputation`. Columns of ``pages``
     with those names are replaced, all others are kept. Repeated rows are judged alike. A null url has an empty
     host, which has a reputation like any other.
     """
     own = ["host", "path", "rule", "verdict", "reputation", "bound"]
     pages = pages.drop(*own)
     host, path = host_and_path(F.col("url"))
-    bounds = host_reputation(pages, outcomes).select(
+    bounds = host_reputation(pages, outcomes, suffixes=suffixes).select(
         "host", F.col("rate").alias("reputation"), (F.col("rate") - z * F.sqrt("variance")).alias("bound")
     )
     named = pages.withColumn("host", host).withColumn("path", path)

@@ -217,6 +217,40 @@ def test_the_longest_rule_wins_and_hosts_decide_the_rest(spark):
     assert url_filters.filter_urls(table.where("false"), outcomes, RULES).collect() == []
 
 
+SUFFIXES = ["co.uk", "com.au", "github.io", "a.very.long.uk", "uk.com"]
+
+
+def _plain_domain(host):
+    labels = host.split(".")
+    end = max((x for x in SUFFIXES if host == x or host.endswith(f".{x}")), key=len, default=labels[-1])
+    return ".".join(labels[-end.count(".") - 2 :]), end
+
+
+def test_suffixes_of_several_labels(spark):
+    hosts = ["bbc.co.uk", "www.bbc.co.uk", "co.uk", "uk", "x.uk", "notco.uk", "me.github.io", "b.me.github.io", "github.io", ""]
+    hosts += ["a.very.long.uk", "z.a.very.long.uk", "y.z.a.very.long.uk", "very.long.uk", "shop.uk.com", "x.com.au", "com.au.org"]
+    table = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = table.select("host", url_filters.registered_domain(F.col("host"), SUFFIXES), url_filters.suffix(F.col("host"), SUFFIXES))
+    assert {r[0]: (r[1], r[2]) for r in got.collect()} == {h: _plain_domain(h) for h in hosts}
+    plain = table.select("host", url_filters.registered_domain(F.col("host")), url_filters.suffix(F.col("host")))
+    assert all((r[1], r[2]) == (".".join(r[0].split(".")[-2:]), r[0].split(".")[-1]) for r in plain.collect())
+    for wrong in ("uk", "Co.uk", ".co.uk", ""):
+        with pytest.raises(ValueError):
+            url_filters.suffix(F.col("host"), [wrong])
+
+
+def test_sites_under_one_suffix_do_not_share_a_reputation(spark):
+    urls = [f"http://p{i % 3}.good.co.uk/{i}" for i in range(90)] + [f"http://p{i % 3}.bad.co.uk/{i}" for i in range(90)]
+    urls += ["http://new.good.co.uk/", "http://new.bad.co.uk/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, i < 90 or i % 10 == 0) for i in range(180)], "page_id long, good boolean")
+    with_list = {r.page_id: r for r in url_filters.filter_urls(pages, outcomes, [], suffixes=SUFFIXES).collect()}
+    without = {r.page_id: r for r in url_filters.filter_urls(pages, outcomes, []).collect()}
+    assert with_list[180].reputation > with_list[181].reputation + 0.3
+    assert math.isclose(without[180].reputation, without[181].reputation)
+    assert (with_list[180].verdict, with_list[181].verdict) == ("allow", "block")
+
+
 def test_poisson_counts(spark):
     table = spark.range(4000).selectExpr("id AS doc_id", "IF(id % 4 = 0, 'a', IF(id % 4 = 1, NULL, 'b')) AS source", "1 AS copy")
     got = mixing.mix_sources(table, "source", {"a": 2.5, "b": 0.5})
