@@ -9,6 +9,7 @@ from keytables.operators.contracts import (
 )
 from keytables.operators.joins import join_tables, psi_join
 from keytables.operators.order import sort_table, write_sorted
+from keytables.operators.prefilter import may_match
 from keytables.operators.select import add_hash_column, key_filter, project, where
 from keytables.operators.size import estimate_size, fits_broadcast
 
@@ -24,6 +25,7 @@ __all__ = [
     "key_contract",
     "key_filter",
     "key_violations",
+    "may_match",
     "project",
     "psi_join",
     "sort_table",

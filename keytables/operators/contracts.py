@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keytables.functions.columns import columns_of, named
@@ -14,6 +15,10 @@ class KeyContractError(ValueError):
     """The key column holds nulls or repeated values."""
 
 
+_BROKEN = "keytables: null or repeated key"
+_PLACE = "__keytables_place"
+
+
 def _groups(df: DataFrame, key: str | Sequence[str]) -> tuple[list[str], DataFrame]:
     names = [key] if isinstance(key, str) else list(key)
     groups = df.groupBy(*columns_of(df, names)).agg(F.count(F.lit(1)).alias("count"))
@@ -55,3 +60,20 @@ def check_key(df: DataFrame, key: str | Sequence[str]) -> None:
         raise KeyContractError(
             f"{key} is no primary key: {found.n_null} null and {repeats} repeated of {found.n_rows} rows"
         )
+
+
+def checked_in_order(ranged: DataFrame, key: str) -> DataFrame:
+    """``ranged``, which is dealt out in ranges of ``key``, sorted on it within each; reading it fails at a null key and at
+    the second row of a repeated one.
+
+    Rows of one key are in one range, so the rule is checked in the sorted stream, without another shuffle.
+    """
+    by_key = Window.partitionBy(named(key)).orderBy(named(key))
+    broken = named(key).isNull() | (F.col(_PLACE) > 1)
+    held = F.when(broken, F.raise_error(F.lit(_BROKEN)).cast("boolean")).otherwise(F.lit(True))
+    return ranged.withColumn(_PLACE, F.row_number().over(by_key)).where(held).drop(_PLACE)
+
+
+def says_broken(error: PySparkException) -> bool:
+    """Whether a job failed by :func:`checked_in_order`."""
+    return _BROKEN in str(error)

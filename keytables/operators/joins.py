@@ -26,6 +26,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from keytables.functions.columns import named as _col
 from keytables.operators.order import sort_table
+from keytables.operators.prefilter import may_match
 from keytables.operators.size import (
     BROADCAST_MAX_BYTES,
     BROADCAST_MAX_ROWS,
@@ -55,6 +56,7 @@ def join_tables(
     num_partitions: int | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    prefilter_bytes: int = 0,
 ) -> DataFrame:
     """Join on all columns of ``on``; the keys come first, once. Null keys match nothing.
 
@@ -72,6 +74,11 @@ def join_tables(
 
     A column name that both sides hold besides the keys is an error, unless ``suffix`` is given for
     the right side's column.
+
+    ``prefilter_bytes`` is for keys too many to broadcast that few rows match: an ``inner`` or ``right`` join that does not
+    broadcast a side by itself leaves out left rows by :func:`may_match` before they are shuffled, a ``left`` join
+    right rows. Its filter takes at most so many bytes; the side it is made of is read once more. A full
+    join keeps all rows and takes none.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not keys:
@@ -98,6 +105,11 @@ def join_tables(
             return _broadcast_join(left, right, keys, how)
         if _LIGHTER * weights[0] <= weights[1] and how in ("inner", "right") and listed_as_small(left, None, *limits):
             return F.broadcast(left).join(right, on=keys, how=how)
+    if prefilter_bytes > 0 and how in ("inner", "right"):
+        left = may_match(left, right, keys, prefilter_bytes)
+    elif prefilter_bytes > 0 and how == "left":
+        right = may_match(right, left, keys, prefilter_bytes)
+    if strategy == "auto":
         return left.join(right, on=keys, how=how)
     return _shuffle_join(left, right, keys, how, num_partitions)
 
@@ -113,6 +125,7 @@ def psi_join(
     num_partitions: int | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    prefilter_bytes: int = 0,
 ) -> DataFrame:
     """Join a keyed table with a returned set of keys and sort the result on ``order_by``, ascending.
 
@@ -129,6 +142,7 @@ def psi_join(
         num_partitions,
         broadcast_max_rows,
         broadcast_max_bytes,
+        prefilter_bytes,
     )
     return joined if order_by is None else sort_table(joined, order_by)
 

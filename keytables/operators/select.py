@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keytables.functions.columns import columns_of, named
 from keytables.functions.keys import HASH_COLUMN, hash_key
+from keytables.operators.prefilter import may_match
 from keytables.operators.size import (
     BROADCAST_MAX_BYTES,
     BROADCAST_MAX_ROWS,
@@ -56,6 +57,7 @@ def key_filter(
     multiplicity: str = "semi",
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    prefilter_bytes: int = 0,
 ) -> DataFrame:
     """Keep the rows whose column value is in the key table, for each (column, key table) pair.
 
@@ -69,6 +71,9 @@ def key_filter(
     anyhow, ``semi`` makes the keys distinct, with a partial aggregation before the shuffle. That leaves
     ``df`` as the only side that can be skewed, and adaptive execution splits that side of a semi join,
     or either side of an inner one. ``broadcast_max_rows=0`` counts nothing.
+
+    ``prefilter_bytes`` is for lists too long to broadcast that few rows match: a filter of at most so many bytes leaves
+    out most other rows of ``df`` before they are shuffled, see :func:`may_match`.
     """
     if multiplicity not in ("semi", "inner"):
         raise ValueError(f"multiplicity must be semi or inner, not {multiplicity!r}")
@@ -77,8 +82,11 @@ def key_filter(
         values = table.select(named(column) if column in table.columns else column)
         if listed_as_small(table, values, broadcast_max_rows, broadcast_max_bytes):
             values = F.broadcast(values)
-        elif multiplicity == "semi" and not left_to_spark(values):
-            values = values.distinct()
+        elif not left_to_spark(values):
+            if prefilter_bytes > 0:
+                df = may_match(df, values, column, prefilter_bytes)
+            if multiplicity == "semi":
+                values = values.distinct()
         df = df.join(values, on=column, how=how)
     return df
 

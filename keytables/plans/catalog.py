@@ -28,6 +28,7 @@ from keytables.operators import (
     where,
     write_sorted,
 )
+from keytables.operators.prefilter import PREFILTER_MAX_BYTES
 from keytables.plans import jobs
 from keytables.sources import (
     export_key_column,
@@ -341,6 +342,28 @@ def join_suffix(spark, folder):
     return join_tables(_table(spark, folder, "documents"), items, "doc_id", suffix="_item")
 
 
+@_query(
+    "SELECT l.* EXCLUDE (l_orderkey), l_orderkey AS o_orderkey, o.o_custkey, o.o_totalprice FROM lineitem l"
+    " JOIN (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= 495000) o"
+    " ON l.l_orderkey = o.o_orderkey"
+)
+def join_prefiltered(spark, folder):
+    orders = where(_table(spark, folder, "orders"), "o_totalprice >= 495000")
+    dearest = project(orders, ["o_orderkey", "o_custkey", "o_totalprice"])
+    lines = _lines_by_order(spark, folder)
+    return join_tables(lines, dearest, "o_orderkey", strategy="shuffle", prefilter_bytes=PREFILTER_MAX_BYTES)
+
+
+@_query(
+    "SELECT * FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_retailprice < 901)"
+)
+def key_filter_prefiltered(spark, folder):
+    parts = where(_table(spark, folder, "part"), "p_retailprice < 901")
+    keys = {"l_partkey": parts.select(F.col("p_partkey").alias("l_partkey"))}
+    lines = _table(spark, folder, "lineitem")
+    return key_filter(lines, keys, broadcast_max_rows=0, prefilter_bytes=PREFILTER_MAX_BYTES)
+
+
 # Hash keys.
 
 

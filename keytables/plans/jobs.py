@@ -50,6 +50,8 @@ def arrow_saver(path: str, mode: str = "overwrite") -> Saver:
         write_arrow(df, path, mode)
         return lambda columns=None: read_arrow(df.sparkSession, path, columns)
 
+    # The files of a write that fails never count.
+    save.publishes_whole = True
     return save
 
 
@@ -93,6 +95,7 @@ def query_job(
     read_columns: Sequence[str] | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    prefilter_bytes: int = 0,
 ) -> DataFrame:
     """Rows whose ``in_columns`` values are in the respective key tables, projected.
 
@@ -107,6 +110,7 @@ def query_job(
         keys,
         broadcast_max_rows=broadcast_max_rows,
         broadcast_max_bytes=broadcast_max_bytes,
+        prefilter_bytes=prefilter_bytes,
     )
     return project(kept, columns, exprs, distinct)
 
@@ -162,6 +166,7 @@ def join_job(
     num_partitions: int | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    prefilter_bytes: int = 0,
 ) -> DataFrame:
     return join_tables(
         load(spark, table),
@@ -173,6 +178,7 @@ def join_job(
         num_partitions,
         broadcast_max_rows,
         broadcast_max_bytes,
+        prefilter_bytes,
     )
 
 
@@ -207,6 +213,7 @@ def psi_job(
     save: Saver | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    prefilter_bytes: int = 0,
 ) -> DataFrame:
     """The keyed table joined with the returned keys, in the order of its primary key ``order_by``.
 
@@ -224,6 +231,7 @@ def psi_job(
         num_partitions=num_partitions,
         broadcast_max_rows=broadcast_max_rows,
         broadcast_max_bytes=broadcast_max_bytes,
+        prefilter_bytes=prefilter_bytes,
     )
     if save is not None:
         with scratch_table(joined, "psi") as written:

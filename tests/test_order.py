@@ -65,3 +65,65 @@ def test_nothing_is_written_when_the_key_is_broken(spark):
     with pytest.raises(KeyContractError):
         write_sorted(df, "a", lambda _: pytest.fail("written"))
     assert write_sorted(df, "a", lambda d: d.count(), check=False) == 2
+
+
+def evaluations(spark, rows, build):
+    """How often ``build`` reads each of the table's ``rows``."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    build(spark.range(0, rows, 1, 4).selectExpr("(id * 7919) % 100003 AS k").mapInPandas(count, "k long"))
+    return seen.value / rows
+
+
+def test_the_rule_is_checked_while_writing(spark, tmp_path):
+    def written(name, whole):
+        save = jobs.arrow_saver(str(tmp_path / name))
+        save.publishes_whole = whole
+        return evaluations(spark, 20_000, lambda df: write_sorted(df, "k", save, num_partitions=4))
+
+    assert written("before", False) - written("streamed", True) == 1
+    a, b = (read_arrow(spark, str(tmp_path / n)).collect() for n in ("before", "streamed"))
+    assert a == b
+
+
+def test_no_shuffle_is_added_by_the_check(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    plan.publishes_whole = True
+    for n in (None, 4):
+        text = write_sorted(orders, "o_orderkey", plan, num_partitions=n)
+        assert text.count("Exchange") == 1 and "rangepartitioning" in text and text.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("num_partitions", [None, 1, 6])
+@pytest.mark.parametrize("broken", ["repeat", "null"])
+def test_nothing_is_published_when_one_key_is_broken(spark, tmp_path, num_partitions, broken):
+    path = str(tmp_path / "kept")
+    whole = spark.range(0, 3000, 1, 6).selectExpr("id AS k", "'v' AS v")
+    save = jobs.arrow_saver(path)
+    write_sorted(whole, "k", save, num_partitions)
+    for key in ("500", "1000", "2999") if broken == "repeat" else ("CAST(NULL AS LONG)",):
+        bad = whole.union(spark.range(1).selectExpr(f"{key} AS k", "'again' AS v"))
+        found = "0 null and 1 repeated" if broken == "repeat" else "1 null and 0 repeated"
+        with pytest.raises(KeyContractError, match=found):
+            write_sorted(bad, "k", save, num_partitions)
+    assert read_arrow(spark, path).collect() == whole.collect()
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "binary", "date", "decimal(12,2)", "timestamp"])
+def test_every_kind_of_key(spark, tmp_path, kind):
+    key = "DATE '2000-01-01' + CAST(id AS INT)" if kind in ("date", "timestamp") else "CAST(id AS STRING)"
+    df = spark.range(0, 500, 1, 3).selectExpr(f"CAST({key} AS {kind}) AS `a.k`")
+    save = jobs.arrow_saver(str(tmp_path / "t"))
+    got = write_sorted(df, "a.k", save, num_partitions=3)(None).collect()
+    assert got == df.sort("`a.k`").collect()
+    with pytest.raises(KeyContractError):
+        write_sorted(df.union(df.limit(1)), "a.k", save, num_partitions=3)
