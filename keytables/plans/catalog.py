@@ -7,6 +7,8 @@ scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,8 @@ from keytables.operators import (
 from keytables.operators.prefilter import PREFILTER_MAX_BYTES
 from keytables.plans import jobs
 from keytables.sources import (
+    edge_predicates,
+    even_edges,
     export_key_column,
     read_arrow,
     scratch_path,
@@ -562,6 +566,16 @@ def jdbc_slices(spark, folder):
     return group_count(held, ["slice"])
 
 
+@_query("SELECT l_orderkey, l_linenumber, l_suppkey, 1 AS n_slices FROM lineitem")
+def jdbc_even_slices(spark, folder):
+    """How many of the ranges, cut by a sample of the keys, select each row: one. No database is read."""
+    lines = _table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    edges = even_edges(lines.sample(min(1.0, 20_000 / max(lines.count(), 1))), "l_suppkey", 10)
+    ranges = edge_predicates("l_suppkey", edges, "numeric")
+    tests = [F.coalesce(F.expr(p.replace('"', "`")).cast("long"), F.lit(0)) for p in ranges]
+    return lines.withColumn("n_slices", reduce(add, tests))
+
+
 # Whole jobs.
 
 

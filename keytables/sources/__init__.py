@@ -2,6 +2,8 @@
 
 from keytables.sources.arrow_ipc import read_arrow, register, write_arrow
 from keytables.sources.jdbc import (
+    edge_predicates,
+    even_edges,
     jdbc_column_types,
     jdbc_options,
     read_jdbc_hashed,
@@ -14,6 +16,8 @@ from keytables.sources.scratch import remove_scratch, scratch_path, scratch_tabl
 
 __all__ = [
     "export_key_column",
+    "edge_predicates",
+    "even_edges",
     "jdbc_column_types",
     "jdbc_options",
     "read_arrow",

@@ -14,7 +14,10 @@ import uuid
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from keytables.functions.columns import named
 
 # URL prefix and driver class per database, and the numbers they also go by.
 _DATABASES = {
@@ -23,6 +26,8 @@ _DATABASES = {
 }
 _DATABASE_NUMBERS = {"1": "mysql", "2": "kingbase"}
 DEFAULT_SLICES = 10
+# The databases' functions for a random number from 0 to 1.
+_RANDOM = {"mysql": "RAND()", "kingbase": "RANDOM()"}
 
 # Rows per round trip. Without a cursor MySQL's driver holds a whole slice in memory.
 _FETCH = {"fetchsize": "10000"}
@@ -78,9 +83,23 @@ def range_predicates(
     """
     if num_slices < 1:
         raise ValueError("num_slices must be at least 1")
+    edges = _edges(low, high, num_slices) if low is not None and high is not None else []
+    return edge_predicates(key, edges, dialect, nulls_by, num_slices)
+
+
+def edge_predicates(
+    key: str,
+    edges: Sequence[object],
+    dialect: str,
+    nulls_by: str | None = None,
+    null_slices: int = DEFAULT_SLICES,
+) -> list[str]:
+    """Conditions for the ranges that begin at each of the ascending ``edges``, the one before the first, and null
+    keys: one slice, or ``null_slices`` by the hash of ``nulls_by`` and one for those in which it is null as well."""
     dialect = _DATABASE_NUMBERS.get(dialect, dialect)
     (name,) = _quoted([key], dialect)
-    edges = _edges(low, high, num_slices) if low is not None and high is not None else []
+    for edge in edges:
+        _check_kind(edge)
     shown = [_literal(e) for e in edges]
     if not shown:
         slices = [f"{name} IS NOT NULL"]
@@ -90,13 +109,41 @@ def range_predicates(
         slices.append(f"{name} >= {shown[-1]}")
     if nulls_by is None:
         return [*slices, f"{name} IS NULL"]
-    return slices + [f"{name} IS NULL AND {p}" for p in slice_predicates(nulls_by, num_slices, dialect)]
+    return slices + [f"{name} IS NULL AND {p}" for p in slice_predicates(nulls_by, null_slices, dialect)]
+
+
+def even_edges(sample: DataFrame, key: str, num_slices: int) -> list:
+    """The values at which ranges of about equally many rows begin, by a bounded sample of the key column.
+
+    All rows of a value fall in one range. A value of more than an even share has a range to itself, so there may be more
+    than ``num_slices`` of them, but fewer than twice as many. Of the sample itself, no other range holds more than
+    two even shares. The sample is put in order in one task.
+    """
+    if num_slices < 1:
+        raise ValueError("num_slices must be at least 1")
+    counts = sample.select(named(key).alias("k")).where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    in_order = Window.orderBy("k")
+    every = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = counts.select(
+        "k",
+        "n",
+        F.sum("n").over(every).alias("total"),
+        F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+    )
+    shares = sums.select(
+        "k",
+        F.floor(F.col("before") * num_slices / F.col("total")).alias("share"),
+        (F.col("n") * num_slices > F.col("total")).alias("heavy"),
+    )
+    # The least value has none before it, and the first range begins there by itself.
+    further = F.col("share") > F.coalesce(F.lag("share").over(in_order), F.lit(0))
+    begins = F.col("share").isNotNull() & (F.col("heavy") | further)
+    return [row.k for row in shares.select("k", begins.alias("begins")).where("begins").sort("k").collect()]
 
 
 def _edges(low: object, high: object, n: int) -> list:
     """The distinct values at which slices after the first begin."""
-    if isinstance(low, datetime.datetime) or not isinstance(low, (int, Decimal, datetime.date)):
-        raise ValueError(f"ranges need an integer, decimal or date column, not {type(low).__name__}")
+    _check_kind(low)
     days = isinstance(low, datetime.date)
     a, b = (v.toordinal() if days else v for v in (low, high))
     exact = isinstance(a, int) and isinstance(b, int)
@@ -104,6 +151,11 @@ def _edges(low: object, high: object, n: int) -> list:
     return [datetime.date.fromordinal(v) for v in found] if days else found
 
 
+def _check_kind(value: object) -> None:
+    if isinstance(value, datetime.datetime) or not isinstance(value, (int, Decimal, datetime.date)):
+        raise ValueError(f"ranges need an integer, decimal or date column, not {type(value).__name__}")
+
+
 def _literal(value: object) -> str:
     return f"DATE '{value.isoformat()}'" if isinstance(value, datetime.date) else str(value)
 
@@ -117,15 +169,32 @@ def read_jdbc_ranged(
     dialect: str | None = None,
     properties: Mapping[str, str] | None = None,
     nulls_by: str | None = None,
+    sample_rows: int = 0,
 ) -> DataFrame:
     """A whole table, read in ranges of an integer, decimal or date column.
 
     The database is asked for the column's least and greatest value first. Prefer this to
     :func:`read_jdbc_hashed` where the column has an index, which a hash cannot use: there every slice is a
-    scan of the table. Unevenly spread values make uneven slices.
+    scan of the table. Ranges are of equal width, so unevenly spread values make uneven slices; with ``sample_rows`` they
+    are of about equally many rows instead, by a random sample of about so many keys, which the database draws
+    in a scan of the column. The sample decides where slices begin only, not which rows are read.
     """
     dialect = _dialect(url, dialect)
     (name,) = _quoted([key], dialect)
+    if sample_rows > 0:
+        if dialect not in _RANDOM:
+            raise ValueError(f"a sample needs a dialect of {', '.join(_RANDOM)}, not {dialect!r}")
+        total = read_jdbc_query(spark, url, f"SELECT COUNT({name}) AS n FROM {table}", properties).first()[0]
+        drawn = f"SELECT {name} AS k FROM {table} WHERE {name} IS NOT NULL"
+        if total > sample_rows:
+            drawn += f" AND {_RANDOM[dialect]} < {sample_rows / total:.12f}"
+        edges = even_edges(read_jdbc_query(spark, url, drawn, properties), "k", num_partitions)
+        return spark.read.jdbc(
+            url=url,
+            table=table,
+            predicates=edge_predicates(key, edges, dialect, nulls_by, num_partitions),
+            properties={**_fetching(dialect), **(properties or {})},
+        )
     ends = read_jdbc_query(spark, url, f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}", properties)
     low, high = ends.first()
     return spark.read.jdbc(

@@ -2,6 +2,7 @@
 
 import datetime
 import zlib
+from collections import Counter
 from unittest import mock
 
 import pytest
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 from keytables.sources import jdbc
 from keytables.sources.jdbc import (
     create_types,
+    edge_predicates,
+    even_edges,
     jdbc_column_types,
     jdbc_options,
     range_predicates,
@@ -142,6 +145,70 @@ def test_ranged_reads_ask_for_the_ends_first():
     assert session.read.jdbc.call_args.kwargs["predicates"] == range_predicates("k", 0, 9, 3, "mysql")
 
 
+@settings(deadline=None, max_examples=8)
+@given(
+    st.lists(st.none() | st.integers(-3, 3) | st.integers(0, 40) | st.integers(-(2**62), 2**62), max_size=80),
+    st.integers(1, 9),
+)
+def test_even_ranges_hold_two_shares_or_one_value(spark, values, n):
+    df = spark.createDataFrame([(v,) for v in values], "k long")
+    edges = even_edges(df, "k", n)
+    assert edges == sorted(set(edges)) and len(edges) < 2 * n
+    held = {}
+    for row in hits(spark, df, edge_predicates("k", edges, "numeric")):
+        assert sum(row.hit) == 1
+        held.setdefault(row.hit.index(1), []).append(row.k)
+    known = [v for v in values if v is not None]
+    for keys in held.values():
+        assert None in keys or len(set(keys)) == 1 or len(keys) <= 2 * len(known) / n
+
+
+def test_even_ranges_of_a_sample_of_a_skewed_key(spark):
+    # A third of the rows on one value, the others ever sparser.
+    df = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 500 ELSE CAST(pow(id / 1000, 4) AS LONG) END AS k")
+    edges = even_edges(df.sample(0.1, 7), "k", 20)
+    sizes = Counter(row.hit.index(1) for row in hits(spark, df, edge_predicates("k", edges, "mysql")))
+    ranked = sorted(sizes.values())
+    assert 20_000 <= ranked[-1] < 20_100 and ranked[-2] < 2.2 * 3000
+    wide = range_predicates("k", 0, 60**4, 20, "mysql")
+    assert max(Counter(row.hit.index(1) for row in hits(spark, df, wide)).values()) > 1.5 * ranked[-1]
+
+
+def test_edges_of_other_kinds(spark):
+    days = spark.createDataFrame([(datetime.date(2020, 1, 1 + i),) for i in range(4)], "k date")
+    assert edge_predicates("k", even_edges(days, "k", 2), "2")[0] == "\"k\" < DATE '2020-01-03'"
+    assert edge_predicates("k", [], "mysql") == ["`k` IS NOT NULL", "`k` IS NULL"]
+    assert len(edge_predicates("k", [1], "mysql", "j", 4)) == 2 + 5
+    with pytest.raises(ValueError, match="integer, decimal or date"):
+        edge_predicates("k", ["a"], "mysql")
+    with pytest.raises(ValueError, match="at least 1"):
+        even_edges(days, "k", 0)
+
+
+def test_a_sampled_read_draws_keys_in_the_database(spark):
+    queries = []
+
+    class Reader(mock.MagicMock):
+        def options(self, **given):
+            queries.append(given["query"])
+            answer = [(1000,)] if "COUNT" in given["query"] else [(v,) for v in range(10)]
+            loaded = mock.MagicMock()
+            loaded.load.return_value = spark.createDataFrame(answer, "k long")
+            return loaded
+
+    session = mock.MagicMock()
+    reader = Reader()
+    session.read.format.return_value = reader
+    read_jdbc_ranged(session, "jdbc:mysql://h/d", "t", "k", 2, sample_rows=100)
+    assert queries == [
+        "SELECT COUNT(`k`) AS n FROM t",
+        "SELECT `k` AS k FROM t WHERE `k` IS NOT NULL AND RAND() < 0.100000000000",
+    ]
+    assert session.read.jdbc.call_args.kwargs["predicates"] == ["`k` < 5", "`k` >= 5", "`k` IS NULL"]
+    with pytest.raises(ValueError, match="a sample needs"):
+        read_jdbc_ranged(session, "jdbc:x", "t", "k", 2, "numeric", sample_rows=100)
+
+
 def test_reads_are_left_to_spark():
     session = mock.MagicMock()
     read_jdbc_hashed(session, "jdbc:x", "t", "k", 2, "numeric", {"user": "me"})
