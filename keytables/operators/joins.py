@@ -9,7 +9,8 @@ key on either side of an inner join, but only on the preserved side of a left or
 neither side of a full one. For such keys there is the ``shuffle`` form: ``left``, ``right`` and ``outer`` are
 put together from an inner join and the unmatched rows of each preserved side. The unmatched rows
 come from an anti join against the *distinct* keys of the other side, which are reduced within each
-task before they are shuffled. Every part can then be split.
+task before they are shuffled. Every part can then be split. The ``skew`` form does the same, but puts a full join
+together as one join: it takes a sketch of both sides' keys first, and deals out hot ones over several tasks.
 
 The broadcast and shuffle forms read an input more than once, so inputs must give the same rows each
 time. Write one that does not (``rand()``, ``limit`` without order) to a table first.
@@ -37,10 +38,14 @@ from keytables.operators.size import (
 )
 
 JOIN_TYPES = ("inner", "left", "right", "outer")
-STRATEGIES = ("auto", "broadcast", "shuffle")
+STRATEGIES = ("auto", "broadcast", "shuffle", "skew")
 
 _SALT_L, _SALT_R = "__keytables_salt_l", "__keytables_salt_r"
 _FAN_L, _FAN_R = "__keytables_fan_l", "__keytables_fan_r"
+_COPY_L, _COPY_R = "__keytables_copy_l", "__keytables_copy_r"
+# A full join's sketch names at most so many hot keys of a side, and follows so many.
+_NAMED_KEYS = 1_024
+_FOLLOWED_KEYS = 16 * _NAMED_KEYS
 _FINER = 8
 # A side is broadcast if the other one is so many times as heavy; else shuffling both costs about as little.
 _LIGHTER = 2
@@ -71,6 +76,8 @@ def join_tables(
     - ``shuffle``: both sides are shuffled on the keys and no size is measured. ``num_partitions`` pins
       the partition count; adaptive execution does not touch a pinned layout, so the commonest keys of
       each side are counted, and hot ones salted.
+    - ``skew``: as ``shuffle``, but a full join without ``num_partitions`` reads each side once, after a job that takes a
+      sketch of the frequent keys and, if there are hot ones, a job that counts those (:func:`_full_join`).
 
     A column name that both sides hold besides the keys is an error, unless ``suffix`` is given for
     the right side's column.
@@ -111,6 +118,8 @@ def join_tables(
         right = may_match(right, left, keys, prefilter_bytes)
     if strategy == "auto":
         return left.join(right, on=keys, how=how)
+    if strategy == "skew" and how == "outer" and num_partitions is None:
+        return _full_join(left, right, keys)
     return _shuffle_join(left, right, keys, how, num_partitions)
 
 
@@ -263,6 +272,61 @@ def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], n: int) ->
     return left.join(right.hint("merge"), on=salted_keys, how="inner").drop(_SALT_L, _SALT_R)
 
 
+def _full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """The plain full join, unless a key has more rows of a side than an even partition.
+
+    Then it is one full join still, on the keys and two salts, and each side is read once in it. A hot key's rows of a
+    side are dealt out, and the other side's rows of that key repeated once per share. A repeated row without a
+    partner in one share has one in another, as the hot key exists, so these are left out. Null keys meet nothing,
+    so their rows are dealt out freely.
+    """
+    n = min(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), _NAMED_KEYS)
+    hot = _hot_by_sketch(left, right, keys, n)
+    if hot is None:
+        return left.join(right, on=keys, how="outer")
+    left = _salt(left, hot, keys, (_SALT_L, _FAN_L), (_SALT_R, _FAN_R), copied=_COPY_L, nulls=n * _FINER)
+    right = _salt(right, hot, keys, (_SALT_R, _FAN_R), (_SALT_L, _FAN_L), copied=_COPY_R, nulls=n * _FINER)
+    joined = left.join(right.hint("merge"), on=[*keys, _SALT_L, _SALT_R], how="outer")
+    # A side's mark is null where that side has no row.
+    spare = (_col(_COPY_L) & _col(_COPY_R).isNull()) | (_col(_COPY_R) & _col(_COPY_L).isNull())
+    return joined.where(~F.coalesce(spare, F.lit(False))).drop(_SALT_L, _SALT_R, _COPY_L, _COPY_R)
+
+
+def _hot_by_sketch(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame | None:
+    """The keys of which a side has more than an ``n``-th of its rows, as :func:`_hot_keys` gives them. None if there
+    are none, nor a null key's; empty if only null keys are hot.
+
+    One job takes a sketch of frequent hashes of both sides' keys. Only if it names one, a second job counts the keys with
+    such a hash, so that no two keys are taken for one. Both read the key columns alone.
+    """
+    joined = left.select(*_cols(keys)).join(right.select(*_cols(keys)), on=keys, how="outer").schema
+    typed = [_col(k).cast(joined[k].dataType).alias(k) for k in keys]
+    some_null = reduce(lambda a, b: a | b, [_col(k).isNull() for k in keys])
+    hashed = [
+        df.select(*typed).select(*_cols(keys), F.when(~some_null, F.xxhash64(*_cols(keys))).alias("hash"), F.lit(side).alias("side"))
+        for side, df in enumerate((left, right))
+    ]
+    top = F.expr(f"approx_top_k(hash, {_NAMED_KEYS}, {_FOLLOWED_KEYS})")
+    both = hashed[0].unionByName(hashed[1])
+    sketches = both.groupBy("side").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("hash").alias("keyed"), top.alias("top")
+    ).collect()
+    totals = {s["side"]: s["n_rows"] for s in sketches}
+    share = [max(totals.get(side, 0) // n, 1) for side in (0, 1)]
+    nulls = any(s["n_rows"] - s["keyed"] > share[s["side"]] for s in sketches)
+    named = {t["item"] for s in sketches for t in s["top"] if t["item"] is not None and t["count"] > share[s["side"]]}
+    if not named:
+        return _fans([], joined, keys, share, left) if nulls else None
+    few = F.broadcast(left.sparkSession.createDataFrame([(h,) for h in sorted(named)], "hash long"))
+    counts = (
+        both.join(few, on="hash", how="left_semi")
+        .groupBy(*_cols(keys))
+        .agg(*(F.count(F.when(F.col("side") == side, 1)).alias(f) for side, f in enumerate((_FAN_L, _FAN_R))))
+    )
+    rows = counts.where((F.col(_FAN_L) > share[0]) | (F.col(_FAN_R) > share[1])).collect()
+    return _fans(rows, joined, keys, share, left) if rows or nulls else None
+
+
 def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> DataFrame | None:
     """The hot keys of either side, fewer than ``2 * n``, with how many shares each side's rows are to have.
 
@@ -283,8 +347,13 @@ def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> Dat
     share = [max(total // n, 1) for total in totals]
     counts = both.groupBy(*_cols(keys)).agg(*(F.sum(c).alias(c) for c in (_FAN_L, _FAN_R)))
     rows = counts.where((F.col(_FAN_L) > share[0]) | (F.col(_FAN_R) > share[1])).collect()
-    if not rows:
-        return None
+    return _fans(rows, joined, keys, share, left) if rows else None
+
+
+def _fans(
+    rows: Sequence[tuple], joined: StructType, keys: list[str], share: Sequence[int], left: DataFrame
+) -> DataFrame:
+    """A table of hot keys, each with the number of shares of either side's rows; ``rows`` are the key and both counts."""
     fanned = []
     for *key, count_l, count_r in rows:
         fans = [-(-c // s) if c > s else 1 for c, s in zip((count_l, count_r), share, strict=True)]
@@ -297,16 +366,28 @@ def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], n: int) -> Dat
 
 
 def _salt(
-    df: DataFrame, hot: DataFrame, keys: list[str], own: tuple[str, str], other: tuple[str, str]
+    df: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    own: tuple[str, str],
+    other: tuple[str, str],
+    copied: str | None = None,
+    nulls: int = 1,
 ) -> DataFrame:
+    """``df`` with its own and the other side's salt; ``copied`` tells rows that may be there more than once, and rows
+    with a null key get one of ``nulls`` salts."""
     (own_salt, own_fan), (other_salt, other_fan) = own, other
     # Maps have no hash in Spark; the rest of the row has to do then.
     held = [_col(f.name) for f in df.schema if f.name not in keys and "map<" not in f.dataType.simpleString()]
     spread = F.xxhash64(*held, F.spark_partition_id())
-    fanned = df.withColumn(own_salt, spread)
+    some_null = reduce(lambda a, b: a | b, [_col(k).isNull() for k in keys])
+    fanned = df.withColumn(own_salt, spread).join(F.broadcast(hot), on=keys, how="left")
+    if copied:
+        fanned = fanned.withColumn(copied, F.coalesce(F.col(other_fan) > 1, F.lit(False)))
     return (
-        fanned.join(F.broadcast(hot), on=keys, how="left")
-        .withColumn(own_salt, F.pmod(_col(own_salt), F.coalesce(F.col(own_fan), F.lit(1))))
+        fanned.withColumn(
+            own_salt, F.pmod(_col(own_salt), F.when(some_null, nulls).otherwise(F.coalesce(F.col(own_fan), F.lit(1))))
+        )
         .withColumn(
             other_salt,
             F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other_fan), F.lit(1)).cast("long") - 1)),

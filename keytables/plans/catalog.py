@@ -329,6 +329,20 @@ def join_outer_shuffle(spark, folder):
     return _with_digest(join_tables(_vectors(spark, folder), labels, "doc_id", "outer", "shuffle"))
 
 
+# A third of the lines, those without a real part, share one key.
+_CROWDED = "CASE WHEN l_linenumber % 3 = 1 THEN -1 ELSE l_partkey END AS p_partkey, l_orderkey, l_linenumber, l_quantity"
+
+
+@_query(
+    f"SELECT p_partkey, l_orderkey, l_linenumber, l_quantity, p_name, p_size FROM (SELECT {_CROWDED} FROM lineitem)"
+    " FULL JOIN (SELECT p_partkey, p_name, p_size FROM part WHERE p_size > 10) USING (p_partkey)"
+)
+def join_outer_skew(spark, folder):
+    lines = _table(spark, folder, "lineitem").selectExpr(*_CROWDED.split(", "))
+    parts = _table(spark, folder, "part").where("p_size > 10").select("p_partkey", "p_name", "p_size")
+    return join_tables(lines, parts, "p_partkey", "outer", "skew")
+
+
 @_query(
     f"SELECT l.*, p.n_returned FROM lineitem l JOIN ({_RETURNED_PAIRS}) p USING (l_partkey, l_suppkey)"
 )

@@ -354,3 +354,68 @@ def test_the_lighter_side_is_broadcast(spark, tmp_path, how):
     assert started == (0 if how in ("left", "outer") else jobs_started(spark, f"size-{how}", lambda: fits_broadcast(light)))
     equal = join_tables(heavy, read_arrow(spark, str(tmp_path / "heavy")), "k", how, suffix="_right")
     assert "BroadcastExchange" not in plan(equal)
+
+
+def sketched(a, b, on):
+    got = join_tables(a, b, on, "outer", "skew")
+    return got, "salt" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", [*KEYS, "two columns"])
+def test_a_full_join_by_sketch_for_keys_of_any_type(spark, kind):
+    at_left, at_right = [0] * 40 + [1] * 25 + [2] * 3 + [3, 4, None], [0] * 20 + [2] * 30 + [1] * 2 + [4, 4, None]
+    if kind == "two columns":
+        doubles = KEYS["double"][1]
+        make = lambda places, v: spark.createDataFrame(
+            [(None if i is None else doubles[i], None if i == 1 else f"k{i}", n) for n, i in enumerate(places)], f"k double, m string, {v} int"
+        )
+        on = ["k", "m"]
+    else:
+        type_, values = KEYS[kind]
+        make = lambda places, v: spark.createDataFrame(
+            [(None if i is None else values[i], n) for n, i in enumerate(places)], f"k {type_}, {v} int"
+        )
+        on = ["k"]
+    a, b = make(at_left, "v"), make(at_right, "w")
+    got, salted = sketched(a, b, on)
+    want = a.join(b, on, "outer")
+    assert salted and got.dtypes == want.dtypes
+    assert rows(got.select("v", "w")) == rows(want.select("v", "w"))
+    assert rows(got.selectExpr("to_json(struct(*))")) == rows(want.selectExpr("to_json(struct(*))"))
+
+
+@settings(deadline=None, max_examples=8)
+@given(st.lists(st.none() | st.integers(0, 3), max_size=60), st.lists(st.none() | st.integers(0, 4), max_size=60))
+def test_full_joins_by_sketch_of_two_hot_sides(spark, lefts, rights):
+    a = spark.createDataFrame(list(enumerate(lefts)), "v int, k int")
+    b = spark.createDataFrame(list(enumerate(rights)), "w int, k long")
+    got = join_tables(a, b, "k", "outer", "skew")
+    want = a.join(b, "k", "outer")
+    assert got.dtypes == want.dtypes
+    assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("hot_value", ["7", "NULL", "-1"])
+def test_a_third_of_rows_on_one_key_of_a_full_join_is_dealt_out(spark, hot_value):
+    """A key that both sides have, that no row has, and that the left side alone has."""
+    a = spark.range(60_000).selectExpr(f"IF(id % 3 = 0, {hot_value}, id) AS k", "id AS v")
+    b = spark.range(0, 90_000, 2).selectExpr("id + 7 AS k", "id AS w")
+    got, salted = sketched(a, b, "k")
+    assert salted
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the layout itself, before small tasks are merged
+    try:
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    want = a.join(b, "k", "outer")
+    assert sum(sizes) == want.count()
+    assert max(sizes) < 2 * sum(sizes) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows(got.agg(F.sum("k"), F.sum("v"), F.sum("w"), F.sum(F.hash("k", "v", "w")))) == rows(
+        want.agg(F.sum("k"), F.sum("v"), F.sum("w"), F.sum(F.hash("k", "v", "w")))
+    )
+
+
+def test_a_full_join_by_sketch_stays_plain_without_a_hot_key(spark, even):
+    other = even.withColumnRenamed("w", "v")
+    got, salted = sketched(other, even, "k")
+    assert not salted and rows(got) == rows(other.join(even, "k", "outer"))
