@@ -36,11 +36,14 @@ from keytables.sources import (
     edge_predicates,
     even_edges,
     export_key_column,
+    kept_rows,
     read_arrow,
     scratch_path,
     slice_predicates,
+    stage_rows,
     write_arrow,
 )
+from keytables.sources.staging import TOLD
 
 
 class Query(NamedTuple):
@@ -643,6 +646,16 @@ def arrow_range(spark, folder):
     return read_arrow(spark, path, between={"o_orderkey": (1000, 2500)})
 
 
+@_query("SELECT * FROM lineitem")
+def staged_write(spark, folder):
+    """Every task of the write committed twice, and once without its end."""
+    path = scratch_path(spark, "staged")
+    runs = [stage_rows(_table(spark, folder, "lineitem")) for _ in range(3)]
+    for run in (runs[0].where(f"{TOLD} IS NULL"), *runs[1:]):
+        run.write.mode("append").parquet(path)
+    return kept_rows(spark.read.parquet(path))
+
+
 @_query(
     "SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem"
     " GROUP BY l_returnflag, l_linestatus"

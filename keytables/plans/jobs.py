@@ -30,6 +30,7 @@ from keytables.sources.jdbc import (
 )
 from keytables.sources.key_file import export_key_column
 from keytables.sources.scratch import scratch_table, write_scratch
+from keytables.sources.staging import kept_rows, stage_rows
 
 Source = DataFrame | str | Sequence[str]
 Reader = Callable[[Sequence[str] | None], DataFrame]
@@ -64,6 +65,7 @@ def jdbc_saver(
     properties: Mapping[str, str] | None = None,
     column_types: Mapping[str, str] | None = None,
     check: bool = True,
+    staged: bool = False,
 ) -> Saver:
     """Saves as a database table, to be read back in slices of ``key``.
 
@@ -71,12 +73,20 @@ def jdbc_saver(
     column that is to be a primary key needs one such as ``VARCHAR(64)``. With ``check`` the rows written
     are counted against those of the table given, which a task that ran twice would have doubled; a difference
     raises ``RuntimeError``. That counts the given table again, so hand a written one over.
+
+    ``staged`` makes repeated tasks harmless: the table has three more columns, by which what is read back holds each row
+    once, and :func:`~keytables.sources.staging.kept_sql` is the query to make the database's own table with. The number of
+    connections is that of ``df``'s partitions then.
     """
+    if staged and "numPartitions" in (properties or {}):
+        raise ValueError("a staged table is written by one task for each partition: repartition it instead")
 
     def save(df: DataFrame) -> Reader:
-        declared = {"column_types": {**jdbc_column_types(df), **column_types}} if column_types else {}
-        name = write_jdbc(df, url, table, properties=properties, **declared)
+        # Of the table given, as the staged one need not keep the lengths of its columns.
+        declared = {"column_types": {**jdbc_column_types(df), **(column_types or {})}} if column_types or staged else {}
+        name = write_jdbc(stage_rows(df) if staged else df, url, table, properties=properties, **declared)
         saved = read_jdbc_hashed(df.sparkSession, url, name, key, num_partitions, dialect, properties)
+        saved = kept_rows(saved) if staged else saved
         if check and (found := saved.count()) != (wanted := df.count()):
             raise RuntimeError(f"{name} has {found} rows, not the {wanted} written to it")
         return lambda columns=None: project(saved, columns)

@@ -12,7 +12,15 @@ from keytables.sources.jdbc import (
     write_jdbc,
 )
 from keytables.sources.key_file import export_key_column
-from keytables.sources.scratch import remove_scratch, scratch_path, scratch_table, write_scratch
+from keytables.sources.scratch import (
+    remove_scratch,
+    scratch_path,
+    scratch_scope,
+    scratch_table,
+    write_result,
+    write_scratch,
+)
+from keytables.sources.staging import kept_rows, kept_sql, stage_rows
 
 __all__ = [
     "export_key_column",
@@ -20,13 +28,18 @@ __all__ = [
     "even_edges",
     "jdbc_column_types",
     "jdbc_options",
+    "kept_rows",
+    "kept_sql",
     "read_arrow",
     "read_jdbc_hashed",
     "read_jdbc_query",
     "register",
     "scratch_path",
+    "scratch_scope",
     "slice_predicates",
+    "stage_rows",
     "write_arrow",
     "write_jdbc",
+    "write_result",
     "write_scratch",
 ]
