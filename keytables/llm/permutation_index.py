@@ -2,12 +2,13 @@
 
 Every vector is represented by its nearest pivots in order. It is posted, with the ranks of these pivots, in the
 inverted files of the first few. A query reads the files of its own nearest pivots, ranks what is in them by the
-Spearman footrule between the orders, and reranks the best by their distance.
+Spearman footrule between the orders, and reranks the best by their distance. A vector that several of these files hold
+is ranked in the first of them alone, so a query ranks no vector twice and can never do more than a scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -22,14 +23,14 @@ from keytables.sources.scratch import write_scratch
 
 class Settings(NamedTuple):
     """``pivots`` vectors of a sample; ``order`` nearest pivots represent a vector; ``post`` files hold it and ``visit``
-    are read for a query; of each ``block`` of a file, against so many queries (``ask_block``) in one go, the share ``rerank`` with the least footrule is measured, and
-    whatever ties with its last. Recall, not the answer's form, depends on them."""
+    are read for a query; of what is new in each ``block`` of a file, against so many queries (``ask_block``) in one go, the share ``rerank``
+    with the least footrule is measured, and whatever ties with its last. Recall, not the answer's form, depends on them."""
 
     pivots: int = 64
     order: int = 64
-    post: int = 6
+    post: int = 4
     visit: int = 20
-    rerank: float = 0.2
+    rerank: float = 0.3
     least_rerank: int = 64
     block: int = 4096
     ask_block: int = 1024
@@ -71,6 +72,14 @@ def footrules(query: np.ndarray, candidates: np.ndarray, query_order: np.ndarray
     return np.abs(places - query[query_order][None, :]).sum(axis=1, dtype=np.int32)
 
 
+def pivot_sets(orders: Sequence[np.ndarray] | np.ndarray, pivots: int) -> np.ndarray:
+    """A row of bits for each list of pivots, as 64-bit words."""
+    out = np.zeros((len(orders), -(-pivots // 64)), np.uint64)
+    for row, order in zip(out, orders):
+        np.bitwise_or.at(row, order // 64, np.uint64(1) << (order % 64).astype(np.uint64))
+    return out
+
+
 def nearest(query: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, float]]:
     """The ``k`` nearest, ties to the smaller id, the query's own row left out."""
     distance = np.sqrt(((x - query) ** 2).sum(axis=1))
@@ -139,13 +148,19 @@ def search(
             if asks.all() or not asks.any():
                 continue
             ids, x, near = group["vec_id"].to_numpy(), V.matrix(group["x"]), V.matrix(group["near"], np.int32)
-            mine, places = ~asks, ranks(near, len(pivots))
+            mine, places, queries_in = ~asks, ranks(near, len(pivots)), np.flatnonzero(asks)
             ids_in, x_in, places_in = ids[mine], x[mine], places[mine]
-            share = min(len(ids_in), max(settings.least_rerank, int(settings.rerank * len(ids_in))))
+            posted = pivot_sets(near[mine, :post], len(pivots))
+            # The files that each query reads before this one.
+            earlier = pivot_sets([near[q][: places[q, group["pivot"][0].as_py()]] for q in queries_in], len(pivots))
             out = []
-            for q in np.flatnonzero(asks):
-                far = footrules(places[q], places_in, near[q])
-                best = np.flatnonzero(far <= np.partition(far, share - 1)[share - 1])
+            for q, before in zip(queries_in, earlier):
+                new = np.flatnonzero(~(posted & before).any(axis=1))
+                if not len(new):
+                    continue
+                share = min(len(new), max(settings.least_rerank, int(settings.rerank * len(new))))
+                far = footrules(places[q], places_in[new], near[q])
+                best = new[far <= np.partition(far, share - 1)[share - 1]]
                 out += [(ids[q], *f) for f in nearest(x[q], x_in[best], ids_in[best], ids[q], k)]
             yield _found(out)
 

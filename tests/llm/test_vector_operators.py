@@ -137,3 +137,20 @@ def test_few_vectors_are_all_found(spark):
     got = permutation_index.search(table, table.where("vec_id < 2"), 10).orderBy("query_id", "rank").collect()
     for q in (0, 1):
         assert [r.vec_id for r in got if r.query_id == q] == [i for i, _ in _exact(x, q, 10, np.arange(7))]
+
+
+def test_a_candidate_is_ranked_in_its_first_file_alone(spark):
+    """Also with more pivots than a word of the sets has bits."""
+    orders = np.array([[0, 63, 64], [65, 1, 129]], np.int32)
+    sets = permutation_index.pivot_sets(orders, 130)
+    assert sets.shape == (2, 3)
+    bits = [[w * 64 + b for w in range(3) for b in range(64) if int(row[w]) >> b & 1] for row in sets]
+    assert bits == [[0, 63, 64], [1, 65, 129]]
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 6))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = table.where("vec_id % 90 = 0")
+    # With every file read and everything reranked, each vector is found, once.
+    whole = permutation_index.Settings(pivots=100, order=100, post=3, visit=100, rerank=1.0, least_rerank=900)
+    got = permutation_index.search(table, asked, 899, whole).groupBy("query_id").agg(F.count("vec_id").alias("n"), F.countDistinct("vec_id").alias("d"))
+    assert {(r.n, r.d) for r in got.collect()} == {(899, 899)}
