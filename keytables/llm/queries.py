@@ -26,7 +26,7 @@ from keytables.llm import (
     url_filters,
 )
 from keytables.llm.mixing import mix_sources, repetition_rates
-from keytables.sources.scratch import scratch_path
+from keytables.sources.scratch import scratch_path, write_result
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,7 +85,7 @@ _COMPONENTS = """
 )
 def op2_grid_join(spark, folder):
     """The near-duplicate group of every vector."""
-    return grid_join.link_vectors(_table(spark, folder, "embeddings"), 0.95)
+    return write_result(spark, "vector-links", lambda: grid_join.link_vectors(_table(spark, folder, "embeddings"), 0.95))
 
 
 @_query(
@@ -114,7 +114,7 @@ def op2_grid_join(spark, folder):
 )
 def op3_minhash_dedup(spark, folder):
     """The near-duplicate group of every document."""
-    return minhash_dedup.near_duplicates(_table(spark, folder, "documents"))
+    return write_result(spark, "near-duplicates", lambda: minhash_dedup.near_duplicates(_table(spark, folder, "documents")))
 
 
 @_query()
@@ -213,7 +213,8 @@ def op7_url_filters(spark, folder):
     labels = _table(spark, folder, "labels")
     good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
     outcomes = labels.groupBy(F.col("doc_id").alias("page_id")).agg((F.min(good) == 1).alias("good"))
-    judged = url_filters.filter_urls(_table(spark, folder, "pages"), outcomes, URL_RULES)
+    pages = _table(spark, folder, "pages")
+    judged = write_result(spark, "judged-urls", lambda: url_filters.filter_urls(pages, outcomes, URL_RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -239,8 +240,12 @@ def op7_url_filters(spark, folder):
 def op6_substring_dedup(spark, folder):
     """What is left of every document without the passages of 13 words that smaller documents have."""
     documents = _table(spark, folder, "documents").select("doc_id", "text")
-    kept = substring_dedup.remove_repeats(documents, join_always=True)
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+
+    def left() -> DataFrame:
+        return substring_dedup.remove_repeats(documents, join_always=True).select("doc_id", "n_words", "n_removed", digest)
+
+    return write_result(spark, "without-repeats", left)
 
 
 # The shares of characters that the sources are mixed to.
@@ -284,7 +289,8 @@ def op8_mixing(spark, folder):
 def op9_permutation_index(spark, folder):
     """The ten nearest of every hundredth vector."""
     vectors = _table(spark, folder, "embeddings")
-    return permutation_index.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+    queries = vectors.where("vec_id % 100 = 0")
+    return write_result(spark, "nearest-vectors", lambda: permutation_index.search(vectors, queries, k=10))
 
 
 @_query()

@@ -316,3 +316,13 @@ def test_near_duplicates_stage_on_null_and_repeated_ids(spark):
         rest = sorted(left.elements(), key=lambda r: r[1])
         assert min(left.values()) == 0 and len(rest) == 2
         assert rest[0] in rows[11:13] and rest[1] in (rows[2], rows[4])
+
+
+@pytest.mark.parametrize("name", ["op2_grid_join", "op7_url_filters", "op9_permutation_index"])
+def test_queries_leave_nothing_but_their_result(spark, name):
+    def held():
+        return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+    before = held()
+    assert QUERIES[name](spark, FOLDER).count() > 0
+    assert len(held() - before) == 1
