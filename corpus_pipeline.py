@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from keytables.llm import minhash_dedup, mixing, ordinal_quality, piece_encoding, substring_dedup
 from keytables.llm.queries import OTHER_RATE, SOURCE_WEIGHTS
-from keytables.sources.scratch import remove_scratch, scratch_path
+from keytables.sources.scratch import remove_scratch, scratch_path, scratch_scope
 
 # Per cent; the query op3 alone asks for 85.
 NEAR_DUPLICATES = 80
@@ -58,14 +58,20 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
+    """All stages over ``documents``, each written as Parquet and read again. Nothing but the last one's result is left."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = None
     for name, stage in STAGES:
         path = scratch_path(spark, f"corpus-{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        try:
+            with scratch_scope(spark):
+                stage(spark, docs, sf_dir).write.parquet(path)
+        except BaseException:
+            remove_scratch(spark, path)
+            raise
+        finally:
+            if before is not None:  # read for the last time
+                remove_scratch(spark, before)
         docs = spark.read.parquet(path)
-        if before is not None:  # read for the last time
-            remove_scratch(spark, before)
         before = path
     return docs
