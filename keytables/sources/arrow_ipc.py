@@ -5,9 +5,9 @@
 :func:`register` once per session, or use :func:`read_arrow` and :func:`write_arrow`.
 
 Reading. The driver lists files and reads one footer, for the schema. Tasks are cut by file size: small
-files share a task and a large file is divided by record batches, on local or mounted paths by rows
-where it has few of them; elsewhere a batch is fetched as a whole, so a large file of one batch is read
-by one task, with a warning. Every task compares its files' schema with the table's: a difference, like
+files share a task and a large file is divided by record batches, or by rows where it has few of them: on local or
+mounted paths, and elsewhere if it is not compressed. A compressed batch is fetched as a whole there, so a large file of one
+such batch is read by one task, with a warning. Every task compares its files' schema with the table's: a difference, like
 an unreadable file, fails the read. Spark does not tell a Python source which columns a query needs;
 name them with ``columns`` (or a schema), and only these are read from the files. Where the session
 sets ``spark.sql.python.filterPushdown.enabled``, rows that a simple condition rules out are not handed
@@ -72,12 +72,15 @@ from pyspark.sql.types import (
 )
 
 from keytables.operators.size import remember_listed_bytes
+from keytables.sources.batch_ranges import RangedBatches
 
 FORMAT = "arrow_ipc"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 MANIFEST = "_SUCCESS"
 _SPLIT_BYTES = 128 * 1024 * 1024
 _FILE_COST = 4 * 1024 * 1024
+# A task that would fetch fewer bytes of a batch on a store leaves them to the one that reads all of it.
+_LEAST_RANGE = 1 << 16
 _ROWS_PER_BATCH = 10_000
 _WILDCARDS = "*?["
 _REQUESTS = 32
@@ -255,21 +258,24 @@ class ArrowIpcReader(DataSourceReader):
             if found.names != target.names:
                 wanted = [found.get_field_index(n) for n in target.names]
                 file = ipc.open_file(f, options=ipc.IpcReadOptions(included_fields=wanted))
-            by_rows = isinstance(store, fs.LocalFileSystem)
-            if not by_rows and part.index == 0 and file.num_record_batches < part.count:
-                # A batch's buffers come compressed or hold all its rows, and pyarrow fetches it as a whole. Cutting it
-                # in several tasks would fetch it as often.
-                warnings.warn(
-                    f"{part.path} has {file.num_record_batches} record batches for {part.count} tasks; write "
-                    "files of more batches to read them in parallel",
-                    stacklevel=2,
-                )
-            for number, start, stop in slice_rows(part, file.num_record_batches, by_rows):
-                batch = file.get_batch(number)
-                low, high = (batch.num_rows * edge // part.count for edge in (start, stop))
-                for row in range(low, high, _ROWS_PER_BATCH):
-                    piece = batch.slice(row, min(_ROWS_PER_BATCH, high - row))
-                    yield self._kept(_converted(piece, target))
+            by_rows, ranged = isinstance(store, fs.LocalFileSystem), None
+            if not by_rows and file.num_record_batches < part.count:
+                if f.size() // part.count >= _LEAST_RANGE:
+                    ranged = RangedBatches.of(f, found, target.names, file.num_record_batches)
+                if ranged is None and part.index == 0:
+                    # pyarrow fetches a batch as a whole. Cutting it in several tasks would fetch it as often.
+                    warnings.warn(
+                        f"{part.path} has {file.num_record_batches} record batches for {part.count} tasks; write "
+                        "files of more batches, or uncompressed ones, to read them in parallel",
+                        stacklevel=2,
+                    )
+            for number, start, stop in slice_rows(part, file.num_record_batches, by_rows or ranged is not None):
+                batch = file.get_batch(number) if ranged is None else None
+                rows = ranged.rows(number) if batch is None else batch.num_rows
+                low, high = (rows * edge // part.count for edge in (start, stop))
+                wanted = ranged.fetch(number, low, high) if batch is None else batch.slice(low, high - low)
+                for row in range(0, high - low, _ROWS_PER_BATCH):
+                    yield self._kept(_converted(wanted.slice(row, _ROWS_PER_BATCH), target))
 
     def _kept(self, batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch
