@@ -31,6 +31,7 @@ from keytables.operators import (
     write_sorted,
 )
 from keytables.operators.prefilter import PREFILTER_MAX_BYTES
+from keytables.operators.size import weight
 from keytables.plans import jobs
 from keytables.sources import (
     edge_predicates,
@@ -73,6 +74,15 @@ def _arrow(spark: SparkSession, df: DataFrame, name: str) -> str:
     return path
 
 
+# Files written from a table dealt out anew hold about so many bytes of it, as its size is listed.
+_PART_BYTES = 32 * 1024 * 1024
+
+
+def _in_parts(df: DataFrame, least: int) -> DataFrame:
+    """``df`` dealt out evenly, over at least so many partitions and more for a larger table."""
+    return df.repartition(max(least, -(-weight(df) // _PART_BYTES)))
+
+
 # Inputs that several queries share.
 
 
@@ -528,7 +538,7 @@ def arrow_roundtrip(spark, folder):
 
 @_query("SELECT * FROM documents")
 def arrow_multi_file(spark, folder):
-    documents = _table(spark, folder, "documents").repartition(4)
+    documents = _in_parts(_table(spark, folder, "documents"), 4)
     return read_arrow(spark, _arrow(spark, documents, "documents"))
 
 
@@ -549,7 +559,7 @@ def arrow_file_list(spark, folder):
 
 @_query("SELECT * FROM orders")
 def arrow_glob(spark, folder):
-    path = _arrow(spark, _table(spark, folder, "orders").repartition(3), "orders")
+    path = _arrow(spark, _in_parts(_table(spark, folder, "orders"), 3), "orders")
     return read_arrow(spark, f"{path}/part-*.arrow")
 
 

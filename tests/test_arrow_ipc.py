@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import CaseInsensitiveDict, EqualTo, GreaterThan, Not
 
+from keytables.plans import catalog
 from keytables.sources import arrow_ipc, read_arrow, register, write_arrow
 from keytables.sources.arrow_ipc import (
     ArrowIpcDataSource,
@@ -488,3 +489,22 @@ def test_one_large_batch_on_a_store_is_read_once_with_a_warning(tmp_path, monkey
     with pytest.warns(UserWarning, match="1 record batches for"):
         batches = [b for p in parts_ for b in reader.read(p)]
     assert pa.Table.from_batches(batches).to_pydict() == {"a": list(range(1000))}
+
+
+@pytest.mark.parametrize(("name", "table", "least"), [("arrow_multi_file", "documents", 4), ("arrow_glob", "orders", 3)])
+def test_larger_tables_are_written_in_more_files(spark, monkeypatch, name, table, least):
+    paths = []
+
+    def write(df, path):
+        paths.append(path)
+        write_arrow(df, path)
+
+    monkeypatch.setattr(catalog, "write_arrow", write)
+    source = Path(f"/root/testdata/sf0.001/{table}.parquet")
+    want = spark.read.parquet(str(source)).count()
+    run = catalog.CATALOG[name].run
+    assert run(spark, str(source.parent)).count() == want
+    monkeypatch.setattr(catalog, "_PART_BYTES", source.stat().st_size // 10, raising=False)
+    assert run(spark, str(source.parent)).count() == want
+    few, many = (len(list(Path(p).glob("part-*.arrow"))) for p in paths)
+    assert few == least and many >= 10
