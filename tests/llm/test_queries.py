@@ -4,10 +4,12 @@ import hashlib
 import zlib
 from collections import Counter
 from pathlib import Path
+from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from helpers import groups, shingle_set, without_repeats
@@ -326,3 +328,9 @@ def test_queries_leave_nothing_but_their_result(spark, name):
     before = held()
     assert QUERIES[name](spark, FOLDER).count() > 0
     assert len(held() - before) == 1
+
+
+def test_op7_writes_no_columns_of_the_pages(spark):
+    files = QUERIES["op7_url_filters"](spark, FOLDER).inputFiles()
+    held = {name for f in files for name in pq.read_schema(urlparse(f).path).names}
+    assert held == {"page_id", "host", "path", "rule", "verdict"}
